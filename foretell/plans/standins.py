@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foretell.operators.facts import sponsor_list
+
 # fixed values: status codes and names
 STATUS_NAMES = (
     (1, "Introduced"), (2, "Engrossed"), (3, "Enrolled"), (4, "Passed"), (5, "Vetoed"), (6, "Failed"),
@@ -102,7 +104,7 @@ class Relations:
     def texts(self) -> DataFrame:
         """About three versions per bill; type 1 on even document ids."""
         return self.table("documents").select(
-            F.floor(F.col("doc_id") / 3).cast("long").alias("bill_id"),
+            F.expr("doc_id div 3").alias("bill_id"),
             "doc_id",
             (F.col("doc_id") % 2 + 1).cast("int").alias("type_id"),
             F.date_add(F.lit("2010-01-01").cast("date"), F.col("doc_id").cast("int")).alias("doc_date"),
@@ -139,6 +141,33 @@ class Relations:
             passed.alias("status_new"),
         )
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """The labelled fact of every sponsored bill, with packed sponsor lists."""
+        lead = self.sponsors.groupBy("bill_id").agg(F.min_by("party_id", "sponsor_id").alias("party_id"))
+        return (
+            self.outcomes.join(
+                self.bills.select("bill_id", "session_id", "introduced_body"), "bill_id"
+            )
+            .join(lead, "bill_id")
+            .join(sponsor_list(self.sponsors), "bill_id")
+            .join(self.composition, "bill_id")
+            .join(
+                self.session_dates.withColumnsRenamed(
+                    {"start_date": "session_start_date", "end_date": "session_end_date"}
+                ),
+                "session_id",
+            )
+            .drop("session_id")
+        )
+
+    @cached_property
+    def sponsor_status(self) -> DataFrame:
+        """Sponsor rows with the outcome of their bill."""
+        return self.sponsors.join(self.outcomes, "bill_id").select(
+            "sponsor_id", "party_id", "bill_id", "status_new", "introduced_date"
+        )
+
     @cached_property
     def scores(self) -> DataFrame:
         return self.table("orders").select(
@@ -214,6 +243,18 @@ standin_sql: dict[str, str] = {
         SELECT o_orderkey AS bill_id, CAST(o_orderdate AS DATE) AS introduced_date,
                CASE WHEN o_orderstatus = 'F' THEN 'Passed' ELSE 'Failed' END AS status_new
         FROM orders""",
+    "sponsor_status": """
+        SELECT sponsor_id, party_id, bill_id, status_new, introduced_date
+        FROM sponsors JOIN outcomes USING (bill_id)""",
+    "facts": """
+        SELECT bill_id, introduced_date, status_new, introduced_body, party_id, sponsors,
+               sponsor_count, rep_sponsor_count, sen_sponsor_count,
+               start_date AS session_start_date, end_date AS session_end_date
+        FROM outcomes JOIN (SELECT bill_id, session_id, introduced_body FROM bills) USING (bill_id)
+        JOIN (SELECT bill_id, arg_min(party_id, sponsor_id) AS party_id,
+                     string_agg(CAST(sponsor_id AS VARCHAR), ', ' ORDER BY sponsor_id) AS sponsors
+              FROM sponsors GROUP BY bill_id) USING (bill_id)
+        JOIN composition USING (bill_id) JOIN session_dates USING (session_id)""",
     "scores": """
         SELECT o_orderkey AS id, o_totalprice AS score,
                CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, o_custkey AS session_id
@@ -232,6 +273,8 @@ _NEEDS = {
     "session_dates": ("bills",),
     "composition": ("sponsors",),
     "grouped_scores": ("scores",),
+    "sponsor_status": ("sponsors", "outcomes"),
+    "facts": ("outcomes", "bills", "sponsors", "composition", "session_dates"),
 }
 
 
