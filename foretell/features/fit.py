@@ -17,6 +17,7 @@ from foretell.features.text import fit_text_op, vocabulary
 from foretell.operators.history import delayed_history, sponsors_from_list
 from foretell.operators.ordinal import exact_quantiles
 from foretell.operators.splits import TRAIN, VALIDATION, block_slice
+from foretell.session import cut_lineage
 from foretell.sources.tables import qualified
 
 MAX_CATEGORIES = 10_000
@@ -41,12 +42,13 @@ def with_history(
     """``df`` with the sponsor history columns the specification asks for, joined by id.
 
     ``population``, if given, contains the rows of ``df`` and all others that count.
+    Columns that are there already are left alone.
     """
     joined = df
     done: dict[tuple, DataFrame] = {}
     for key, ops in spec.ops.items():
         for op in HISTORY_OPS:
-            if op not in ops:
+            if op not in ops or _history_column(key) in df.columns:
                 continue
             listed, (day, status) = spec.column_of(key), ops[op]
             if (listed, day, status) not in done:
@@ -326,11 +328,15 @@ def block_features(
     """
     if history not in ("slice", "all"):
         raise ValueError(f"history {history!r}, choose from slice, all")
-    population = facts if history == "all" else None
-    train = block_slice(facts, block_id, TRAIN)
-    fitted = fit_features(train, spec, label_type, vocab, population)
-    valid = block_slice(facts, block_id, VALIDATION)
-    return fitted, fitted.transform(train, population), fitted.transform(valid, population)
+    if history == "all":
+        facts = with_history(facts, spec)
+    slices = [block_slice(facts, block_id, role) for role in (TRAIN, VALIDATION)]
+    if history == "slice" and any(op in ops for ops in spec.ops.values() for op in HISTORY_OPS):
+        # fit and apply both read the slice, so its history is computed once and kept
+        slices = [cut_lineage(with_history(rows, spec)) for rows in slices]
+    train, valid = slices
+    fitted = fit_features(train, spec, label_type, vocab)
+    return fitted, fitted.transform(train), fitted.transform(valid)
 
 
 def one_hot_frame(df: DataFrame, columns: list[str]) -> DataFrame:

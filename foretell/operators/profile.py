@@ -29,10 +29,13 @@ def status_distributions(details: DataFrame, state_id: int | None = None) -> Dat
     stale = (F.col("count_year") >= 2) & ~F.col("status").isin("Passed", "Failed")
     relabelled = F.when(stale, "AssignFail").otherwise(F.col("status"))
     newest = F.col("seq") == 1
+    values = {
+        "all": F.col("status"),
+        "final": F.when(newest, F.col("status")),
+        "relabelled": F.when(newest, relabelled),
+    }
     kinds = F.array(
-        F.struct(F.lit("all").alias("kind"), F.col("status").alias("status")),
-        F.struct(F.lit("final"), F.when(newest, F.col("status"))),
-        F.struct(F.lit("relabelled"), F.when(newest, relabelled)),
+        *[F.struct(F.lit(k).alias("kind"), v.alias("status")) for k, v in values.items()]
     )
     tall = rows.select(F.explode(kinds).alias("k")).select("k.*").where("status is not null")
     return tall.groupBy("kind", "status").agg(F.count("*").alias("n"))

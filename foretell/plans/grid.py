@@ -22,8 +22,8 @@ from foretell.plans.run import (
     blocks_to_run,
     evaluate_block,
     model_scores,
-    prepare_facts,
     text_vocabulary,
+    written_facts,
 )
 
 # fixed values: the hyper-parameter ranges per model family
@@ -64,6 +64,11 @@ def parameter_grid(ranges: Mapping[str, Sequence]) -> list[dict[str, Any]]:
     return [dict(zip(ranges, values)) for values in product(*ranges.values())]
 
 
+def supported(model_type: str, params: Mapping[str, Any]) -> bool:
+    """Whether a parameter set has a counterpart here (support vectors: linear kernel only)."""
+    return model_type != "SVMClassifier" or params.get("kernel", "linear") == "linear"
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULTS).parquet(path)
 
@@ -91,10 +96,13 @@ def run_grid(
 
     Features are computed and written once per block and shared by all models.
     """
+    unsupported = [p for p in grid if not supported(model_type, p)]
+    if unsupported:
+        raise ValueError(f"{model_type}: no counterpart for {unsupported}")
     spark = facts.sparkSession
     results_path = f"{work_dir}/results"
     first = next_model_index(spark, results_path, settings.feature_type, model_type)
-    prepared = prepare_facts(facts, settings)
+    prepared = written_facts(facts, settings, f"{work_dir}/facts/{settings.feature_type}/{model_type}")
     vocab = text_vocabulary(prepared, settings.spec)
     for block in blocks_to_run(prepared, settings):
         fitted, train, valid = block_features(

@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("catalog_relational",)
+_MODULES = ("catalog_relational", "catalog_functions", "catalog_features", "catalog_models")
 
 
 def query(name: str, sql: str | None = None):

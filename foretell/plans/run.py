@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foretell.features.columns import LABEL_CODES
-from foretell.features.fit import FittedFeatures, block_features
+from foretell.features.fit import FittedFeatures, block_features, with_history
 from foretell.features.spec import FEATURE_SETS, FeatureSpec
 from foretell.features.text import vocabulary
 from foretell.models.classifiers import fit_classifier, load_model, predict_scores, save_model
@@ -98,6 +99,18 @@ def prepare_facts(facts: DataFrame, settings: RunSettings) -> DataFrame:
     )
 
 
+def written_facts(facts: DataFrame, settings: RunSettings, path: str) -> DataFrame:
+    """Prepared facts as a table, with the sponsor history if it is drawn from all rows.
+
+    Every block's fit and apply then start from a columnar scan.
+    """
+    prepared = prepare_facts(facts, settings)
+    if settings.history == "all":
+        prepared = with_history(prepared, settings.spec)
+    prepared.write.mode("overwrite").parquet(path)
+    return facts.sparkSession.read.parquet(path)
+
+
 def blocks_to_run(prepared: DataFrame, settings: RunSettings) -> range:
     n = block_count(prepared)
     return range(1, min(n, settings.num_temporal_blocks or n) + 1)
@@ -166,7 +179,7 @@ def run(
     written before they are evaluated, so an evaluation never retrains.
     """
     spark = facts.sparkSession
-    prepared = prepare_facts(facts, settings)
+    prepared = written_facts(facts, settings, f"{model_path}/facts")
     vocab = text_vocabulary(prepared, settings.spec)
     results = []
     for block in blocks_to_run(prepared, settings):
@@ -212,8 +225,6 @@ def model_report(
     top_n: int = 20,
 ) -> tuple[DataFrame, DataFrame]:
     """Named feature importances of a tree model and cross-tabs of the heaviest features."""
-    from pyspark.ml.functions import vector_to_array
-
     names = fitted.feature_names()
     heavy = feature_importances(rows, names, model.featureImportances.toArray(), top_n)
     picked = [(r.feature_index, r.feature) for r in heavy.collect()]
