@@ -101,18 +101,19 @@ def bill_detail(
 
     ``count_year`` is the number of whole years since the bill's first progress row.
     """
-    placed = progress.join(_in_state(bill_state, states, state_id), "bill_id")
-    placed = placed.join(
-        status_catalog, F.col("status_id") == F.col("bill_status"), "left"
-    ).drop("status_id")
-    first = placed.groupBy("bill_id").agg(F.min("progress_date").alias("first_date"))
-    newest_first = [F.col("progress_date").desc_nulls_first(), *[F.desc(c) for c in tiebreak]]
-    keep = ["bill_id", "state_id", "progress_date", "bill_status", "status"]
-    numbered = ordinal_within(
-        placed.select(*keep, *[c for c in tiebreak if c not in keep]), ["bill_id"], newest_first, "seq"
-    )
+    first = progress.groupBy("bill_id").agg(F.min("progress_date").alias("first_date"))
+    # everything known per bill is joined first, so the progress rows are joined only once
+    per_bill = _in_state(bill_state, states, state_id).join(first, "bill_id")
     years = F.floor(F.months_between("progress_date", "first_date") / 12).cast("int")
-    return numbered.join(first, "bill_id").select(*keep, years.alias("count_year"), "seq")
+    placed = (
+        progress.join(per_bill, "bill_id")
+        .join(status_catalog, F.col("status_id") == F.col("bill_status"), "left")
+        .withColumn("count_year", years)
+    )
+    newest_first = [F.col("progress_date").desc_nulls_first(), *[F.desc(c) for c in tiebreak]]
+    keep = ["bill_id", "state_id", "progress_date", "bill_status", "status", "count_year"]
+    rows = placed.select(*keep, *[c for c in tiebreak if c not in keep])
+    return ordinal_within(rows, ["bill_id"], newest_first, "seq").select(*keep, "seq")
 
 
 def sponsor_list(sponsors: DataFrame) -> DataFrame:

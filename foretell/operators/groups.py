@@ -17,6 +17,7 @@ from foretell.functions.scalar import (
 from foretell.operators.facts import sponsor_sessions
 from foretell.operators.joins import last_wins_lookup
 from foretell.operators.metrics import metric_column
+from foretell.session import small_table
 
 # fixed values: districts that define the two audited groups
 GROUP_DISTRICTS = {
@@ -76,7 +77,7 @@ def group_table(
     spark: SparkSession, districts: Mapping[str, Mapping[str, Sequence[int]]] = GROUP_DISTRICTS
 ) -> DataFrame:
     rows = [(g, c, n) for g, by in districts.items() for c, ns in by.items() for n in ns]
-    return spark.createDataFrame(rows, "group string, chamber string, number int")
+    return small_table(spark, rows, "`group` string, chamber string, number int")
 
 
 def group_members(parsed: DataFrame, groups: DataFrame) -> DataFrame:
@@ -110,17 +111,17 @@ def disparities(
     reference: str = REFERENCE_GROUP,
 ) -> DataFrame:
     """Each group's metric divided by the reference group's; null on a zero reference."""
-    base = metrics.where(F.col("group") == reference).select(
-        *by, *[F.col(n).alias(f"__{n}") for n in names]
-    )
-    others = metrics.where(F.col("group") != reference)
-    # one reference row per evaluated model
-    paired = others.join(base, list(by)) if by else others.select(
-        "*", *[metrics.where(F.col("group") == reference).agg(F.first(n)).scalar().alias(f"__{n}") for n in names]
-    )
-    return paired.select(
-        *by, "group", *[ratio(n, f"__{n}").alias(f"{n}_disparity") for n in names]
+    # one row per model and group comes in
+    same_model = W.partitionBy(*by)
+    is_reference = F.col("group") == reference
+    paired = metrics.select(
+        *by, "group",
+        *[
+            ratio(n, F.max(F.when(is_reference, F.col(n))).over(same_model)).alias(f"{n}_disparity")
+            for n in names
+        ],
     )
+    return paired.where(~is_reference)
 
 
 def top_districts_by_share(

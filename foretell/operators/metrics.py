@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import clip01, int_part, ratio
 from foretell.operators.ordinal import global_ordinal, ordinal_within
+from foretell.session import small_table
 
 
 def _true_positives(y: Column, hit: Column) -> Column:
@@ -120,8 +121,8 @@ def pr_curve(
     near = [F.greatest(guess + d, F.lit(0)) for d in (-1, 0, 1, 2)]
     first = F.coalesce(*[F.when(depth(i) >= F.col("rank"), i) for i in near]).cast("long")
     placed = rows.groupBy(first.alias("point")).agg(F.sum(label).cast("long").alias("hits"))
-    size = scores.agg(F.count("*")).scalar()
-    positives = scores.agg(F.sum(label).cast("long")).scalar()
+    size = rows.agg(F.count("*")).scalar()
+    positives = rows.agg(F.sum(label).cast("long")).scalar()
     grid = scores.sparkSession.range(points).withColumnRenamed("id", "point")
     # the grid has a fixed number of points whatever the data size
     upto = W.orderBy("point").rowsBetween(W.unboundedPreceding, 0)
@@ -166,7 +167,8 @@ def feature_importances(
     """The ``top_n`` heaviest features of a fitted model, by name."""
     if len(names) != len(weights):
         raise ValueError(f"{len(names)} names for {len(weights)} importances")
-    table = df.sparkSession.createDataFrame(
+    table = small_table(
+        df.sparkSession,
         [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, weights))],
         "feature_index int, feature string, importance double",
     )

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import in_years
 from foretell.operators.joins import in_range
+from foretell.session import small_table
 
 # fixed values: role codes of a row inside a temporal block
 UNUSED, TRAIN, TRAIN_BUFFER, VALIDATION, VALIDATION_BUFFER = 0, 1, 2, 3, 4
 
+MAX_BROADCAST_DAYS = 1_000_000  # beyond this many (split, day) rows the calendar is shuffled
+
 
 def block_starts(
     start_year: int, end_year: int, split_list: Sequence[int] = (2, 1, 1, 1), update_freq: int = 2
@@ -149,8 +152,8 @@ class CalendarSplits:
         day = F.col(date_column).cast("date")
         span = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
         rows = [] if span.first is None else self.periods(span.first, span.last, start, gap)
-        return df.sparkSession.createDataFrame(
-            rows, "split int, role string, start_date date, end_date date"
+        return small_table(
+            df.sparkSession, rows, "split int, role string, start_date date, end_date date"
         )
 
     def split(
@@ -164,6 +167,9 @@ class CalendarSplits:
         days = F.sequence("start_date", F.date_sub("end_date", 1))
         filled = periods.where("start_date < end_date")
         calendar = filled.select("split", "role", F.explode(days).alias("day"))
+        covered = filled.agg(F.sum(F.datediff("end_date", "start_date"))).first()[0] or 0
+        if covered > MAX_BROADCAST_DAYS:
+            calendar = calendar.hint("merge")
         return in_range(df, calendar, date_column)
 
     def get_n_splits(self) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from foretell.features import columns as C
@@ -16,7 +17,7 @@ from foretell.plans.catalog_functions import TOKENS, new_schema
 from foretell.plans.catalog_relational import HISTORY, role_sql
 from foretell.plans.registry import query, r6, rounded
 from foretell.plans.standins import sql_with
-from foretell.session import scratch_path
+from foretell.session import scratch_path, small_table
 from foretell.sources import tables
 
 YEARS = (1995, 2001)
@@ -158,16 +159,26 @@ def e11(t):
     return TX.bow_long(docs, "doc_id", "text", TX.vocabulary(docs, ["text"]))
 
 
-@query("E11_bow_vector", f"SELECT doc_id, count(*) AS n_terms, CAST(sum(tf) AS DOUBLE) AS n_tokens FROM ({COUNTS}) GROUP BY 1")
+def term_totals(rows, n_terms):
+    """Sum and document count per vector position, without unpacking any row's vector."""
+    stats = Summarizer.metrics("sum", "numNonZeros")
+    one = rows.select(stats.summary(F.col("features")).alias("s"))
+    total, seen = vector_to_array("s.sum"), vector_to_array("s.numNonZeros")
+    pairs = F.arrays_zip(F.sequence(F.lit(0), F.lit(n_terms - 1)).alias("idx"), total.alias("total"), seen.alias("df"))
+    return one.select(F.explode(pairs).alias("p")).select(
+        F.col("p.idx").cast("long").alias("idx"), F.col("p.df").cast("long").alias("df"), r6("p.total").alias("total")
+    )
+
+
+@query(
+    "E11_bow_vector",
+    f"SELECT row_number() OVER (ORDER BY term) - 1 AS idx, count(*) AS df, CAST(sum(tf) AS DOUBLE) AS total FROM ({COUNTS}) GROUP BY term",
+)
 def e11_vector(t):
+    """Count vectors of every document, summed up per vocabulary position."""
     docs = t.table("documents")
     fitted = fit_features(docs, FeatureSpec({"text": {"bow": []}}, "doc_id", "lang"))
-    values = F.filter(vector_to_array("features"), lambda x: x != 0)
-    rows = fitted.transform(docs).select("doc_id", values.alias("v"))
-    return rows.select(
-        "doc_id", F.size("v").cast("long").alias("n_terms"),
-        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("n_tokens"),
-    ).where("n_terms > 0")
+    return term_totals(fitted.transform(docs), len(fitted.feature_names()))
 
 
 IDF = """SELECT term, ln((1 + (SELECT count(*) FROM {docs}))::DOUBLE / (1 + count(*))) + 1 AS idf FROM {counts} GROUP BY 1"""
@@ -183,18 +194,13 @@ def e12(t):
 @query(
     "E12_tfidf_vector",
     f"WITH counts AS ({COUNTS}), idf AS ({IDF.format(docs='documents', counts='counts')}), w AS ("
-    "SELECT doc_id, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight FROM counts JOIN idf USING (term)) "
-    "SELECT doc_id, count(*) AS n_terms, round(sum(weight), 6) AS total FROM w GROUP BY 1",
+    "SELECT term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight FROM counts JOIN idf USING (term)) "
+    "SELECT row_number() OVER (ORDER BY term) - 1 AS idx, count(*) AS df, round(sum(weight), 6) AS total FROM w GROUP BY term",
 )
 def e12_vector(t):
     docs = t.table("documents")
     fitted = fit_features(docs, FeatureSpec({"text": {"tfidf": []}}, "doc_id", "lang"))
-    values = F.filter(vector_to_array("features"), lambda x: x != 0)
-    rows = fitted.transform(docs).select("doc_id", values.alias("v"))
-    return rows.select(
-        "doc_id", F.size("v").cast("long").alias("n_terms"),
-        r6(F.aggregate("v", F.lit(0.0), lambda a, x: a + x)).alias("total"),
-    ).where("n_terms > 0")
+    return term_totals(fitted.transform(docs), len(fitted.feature_names()))
 
 
 @query("E13_lda_topics")
@@ -341,7 +347,7 @@ def e19(t):
     spec = FeatureSpec({c: {"impute_mean": [], "normalize": []} for c in ("n_chars", "quality")}, "doc_id", "lang")
     applied = fit_features(t.labelled_documents.select("doc_id", "lang", "n_chars", "quality"), spec).applied
     rows = [(c, float(dict(ops)["impute_fixed"]), *map(float, dict(ops)["normalize"])) for c, ops in applied.items()]
-    return rounded(t.spark.createDataFrame(rows, "feature string, fill double, low double, high double"), "fill", "low", "high")
+    return rounded(small_table(t.spark, rows, "feature string, fill double, low double, high double"), "fill", "low", "high")
 
 
 @query("Z1_operations_by_name", sql_with(DOCS, f"SELECT doc_id, CAST(coalesce(quality, 1) AS DOUBLE) AS quality FROM {DOCS}"))

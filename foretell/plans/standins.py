@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretell.operators.facts import sponsor_list
+from foretell.session import small_table
 
 # fixed values: status codes and names
 STATUS_NAMES = (
@@ -66,7 +67,7 @@ class Relations:
 
     @cached_property
     def status_catalog(self) -> DataFrame:
-        return self.spark.createDataFrame(list(STATUS_NAMES), "status_id int, status string")
+        return small_table(self.spark, STATUS_NAMES, "status_id int, status string")
 
     @cached_property
     def sponsors(self) -> DataFrame:

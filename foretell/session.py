@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -38,3 +42,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the written copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A driver-made table whose exact size the planner knows, so it can choose to broadcast."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
