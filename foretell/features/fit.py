@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from foretell.features import columns as C
 from foretell.features.spec import HISTORY_OPS, TEXT_OPS, FeatureSpec
-from foretell.features.text import fit_text_op, vocabulary
+from foretell.features.text import VectorVocabulary, fit_text_op, vocabulary
 from foretell.operators.history import delayed_history, sponsors_from_list
 from foretell.operators.ordinal import exact_quantiles
 from foretell.operators.splits import TRAIN, VALIDATION, block_slice
@@ -280,11 +280,11 @@ class FittedFeatures:
 
 def fit_features(
     train: DataFrame, spec: FeatureSpec, label_type: str = "binary",
-    vocab: DataFrame | None = None, population: DataFrame | None = None,
+    vocab: VectorVocabulary | None = None, population: DataFrame | None = None,
 ) -> FittedFeatures:
     """Fit every operation on ``train``.
 
-    ``vocab`` is the term table of the text columns, usually built from all rows; without
+    ``vocab`` holds the terms of the text columns, usually built from all rows; without
     one it is built from ``train``.
     """
     for key, ops in spec.ops.items():
@@ -294,7 +294,7 @@ def fit_features(
     rows = with_history(train, spec, population)
     chains, text_models, applied = [], {}, {}
     if spec.text_columns() and vocab is None:
-        vocab = vocabulary(train, spec.text_columns())
+        vocab = VectorVocabulary(vocabulary(train, spec.text_columns()))
     for key, ops in spec.ops.items():
         column = spec.column_of(key)
         text_op = next((op for op in ops if op in TEXT_OPS), None)
@@ -320,7 +320,7 @@ def fit_features(
 
 def block_features(
     facts: DataFrame, spec: FeatureSpec, block_id: int, label_type: str = "binary",
-    vocab: DataFrame | None = None, history: str = "slice",
+    vocab: VectorVocabulary | None = None, history: str = "slice",
 ) -> tuple[FittedFeatures, DataFrame, DataFrame]:
     """Fitted features with the training and validation tables of one block.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import (
@@ -73,24 +74,49 @@ def tfidf_long(
     return weighted.select(id_column, "term", (F.col("w") / length).alias("weight"))
 
 
-def _terms(vocab: DataFrame, column: str) -> list[str]:
-    mine = vocab.where(F.col("column") == column)
-    rows = mine.orderBy("idx").select("term").limit(MAX_VECTOR_TERMS + 1).collect()
-    if len(rows) > MAX_VECTOR_TERMS:
-        raise ValueError(
-            f"{column} has over {MAX_VECTOR_TERMS} terms, too many for one vector: "
-            "use the long form (bow_long, tfidf_long)"
-        )
-    return [r.term for r in rows]
+class VectorVocabulary:
+    """A vocabulary table ready for vectors: terms and count model per column, made once.
+
+    One object serves every block of a run.
+    """
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+        self._terms: dict[str, list[str]] = {}
+        self._models: dict[str, CountVectorizerModel] = {}
+
+    def terms(self, column: str) -> list[str]:
+        if column not in self._terms:
+            mine = self.table.where(F.col("column") == column).select("idx", "term")
+            found = mine.limit(MAX_VECTOR_TERMS + 1).toArrow().sort_by("idx")
+            if found.num_rows > MAX_VECTOR_TERMS:
+                raise ValueError(
+                    f"{column} has over {MAX_VECTOR_TERMS} terms, too many for one vector: "
+                    "use the long form (bow_long, tfidf_long)"
+                )
+            if not found.num_rows:
+                raise ValueError(f"{column} has no tokens")
+            self._terms[column] = found.column("term").to_pylist()
+        return self._terms[column]
+
+    def counter(self, column: str, words: str, counts: str) -> CountVectorizerModel:
+        if column not in self._models:
+            # terms hold no line breaks; one call hands them all to the JVM
+            jvm = SparkContext.getOrCreate()._jvm
+            terms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(self.terms(column)))
+            self._models[column] = CountVectorizerModel._create_from_java_class(
+                "org.apache.spark.ml.feature.CountVectorizerModel", terms
+            )
+        model = self._models[column]
+        return model.copy({model.inputCol: words, model.outputCol: counts})
 
 
 def fit_text_op(
-    df: DataFrame, column: str, op: str, params, vocab: DataFrame, tag: str = "t", seed: int = 17
+    df: DataFrame, column: str, op: str, params, vocab: VectorVocabulary, tag: str = "t",
+    seed: int = 17,
 ) -> tuple[PipelineModel, str, list[str]]:
     """Fitted transformers for one text column, their output column and feature names."""
-    terms = _terms(vocab, column)
-    if not terms:
-        raise ValueError(f"{column} has no tokens")
+    terms = vocab.terms(column)
     words, counts = f"__{tag}_words", f"__{tag}_counts"
     # a missing text has no tokens
     pattern = r"[\\p{L}\\p{N}_]{2,}"
@@ -98,7 +124,7 @@ def fit_text_op(
         statement=f"SELECT *, regexp_extract_all(lower(coalesce(`{column}`, '')), '{pattern}', 0) "
         f"AS `{words}` FROM __THIS__"
     )
-    vectors = CountVectorizerModel.from_vocabulary(terms, inputCol=words, outputCol=counts)
+    vectors = vocab.counter(column, words, counts)
     if op == "bow":
         return PipelineModel([tokens, vectors]), counts, terms
     counted = vectors.transform(tokens.transform(df.select(column)))
@@ -108,7 +134,8 @@ def fit_text_op(
         scale = ElementwiseProduct(
             scalingVec=Vectors.dense(idf), inputCol=counts, outputCol=scaled
         )
-        return PipelineModel([tokens, vectors, scale, Normalizer(p=2.0, inputCol=scaled, outputCol=out)]), out, terms
+        unit = Normalizer(p=2.0, inputCol=scaled, outputCol=out)
+        return PipelineModel([tokens, vectors, scale, unit]), out, terms
     topics = int(params) if params else 10
     out = f"__{tag}_topics"
     model = LDA(

@@ -157,7 +157,7 @@ def score_histogram(scores: DataFrame, bins: int = 100, score: str = "score") ->
 def cross_tabs(flagged: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Mean of each feature among the top rows and among the rest."""
     return flagged.groupBy(*by, (F.col("predicted") == 1).alias("is_top")).agg(
-        *[F.avg(F.col(f).cast("double")).alias(f) for f in features]
+        *[F.avg(F.col(f"`{f}`").cast("double")).alias(f) for f in features]
     )
 
 

@@ -103,7 +103,7 @@ def run_grid(
     results_path = f"{work_dir}/results"
     first = next_model_index(spark, results_path, settings.feature_type, model_type)
     prepared = written_facts(facts, settings, f"{work_dir}/facts/{settings.feature_type}/{model_type}")
-    vocab = text_vocabulary(prepared, settings.spec)
+    vocab = text_vocabulary(prepared, settings.spec, f"{work_dir}/text_vocab/{settings.feature_type}")
     for block in blocks_to_run(prepared, settings):
         fitted, train, valid = block_features(
             prepared, settings.spec, block, settings.label_type, vocab, settings.history

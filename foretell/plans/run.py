@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from foretell.features.columns import LABEL_CODES
 from foretell.features.fit import FittedFeatures, block_features, with_history
 from foretell.features.spec import FEATURE_SETS, FeatureSpec
-from foretell.features.text import vocabulary
+from foretell.features.text import VectorVocabulary, vocabulary
 from foretell.models.classifiers import fit_classifier, load_model, predict_scores, save_model
 from foretell.operators import facts as Q
 from foretell.operators.baseline import RateBaseline
@@ -30,6 +30,7 @@ from foretell.operators.metrics import (
 )
 from foretell.operators.preprocess import preprocess
 from foretell.operators.splits import TRAIN, VALIDATION, block_count, block_slice, with_block_columns
+from foretell.sources.artifacts import vocabulary_at
 
 # relational queries that a configuration can name
 QUERIES = {
@@ -116,24 +117,35 @@ def blocks_to_run(prepared: DataFrame, settings: RunSettings) -> range:
     return range(1, min(n, settings.num_temporal_blocks or n) + 1)
 
 
-def text_vocabulary(prepared: DataFrame, spec: FeatureSpec) -> DataFrame | None:
-    """Terms of the text columns over all rows."""
+def text_vocabulary(
+    prepared: DataFrame, spec: FeatureSpec, path: str
+) -> VectorVocabulary | None:
+    """Terms of the text columns over all rows, built once and then read from ``path``."""
     columns = spec.text_columns()
-    return vocabulary(prepared, columns) if columns else None
+    if not columns:
+        return None
+    build = partial(vocabulary, prepared, columns)
+    return VectorVocabulary(vocabulary_at(prepared.sparkSession, path, build))
 
 
-def baseline_scores(sponsor_rows: DataFrame, block_id: int, role: int, path: str) -> DataFrame:
-    """``(bill_id, score, y)`` of the rate baseline, fitted on the block's training rows.
+ROLES = {"train": TRAIN, "validation": VALIDATION}
 
-    ``sponsor_rows`` are (sponsor_id, party_id, bill_id, status_new, iter_*).
+
+def baseline_scores(sponsor_rows: DataFrame, block_id: int, path: str) -> DataFrame:
+    """``(bill_id, score, y, role)`` of the rate baseline, fitted on the block's training rows.
+
+    ``sponsor_rows`` are (sponsor_id, party_id, bill_id, status_new, iter_*). The rates are
+    stored first, so the joins that score know how small they are.
     """
     RateBaseline.fit(block_slice(sponsor_rows, block_id, TRAIN)).save(path)
     model = RateBaseline.load(sponsor_rows.sparkSession, path)
-    rows = block_slice(sponsor_rows, block_id, role)
-    truth = rows.groupBy("bill_id").agg(
-        F.max((F.col("status_new") == "Passed").cast("int")).alias("y")
-    )
-    return model.predict(rows).join(truth, "bill_id")
+    scored = []
+    for name, role in ROLES.items():
+        rows = block_slice(sponsor_rows, block_id, role)
+        passed = F.max((F.col("status_new") == "Passed").cast("int"))
+        truth = rows.groupBy("bill_id").agg(passed.alias("y"))
+        scored.append(model.predict(rows).join(truth, "bill_id").withColumn("role", F.lit(name)))
+    return scored[0].unionByName(scored[1])
 
 
 def model_scores(
@@ -180,7 +192,7 @@ def run(
     """
     spark = facts.sparkSession
     prepared = written_facts(facts, settings, f"{model_path}/facts")
-    vocab = text_vocabulary(prepared, settings.spec)
+    vocab = text_vocabulary(prepared, settings.spec, f"{model_path}/text_vocab")
     results = []
     for block in blocks_to_run(prepared, settings):
         path = f"{model_path}/temporal_block_{block}"
@@ -188,11 +200,7 @@ def run(
             if sponsor_rows is None:
                 raise ValueError("the baseline needs sponsor rows")
             id_column = "bill_id"
-            rows = [
-                baseline_scores(sponsor_rows, block, role, f"{path}/model").withColumn("role", F.lit(n))
-                for role, n in ((TRAIN, "train"), (VALIDATION, "validation"))
-            ]
-            scores = rows[0].unionByName(rows[1])
+            scores = baseline_scores(sponsor_rows, block, f"{path}/model")
         else:
             id_column = settings.spec.id_column
             fitted, train, valid = block_features(
@@ -230,8 +238,6 @@ def model_report(
     picked = [(r.feature_index, r.feature) for r in heavy.collect()]
     flagged = top_fraction(scores, settings.top_k_fraction, tiebreak=fitted.spec.id_column)
     values = vector_to_array("features")
-    wide = rows.select(
-        fitted.spec.id_column, *[values[i].alias(n.replace(".", "_")) for i, n in picked]
-    )
+    wide = rows.select(fitted.spec.id_column, *[values[i].alias(n) for i, n in picked])
     joined = flagged.join(wide, fitted.spec.id_column)
-    return heavy, cross_tabs(joined, [f"`{n.replace('.', '_')}`" for _, n in picked])
+    return heavy, cross_tabs(joined, [n for _, n in picked])
