@@ -8,6 +8,7 @@ bounded memo per Python worker means a word is usually stemmed once.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import pandas as pd
@@ -40,13 +41,34 @@ STEP_4 = (
 )
 
 
+def _by_last_letter(table):
+    """Suffix entries grouped by last letter, keeping their order."""
+    groups: dict[str, list] = {}
+    for entry in table:
+        suffix = entry if isinstance(entry, str) else entry[0]
+        groups.setdefault(suffix[-1], []).append(entry)
+    return groups
+
+
+_STEP_2, _STEP_3, _STEP_4 = map(_by_last_letter, (STEP_2, STEP_3, STEP_4))
+_VOWEL = re.compile("[aeiou]")
+_CONSONANT = re.compile("[^vy]")
+_Y_RUN = re.compile("(^|[cv])(y+)")
+
+
+def _alternate(run: re.Match) -> str:
+    letters = [run[1]]
+    for _ in run[2]:
+        letters.append("v" if letters[-1] == "c" else "c")
+    return "".join(letters)
+
+
 def _shape(word: str) -> str:
     """The word as a string of c and v; ``y`` is a vowel after a consonant."""
-    out = []
-    for ch in word:
-        vowel = ch in "aeiou" or (ch == "y" and bool(out) and out[-1] == "c")
-        out.append("v" if vowel else "c")
-    return "".join(out)
+    shape = _CONSONANT.sub("c", _VOWEL.sub("v", word.replace("v", "c")))
+    if "y" in shape:
+        shape = _Y_RUN.sub(_alternate, shape)
+    return shape
 
 
 def _measure(stem: str) -> int:
@@ -94,7 +116,7 @@ def _final_y(w: str) -> str:
 
 
 def _first_suffix(w: str, table) -> str:
-    for suffix, new in table:
+    for suffix, new in table.get(w[-1:], ()):
         if w.endswith(suffix):
             stem = w[: -len(suffix)]
             seen = w[:-3] if suffix == "logi" else stem
@@ -105,11 +127,11 @@ def _first_suffix(w: str, table) -> str:
 def _double_suffix(w: str) -> str:
     while w.endswith("alli") and _measure(w[:-4]) > 0:
         w = w[:-2]
-    return _first_suffix(w, STEP_2)
+    return _first_suffix(w, _STEP_2)
 
 
 def _long_suffix(w: str) -> str:
-    suffix = next((s for s in STEP_4 if w.endswith(s)), None)
+    suffix = next((s for s in _STEP_4.get(w[-1:], ()) if w.endswith(s)), None)
     if suffix is None:
         return w
     stem = w[: -len(suffix)]
@@ -137,7 +159,7 @@ def stem_word(word: str) -> str:
     if len(word) <= 2:
         return word
     word = _final_y(_past(_plural(word)))
-    word = _first_suffix(_double_suffix(word), STEP_3)
+    word = _first_suffix(_double_suffix(word), _STEP_3)
     return _final_l(_final_e(_long_suffix(word)))
 
 

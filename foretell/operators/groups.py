@@ -93,6 +93,19 @@ def with_reference_group(
     return members.unionByName(rest.select(F.lit(name).alias("group"), "bill_id"))
 
 
+def audit_groups(
+    parsed: DataFrame, groups: DataFrame, reference: str = REFERENCE_GROUP
+) -> DataFrame:
+    """Members of every group and of the reference group from one pass over the districts.
+
+    The set collected per bill is bounded by the number of groups.
+    """
+    named = parsed.join(groups, ["chamber", "number"], "left")
+    per_bill = named.groupBy("bill_id").agg(F.collect_set("group").alias("names"))
+    found = F.when(F.size("names") == 0, F.array(F.lit(reference))).otherwise(F.col("names"))
+    return per_bill.select(F.explode(found).alias("group"), "bill_id")
+
+
 def group_metrics(
     flagged: DataFrame, members: DataFrame, names: Sequence[str] = ("FDR", "TPR"),
     by: Sequence[str] = (), id_column: str = "bill_id", label: str = "y",

@@ -306,8 +306,7 @@ def parsed_of(t):
 
 
 def members_of(t):
-    parsed = parsed_of(t)
-    return G.with_reference_group(parsed, G.group_members(parsed, G.group_table(t.spark)))
+    return G.audit_groups(parsed_of(t), G.group_table(t.spark))
 
 
 @query("S16_group_store", sql_with("sponsors bills people", 'SELECT "group", bill_id FROM all_members', **GROUP_VIEWS))
@@ -706,7 +705,9 @@ def b3(t):
 
 @query("B4_reference_group", sql_with("sponsors bills people", "SELECT bill_id FROM all_members WHERE \"group\" = 'white'", **GROUP_VIEWS))
 def b4(t):
-    return members_of(t).where("group = 'white'").select("bill_id")
+    parsed = parsed_of(t)
+    members = G.group_members(parsed, G.group_table(t.spark))
+    return G.with_reference_group(parsed, members).where("group = 'white'").select("bill_id")
 
 
 def confusion_sql(hit: str) -> str:
