@@ -101,7 +101,9 @@ def bill_detail(
 
     ``count_year`` is the number of whole years since the bill's first progress row.
     """
-    first = progress.groupBy("bill_id").agg(F.min("progress_date").alias("first_date"))
+    first = progress.groupBy("bill_id").agg(
+        F.min("progress_date").alias("first_date"), F.count("*").alias("n")
+    )
     # everything known per bill is joined first, so the progress rows are joined only once
     per_bill = _in_state(bill_state, states, state_id).join(first, "bill_id")
     years = F.floor(F.months_between("progress_date", "first_date") / 12).cast("int")
@@ -113,7 +115,10 @@ def bill_detail(
     newest_first = [F.col("progress_date").desc_nulls_first(), *[F.desc(c) for c in tiebreak]]
     keep = ["bill_id", "state_id", "progress_date", "bill_status", "status", "count_year"]
     rows = placed.select(*keep, *[c for c in tiebreak if c not in keep])
-    return ordinal_within(rows, ["bill_id"], newest_first, "seq").select(*keep, "seq")
+    numbered = ordinal_within(
+        rows, ["bill_id"], newest_first, "seq", sizes=per_bill.select("bill_id", "n")
+    )
+    return numbered.select(*keep, "seq")
 
 
 def sponsor_list(sponsors: DataFrame) -> DataFrame:

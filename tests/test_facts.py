@@ -59,8 +59,9 @@ def test_final_status_takes_lowest_sponsor_and_drops_unsponsored(spark, progress
     assert got == {1: (1, "Passed"), 3: (0, None)}
 
 
-def test_detail_of_a_hot_bill(spark):
+def test_detail_of_a_hot_bill(spark, monkeypatch):
     """One bill holds over a third of all rows; numbering is exact and newest first."""
+    monkeypatch.setattr(Q.ordinal_within, "__defaults__", ("ordinal", None, 500))
     rows = [(1, date(2010 + i % 9, 1 + i % 12, 1 + i % 28), 1, i) for i in range(2000)]
     rows += [(2 + i % 50, date(2011, 1, 1 + i % 28), 4, i) for i in range(1000)]
     progress = spark.createDataFrame(rows, "bill_id long, progress_date date, bill_status int, line int").repartition(9)
