@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import days_between, in_years, outcome_label, year_of
 from foretell.operators.ordinal import ordinal_within
+from foretell.session import cut_lineage
 
 
 def bills_by_state(
@@ -104,8 +105,9 @@ def bill_detail(
     first = progress.groupBy("bill_id").agg(
         F.min("progress_date").alias("first_date"), F.count("*").alias("n")
     )
-    # everything known per bill is joined first, so the progress rows are joined only once
-    per_bill = _in_state(bill_state, states, state_id).join(first, "bill_id")
+    # everything known per bill is joined first, so the progress rows are joined only once;
+    # written, because the group sizes are looked at before the rows are numbered
+    per_bill = cut_lineage(_in_state(bill_state, states, state_id).join(first, "bill_id"))
     years = F.floor(F.months_between("progress_date", "first_date") / 12).cast("int")
     placed = (
         progress.join(per_bill, "bill_id")

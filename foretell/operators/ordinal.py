@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from foretell.session import cut_lineage
 
-ROWS_PER_TASK = 2_000_000  # a group up to this size is sorted by one task
+ROWS_PER_TASK = 5_000_000  # a group up to this size is sorted by one task
 MAX_HOT_GROUPS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id: range number above, row offset below
 _MID, _PID, _POS = "__mid", "__pid", "__pos"
@@ -111,6 +111,7 @@ def ordinal_within(
     # each hot group holds over total / MAX_HOT_GROUPS rows, so there are fewer than that
     hot = counted.where(F.col("n") > limit).select(*[F.col(k).alias(f"__h_{k}") for k in keys])
     hot, same = F.broadcast(cut_lineage(hot)), _same_key(keys, "__h_")
+    df = cut_lineage(df)  # read three times below: usual rows, range bounds, spread rows
     usual = _numbered_by_group(df.join(hot, same, "left_anti"), keys, order, name)
     spread = _numbered_by_ranges(df.join(hot, same, "left_semi"), keys, order, name)
     return usual.unionByName(spread)
