@@ -120,7 +120,9 @@ def pr_curve(
     guess = F.floor(F.col("rank") / (F.lit(step) * F.col("__size"))) - 1
     near = [F.greatest(guess + d, F.lit(0)) for d in (-1, 0, 1, 2)]
     first = F.coalesce(*[F.when(depth(i) >= F.col("rank"), i) for i in near]).cast("long")
-    placed = rows.groupBy(first.alias("point")).agg(F.sum(label).cast("long").alias("hits"))
+    placed = rows.select(first.alias("point"), label).groupBy("point").agg(
+        F.sum(label).cast("long").alias("hits")
+    )
     size = rows.agg(F.count("*")).scalar()
     positives = rows.agg(F.sum(label).cast("long")).scalar()
     grid = scores.sparkSession.range(points).withColumnRenamed("id", "point")
@@ -145,9 +147,8 @@ def score_histogram(scores: DataFrame, bins: int = 100, score: str = "score") ->
     start = F.when(flat, low - 0.5).otherwise(low)
     width = F.when(flat, F.lit(1.0)).otherwise(high - low) / bins
     index = F.least(F.floor((F.col(score) - start) / width), F.lit(bins - 1)).cast("long")
-    counts = scores.where(F.col(score).isNotNull()).groupBy(index.alias("bin")).agg(
-        F.count("*").alias("n")
-    )
+    binned = scores.where(F.col(score).isNotNull()).select(index.alias("bin"))
+    counts = binned.groupBy("bin").agg(F.count("*").alias("n"))
     grid = scores.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return grid.join(counts, "bin", "left").select(
         "bin", (start + F.col("bin") * width).alias("left_edge"), F.coalesce("n", F.lit(0)).alias("n")

@@ -18,6 +18,7 @@ from foretell.functions.text import (
     whitespace_tokens,
     word_tokens,
 )
+from foretell.functions.stemming import stem_words
 from foretell.operators import groups as G
 from foretell.operators import metrics as M
 from foretell.operators import textstats as TS
@@ -896,6 +897,13 @@ def z2(t):
     return by_name["bill_date_difference"](t.progress)
 
 
+@query("Z4_stems_of_words")
+def z4(t):
+    """Every distinct word of the documents with its stem."""
+    words = t.table("documents").select(F.explode(word_tokens("text")).alias("word")).distinct()
+    return words.select("word", stem_words("word").alias("stem"))
+
+
 @query(
     "Z3_metrics_by_name",
     sql_with("scores", f"SELECT metric, round(value, 6) AS value FROM (UNPIVOT (SELECT {_P5} AS precision, {_R5} AS recall, {_F5} AS f1, 1 - {_P5} AS \"FDR\", {_R5} AS \"TPR\" FROM scores) ON precision, recall, f1, \"FDR\", \"TPR\" INTO NAME metric VALUE value)"),

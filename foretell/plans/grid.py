@@ -19,6 +19,7 @@ from foretell.operators.groups import REFERENCE_GROUP, disparities
 from foretell.operators.metrics import base_rates
 from foretell.plans.run import (
     RunSettings,
+    baseline_scores,
     blocks_to_run,
     evaluate_block,
     model_scores,
@@ -91,11 +92,16 @@ def append_results(results: DataFrame, path: str) -> None:
 def run_grid(
     facts: DataFrame, settings: RunSettings, model_type: str, grid: Sequence[Mapping[str, Any]],
     work_dir: str, members: DataFrame | None = None, parallel_fits: int = 4,
+    sponsor_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Fit every parameter set on every block and append the results.
 
-    Features are computed and written once per block and shared by all models.
+    Features are computed and written once per block and shared by all models. The rate
+    baseline reads ``sponsor_rows`` instead.
     """
+    baseline = model_type == "Baseline"
+    if baseline and sponsor_rows is None:
+        raise ValueError("the baseline needs sponsor rows")
     unsupported = [p for p in grid if not supported(model_type, p)]
     if unsupported:
         raise ValueError(f"{model_type}: no counterpart for {unsupported}")
@@ -103,26 +109,35 @@ def run_grid(
     results_path = f"{work_dir}/results"
     first = next_model_index(spark, results_path, settings.feature_type, model_type)
     prepared = written_facts(facts, settings, f"{work_dir}/facts/{settings.feature_type}/{model_type}")
-    vocab = text_vocabulary(prepared, settings.spec, f"{work_dir}/text_vocab/{settings.feature_type}")
-    for block in blocks_to_run(prepared, settings):
-        fitted, train, valid = block_features(
-            prepared, settings.spec, block, settings.label_type, vocab, settings.history
+    if not baseline:
+        vocab = text_vocabulary(
+            prepared, settings.spec, f"{work_dir}/text_vocab/{settings.feature_type}"
         )
-        base = f"{work_dir}/features/{settings.feature_type}/block_{block}"
-        train.write.mode("overwrite").parquet(f"{base}/train")
-        valid.write.mode("overwrite").parquet(f"{base}/validation")
-        train, valid = spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/validation")
+    for block in blocks_to_run(prepared, settings):
+        if not baseline:
+            fitted, train, valid = block_features(
+                prepared, settings.spec, block, settings.label_type, vocab, settings.history
+            )
+            base = f"{work_dir}/features/{settings.feature_type}/block_{block}"
+            train.write.mode("overwrite").parquet(f"{base}/train")
+            valid.write.mode("overwrite").parquet(f"{base}/validation")
+            train = spark.read.parquet(f"{base}/train")
+            valid = spark.read.parquet(f"{base}/validation")
 
         def fit_one(numbered) -> DataFrame:
             offset, params = numbered
             index = first + offset
             path = f"{work_dir}/{settings.feature_type}/{model_type}/model_{index}/temporal_block_{block}"
-            scores, _ = model_scores(
-                fitted, train, valid, model_type, params, f"{path}/model", settings.label_type
-            )
+            if baseline:
+                scores = baseline_scores(sponsor_rows, block, f"{path}/model")
+            else:
+                scores, _ = model_scores(
+                    fitted, train, valid, model_type, params, f"{path}/model", settings.label_type
+                )
             scores.write.mode("overwrite").parquet(f"{path}/scores")
             stored = spark.read.parquet(f"{path}/scores")
-            scored = evaluate_block(stored, settings, block, settings.spec.id_column, members)
+            id_column = "bill_id" if baseline else settings.spec.id_column
+            scored = evaluate_block(stored, settings, block, id_column, members)
             return scored.select(
                 F.lit(index).alias("model_idx"),
                 F.lit(json.dumps(params)).alias("params"),

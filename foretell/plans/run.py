@@ -131,13 +131,16 @@ def text_vocabulary(
 ROLES = {"train": TRAIN, "validation": VALIDATION}
 
 
-def baseline_scores(sponsor_rows: DataFrame, block_id: int, path: str) -> DataFrame:
+def baseline_scores(
+    sponsor_rows: DataFrame, block_id: int, path: str, train_model: bool = True
+) -> DataFrame:
     """``(bill_id, score, y, role)`` of the rate baseline, fitted on the block's training rows.
 
     ``sponsor_rows`` are (sponsor_id, party_id, bill_id, status_new, iter_*). The rates are
     stored first, so the joins that score know how small they are.
     """
-    RateBaseline.fit(block_slice(sponsor_rows, block_id, TRAIN)).save(path)
+    if train_model:
+        RateBaseline.fit(block_slice(sponsor_rows, block_id, TRAIN)).save(path)
     model = RateBaseline.load(sponsor_rows.sparkSession, path)
     scored = []
     for name, role in ROLES.items():
@@ -150,13 +153,18 @@ def baseline_scores(sponsor_rows: DataFrame, block_id: int, path: str) -> DataFr
 
 def model_scores(
     fitted: FittedFeatures, train: DataFrame, valid: DataFrame, model_type: str,
-    params: Mapping[str, Any], path: str, label_type: str = "binary",
+    params: Mapping[str, Any], path: str, label_type: str = "binary", train_model: bool = True,
 ) -> tuple[DataFrame, list[str]]:
-    """Train, save, load and score both roles: ``(id, score, y, role)``."""
-    names = fitted.feature_names()
-    classes = len(set(LABEL_CODES[label_type].values()))
-    model, notes = fit_classifier(model_type, params, train, len(names), classes)
-    save_model(model, path)
+    """Train and save, load and score both roles: ``(id, score, y, role)``.
+
+    Without ``train_model`` the model stored at ``path`` is used.
+    """
+    notes: list[str] = []
+    if train_model:
+        names = fitted.feature_names()
+        classes = len(set(LABEL_CODES[label_type].values()))
+        model, notes = fit_classifier(model_type, params, train, len(names), classes)
+        save_model(model, path)
     loaded = load_model(path)
     id_column = fitted.spec.id_column
     scored = [
@@ -183,10 +191,13 @@ def evaluate_block(
 
 def run(
     facts: DataFrame, settings: RunSettings, model_path: str, members: DataFrame | None = None,
-    sponsor_rows: DataFrame | None = None,
+    sponsor_rows: DataFrame | None = None, train_models: bool = True,
 ) -> DataFrame:
     """Evaluation results of one model over all blocks.
 
+    With ``train_models=False`` the models stored below ``model_path`` are scored again, and
+    only the validation rows are evaluated.
+
     The loop runs over blocks (a handful); each step inside is a Spark job. Scores are
     written before they are evaluated, so an evaluation never retrains.
     """
@@ -200,7 +211,7 @@ def run(
             if sponsor_rows is None:
                 raise ValueError("the baseline needs sponsor rows")
             id_column = "bill_id"
-            scores = baseline_scores(sponsor_rows, block, f"{path}/model")
+            scores = baseline_scores(sponsor_rows, block, f"{path}/model", train_models)
         else:
             id_column = settings.spec.id_column
             fitted, train, valid = block_features(
@@ -213,7 +224,10 @@ def run(
                 spark.read.parquet(f"{path}/features_train"),
                 spark.read.parquet(f"{path}/features_validation"),
                 settings.model_type, settings.model_params, f"{path}/model", settings.label_type,
+                train_models,
             )
+        if not train_models:
+            scores = scores.where("role = 'validation'")
         scores.write.mode("overwrite").parquet(f"{path}/scores")
         results.append(
             evaluate_block(

@@ -88,7 +88,9 @@ def test_text_versions_repeat_sponsor_rows(spark):
 def test_final_text_prefers_missing_date_then_higher_id(spark):
     rows = [(1, 1, 1, d("2010-01-01")), (1, 2, 1, d("2011-01-01")), (1, 3, 2, d("2012-01-01")), (2, 4, 1, None), (2, 5, 1, d("2011-01-01"))]
     texts = spark.createDataFrame(rows, "bill_id long, doc_id long, type_id int, doc_date date")
-    assert {r.bill_id: r.doc_id for r in Q.final_text(texts).collect()} == {1: 2, 2: 4}
+    newest = Q.final_text(texts)
+    assert {r.bill_id: r.doc_id for r in newest.collect()} == {1: 2, 2: 4}
+    assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()
 
 
 def test_year_filter_is_pushed_to_the_scan(spark, tmp_path):

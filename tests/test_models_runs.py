@@ -60,10 +60,14 @@ def test_run_evaluates_every_block(spark, facts, tmp_path):
     precision = [r.value for r in rows if r.metric == "precision" and r.role == "validation"]
     assert min(precision) > 0.6
     assert len(spark.read.parquet(f"{tmp_path}/text_vocab").collect()) == 4
+    stored = run(facts, settings(), str(tmp_path), members_of(facts), train_models=False)
+    again = {tuple(r) for r in stored.collect()}
+    assert again == {tuple(r) for r in rows if r.role == "validation"}
 
 
 def test_run_is_repeatable_and_takes_blocks_from_settings(facts, tmp_path):
-    short = settings(num_temporal_blocks=1, history="slice")
+    light = FeatureSpec({k: SPEC.ops[k] for k in ("x", "sponsors")})
+    short = settings(num_temporal_blocks=1, history="slice", feature_sets={"s": light})
     runs = [sorted(map(tuple, run(facts, short, str(tmp_path / n)).collect()), key=str) for n in ("a", "b")]
     assert runs[0] == runs[1] and {r[-1] for r in runs[0]} == {1}
 
@@ -74,8 +78,15 @@ def test_baseline_run(spark, facts, tmp_path):
 
     bridge = sponsors_from_list(facts, "bill_id", "sponsors").join(facts.select("bill_id", "party_id", "status_new", "introduced_date"), "bill_id")
     rows = with_block_columns(bridge, "introduced_date", 2009, 2015, type_val=1)
-    out = run(facts, settings(model_type="Baseline"), str(tmp_path), sponsor_rows=rows)
+    baseline = settings(model_type="Baseline")
+    out = run(facts, baseline, str(tmp_path / "run"), sponsor_rows=rows)
     assert out.where("role = 'validation' and metric = 'recall'").count() == 2
+    again = run(facts, baseline, str(tmp_path / "run"), sponsor_rows=rows, train_models=False)
+    assert {r.role for r in again.select("role").distinct().collect()} == {"validation"}
+    grid = GR.run_grid(facts, baseline, "Baseline", GR.parameter_grid({}), str(tmp_path / "grid"), sponsor_rows=rows)
+    assert grid.where("metric = 'precision'").count() == 4
+    with pytest.raises(ValueError):
+        GR.run_grid(facts, baseline, "Baseline", [{}], str(tmp_path / "none"))
 
 
 @pytest.fixture(scope="module")
@@ -89,7 +100,7 @@ def numeric(facts):
     "model_type, params",
     [
         ("LogRegClassifier", {"penalty": "l1", "C": 1, "class_weight": "balanced"}),
-        ("SVMClassifier", {"C": 1, "class_weight": "balanced"}),
+        ("SVMClassifier", {"C": 1, "class_weight": "balanced", "max_iter": 10}),
         ("DTClassifier", {"criterion": "entropy", "max_depth": None}),
         ("RFClassifier", {"n_estimators": 5, "max_depth": 4, "max_features": "log2"}),
         ("MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [4], "epochs": 60}),
