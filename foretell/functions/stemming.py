@@ -12,9 +12,12 @@ import re
 from functools import lru_cache
 
 import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from foretell.session import ship_package
+
 # fixed values: irregular words
 IRREGULAR = {
     "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
@@ -164,8 +167,15 @@ def stem_word(word: str) -> str:
 
 
 @F.pandas_udf(StringType())
-def stem_words(texts: pd.Series) -> pd.Series:
-    """Stem each blank-separated word of each text."""
+def _stemmed(texts: pd.Series) -> pd.Series:
     return texts.map(
-        lambda t: " ".join(stem_word(w) for w in t.split(" ")), na_action="ignore"
+        lambda t: " ".join(map(stem_word, t.split(" "))), na_action="ignore"
     )
+
+
+def stem_words(text: Column | str) -> Column:
+    """Each blank-separated word of a text stemmed."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship_package(session)
+    return _stemmed(text)

@@ -547,8 +547,8 @@ def x15(t):
 
 
 _fused = "translate(lower(trim(text, ' ')), '" + _DROPPED + "', '')"
-for _pattern in FUSED_WORDS:
-    _fused = f"regexp_replace({_fused}, '{_pattern}', '\\1 \\2', 'g')"
+for _head, _tail in FUSED_WORDS:
+    _fused = f"regexp_replace({_fused}, '\\b({_head})({_tail})\\b', '\\1 \\2', 'g')"
 CLEAN_SQL = (
     "SELECT doc_id, coalesce(string_agg(w, ' ' ORDER BY i) FILTER (w <> '' AND w NOT IN (" + STOP_SQL + ")), '') AS clean FROM "
     f"(SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, string_split({SPACED.format(c=_fused)}, ' ') AS ws FROM documents)) GROUP BY 1"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    They need it for the Arrow UDF wherever it is not installed on the executors.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    # the archive is only read by the driver, which serves it to the executors
+    target = f"{tempfile.mkdtemp(prefix='foretell-package-')}/{package.name}"
+    sc.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+    _shipped.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
