@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foretell.llm import decontaminate, ngram_join, vector_dedup
+from foretell.llm import archive, bpe, decontaminate, ngram_join, url_filter, vector_dedup
+from foretell.session import scratch_path
+
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +26,37 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every text and of their decoded text."""
+    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return bpe.decode(ids).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to packages, and describe the records that are read back."""
+    records = archive.page_records(_table(spark, sf_dir, "pages"), least_revisit_bytes=0)
+    packages = archive.write_packages(records, scratch_path(spark, "warc"))
+    found = archive.read_records(archive.read_index(packages))
+    page = lambda c: F.expr(f"try_cast(nullif(substring_index({c}, ':', -1), '') as bigint)")
+    return found.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"),
+    )
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_embedding_dedup, op7_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_embedding_dedup, op3_bpe, op4_warc, op5_url_filter, op7_ngram_jaccard,
+)}
 
 _COMPONENTS = """
 reach(a, b) AS (
