@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.llm import decontaminate, ngram_join
+from foretell.llm import bpe, decontaminate, ngram_join, secrets, toxicity
 from foretell.session import scratch_path
 
 #: SQL can express neither the nearest-neighbour scores nor the tokenizer.
 ORACLE_SQL = None
 
 
+TOXIC = 0.3
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that score ``TOXIC`` or more by the labelled examples among ``docs``."""
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, model, TOXIC)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each class of near duplicates the document with the least id."""
     classes = ngram_join.jaccard_join(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
@@ -25,7 +34,31 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti")
 
 
-STAGES = [("ngram_jaccard", near_duplicates), ("decontamination", decontamination)]
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in texts by a mark; ``n_chars`` follows."""
+    found = secrets.scan_secrets(docs)
+    return found.select(*[
+        F.col("redacted").alias(c) if c == "text" else
+        F.when(F.size("spans") > 0, F.length("redacted").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
+        for c in docs.columns
+    ])
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, after a check that they decode to it."""
+    rows = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("a text does not survive encoding"))).alias("ids"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", toxic_documents), ("ngram_jaccard", near_duplicates), ("decontamination", decontamination),
+    ("secrets", secret_redaction), ("bpe", token_ids),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

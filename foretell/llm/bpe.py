@@ -12,6 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foretell.llm.common import spare_name, with_fields
 from foretell.session import ship_package
 
 #: Words kept per worker process, and characters of text that are cut into words at a time.
@@ -185,16 +186,9 @@ def _slices(texts: list[str]):
         yield texts[start:]
 
 
-def _name(df: DataFrame, wanted: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted = f"_{wanted}"
-    return wanted
-
-
 def _append(df: DataFrame, column: str, name: str, kind: str, work) -> DataFrame:
     """``df`` with a column made of ``column`` by a function of lists, in Arrow batches."""
-    source = _name(df, "_source")
+    source = spare_name(df, "_source")
     fed = df.drop(name).withColumn(source, F.col(column))
     out = fed.drop(source)
 
@@ -204,8 +198,7 @@ def _append(df: DataFrame, column: str, name: str, kind: str, work) -> DataFrame
             rest = batch.drop_columns([source])
             yield pa.RecordBatch.from_arrays([*rest.columns, made], names=[*rest.schema.names, name])
 
-    schema = out.schema.add(name, kind)
-    return fed.mapInArrow(run, schema)
+    return fed.mapInArrow(run, with_fields(out, f"`{name}` {kind}"))
 
 
 def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", *, path: str | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from foretell.session import cut_lineage
 
@@ -99,6 +100,19 @@ def normal_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[ \\t\\n\\r\\f\\x0b]+", " "))
 
 
+def spare_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores in front as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
+def with_fields(df: DataFrame, added: str) -> StructType:
+    """The schema of ``df`` and more fields."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node of the undirected edges ``(a, b)``; the root is the component's least node.
 

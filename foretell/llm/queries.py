@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.llm import archive, bpe, decontaminate, ngram_join, url_filter, vector_dedup
+from foretell.llm import archive, bpe, decontaminate, ngram_join, pii, quality, secrets, toxicity, url_filter, vector_dedup
+from foretell.llm.labels import fold
 from foretell.session import scratch_path
 
 URL_RULES = [
@@ -50,12 +51,55 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the examples outside fold 2 of 4."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), use=fold(F.col("doc_id"), 4) != 2)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "terms", "evidence",
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def _span_digests(found: DataFrame, *kinds: str) -> DataFrame:
+    """Counts of base spans of the given kinds, their digest, and all spans as text."""
+    as_text = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in kinds],
+        F.sha2(as_text(base).cast("binary"), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _span_digests(found, "assign", "access", "hex")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _span_digests(pii.scan_pii(docs, pii.fit_tagger(docs)), "email", "ip", "card", "phone")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model learnt outside fold 1 of 3."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, _table(spark, sf_dir, "labels"), use=fold(F.col("doc_id"), 3) != 1)
+    return quality.score_quality(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_embedding_dedup, op3_bpe, op4_warc, op5_url_filter, op7_ngram_jaccard,
+    op1_decontamination, op2_embedding_dedup, op3_bpe, op4_warc, op5_url_filter, op6_toxicity,
+    op7_ngram_jaccard, op8_secrets, op9_pii, op10_quality,
 )}
 
 _COMPONENTS = """
