@@ -9,16 +9,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foretell.llm.common import WORDS_AND_MARKS, gram_hashes, word_hashes
+from foretell.llm.common import WORDS_AND_MARKS, gram_hashes, mix, word_hashes
 from foretell.llm.labels import labelled_sample
 from foretell.session import cut_lineage, ship_package
 
 
 def features(text: str, bits: int, most_words: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed positions, ascending, and values of a text's word n-grams: log counts, as a unit vector."""
+    """Hashed positions, ascending, and values of a text's word n-grams: log counts, as a unit vector.
+
+    Words and runs of marks are tokens. An n-gram that ends with its first word also counts as the pattern
+    "a word again after n - 1 tokens", so that repetition is learnt for words that no example has.
+    """
     words = word_hashes(text.encode(), WORDS_AND_MARKS)
     parts = [gram_hashes(words, n) for n in range(1, most_words + 1) if len(words) >= n]
-    if not parts:
+    parts += [np.full(np.count_nonzero(words[k:] == words[:-k]), mix(np.uint64([k]))[0]) for k in (1, 2)]
+    if not len(words):
         return np.empty(0, np.int64), np.empty(0)
     where, times = np.unique((np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
     x = 1 + np.log(times)
@@ -71,7 +76,7 @@ def train_shard(texts: list[str], labels: list[float], bits: int, passes: int, r
 def fit_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *,
     use: Column | None = None, max_rows: int = 16_000, shards: int = 8, bits: int = 18, passes: int = 3,
-    rates: tuple[float, float, float, float] = (0.5, 1.0, 0.01, 0.0),
+    rates: tuple[float, float, float, float] = (1.0, 1.0, 0.01, 0.0),
 ) -> QualityModel:
     """Learn from at most ``max_rows`` labelled documents (``use``: condition on the labels).
 
