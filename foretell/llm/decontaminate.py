@@ -157,7 +157,7 @@ def seed_filter(grams: DataFrame) -> np.ndarray:
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", *, n: int = 3, min_score: float = 0.6,
+    item_text_col: str = "text", *, n: int = 3, min_score: float = 0.6, several: int = 3,
 ) -> DataFrame:
     """Documents that hold a copy, also an edited one, of a benchmark item.
 
@@ -169,9 +169,10 @@ def contaminated(
     documents of fewer than ``n`` words, empty or null texts give no pair. Rows that share an id
     are parts of one document or item: the best of their scores is reported, ties by position.
 
-    Of an item's n-grams, those in no more documents than its median one are its seeds: rare by
-    the item's own standard, so that an item copied into a third of all documents keeps seeds. Document
-    frequencies cover all documents. Documents are first scanned with a bit filter of fixed size, so
+    Of an item's n-grams that documents hold, those in no more documents than the median one are rare: by
+    the item's own standard, so that an item copied into a third of all documents keeps rare seeds. A
+    document is aligned with an item if it holds a rare seed of it, or ``several`` seeds of any kind, which
+    finds copies of a part that is common. Document frequencies cover all documents. Documents are first scanned with a bit filter of fixed size, so
     only n-grams that probably are an item's get shuffled; each pair is then aligned once, around
     its seed hits. Neither the items nor the documents pass through the driver.
     """
@@ -186,9 +187,10 @@ def contaminated(
     # rows of false hits of the filter end here
     common = hits.join(grams.select("gram").distinct(), "gram").groupBy("gram").agg(F.count("*").alias("df"))
     known = grams.join(common, "gram")  # the others are in no document
-    rank = grams.join(common, "gram", "left").groupBy("item").agg(F.median(F.coalesce("df", F.lit(0))).alias("middle"))
-    seeds = known.join(rank, known.item.eqNullSafe(rank.item)).where("df <= middle").select(known.item, "gram")
-    pairs = hits.join(seeds, "gram").groupBy("doc", "item").agg(F.collect_set("gram").alias("seeds"))
+    middle = known.groupBy("item").agg(F.median("df").alias("middle")).withColumnRenamed("item", "i")
+    seeds = known.join(middle, F.col("item").eqNullSafe(F.col("i"))).select("item", "gram", (F.col("df") <= F.col("middle")).alias("rare"))
+    pairs = hits.join(seeds, "gram").groupBy("doc", "item").agg(F.collect_set("gram").alias("seeds"), F.max("rare").alias("rare"))
+    pairs = pairs.where(F.col("rare") | (F.size("seeds") >= several))
     wanted = pairs.join(tests.withColumnRenamed("item", "i"), F.col("item").eqNullSafe(F.col("i"))).groupBy("doc").agg(
         F.collect_list(F.struct("item", "seeds", F.coalesce("text", F.lit("")).alias("item_text"))).alias("items")
     )
