@@ -46,7 +46,7 @@ def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, after a check that they decode to it."""
-    rows = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    rows = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

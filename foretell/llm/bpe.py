@@ -16,7 +16,9 @@ from foretell.llm.common import spare_name, with_fields
 from foretell.session import ship_package
 
 #: Words kept per worker process, and characters of text that are cut into words at a time.
-CACHE_WORDS, SLICE_CHARS = 300_000, 1 << 20
+CACHE_WORDS, SLICE_CHARS = 200_000, 1 << 19
+#: Rows of a result batch.
+SLICE_ROWS = 64
 #: Cells of a block of words that are merged together.
 BLOCK_CELLS = 1 << 19
 NONE = np.int64(1) << 62
@@ -175,30 +177,38 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _slices(texts: list[str]):
-    start = total = 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= SLICE_CHARS:
-            yield texts[start : i + 1]
-            start, total = i + 1, 0
-    if start < len(texts):
-        yield texts[start:]
-
-
-def _append(df: DataFrame, column: str, name: str, kind: str, work) -> DataFrame:
-    """``df`` with a column made of ``column`` by a function of lists, in Arrow batches."""
+def _append(df: DataFrame, column: str, added: dict[str, str], work) -> DataFrame:
+    """``df`` with columns (names and types) made of ``column`` by a function of lists, some rows at a time."""
     source = spare_name(df, "_source")
-    fed = df.drop(name).withColumn(source, F.col(column))
-    out = fed.drop(source)
+    kept = df.drop(*added)
+    fed = kept.withColumn(source, F.col(column))
+    kinds = [{"binary": pa.binary(), "string": pa.string()}[k] for k in added.values()]
 
     def run(batches):
         for batch in batches:
-            made = pa.array(work(batch.column(source).to_pylist()), pa.binary() if kind == "binary" else pa.string())
-            rest = batch.drop_columns([source])
-            yield pa.RecordBatch.from_arrays([*rest.columns, made], names=[*rest.schema.names, name])
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                made = [pa.array(x, k) for x, k in zip(work(part.column(source).to_pylist()), kinds)]
+                rest = part.drop_columns([source])
+                yield pa.RecordBatch.from_arrays([*rest.columns, *made], names=[*rest.schema.names, *added])
 
-    return fed.mapInArrow(run, with_fields(out, f"`{name}` {kind}"))
+    return fed.mapInArrow(run, with_fields(kept, ", ".join(f"`{c}` {k}" for c, k in added.items())))
+
+
+def _encoded(bpe: Bpe, texts: list[str | None]) -> list[bytes]:
+    """Ids of each text; words are looked up for about SLICE_CHARS characters at a time."""
+    out: list[bytes] = []
+    start = total = 0
+    for i, text in enumerate(texts):
+        total += len(text or "")
+        if total >= SLICE_CHARS or i == len(texts) - 1:
+            out += bpe.encode([t or "" for t in texts[start : i + 1]])
+            start, total = i + 1, 0
+    return out
+
+
+def _place(path: str | None) -> str:
+    return path or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", *, path: str | None = None) -> DataFrame:
@@ -207,16 +217,11 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", *, pat
     As the tokenizer file defines them, without added start or end tokens; special tokens that
     stand in a text are recognised. Null counts as empty and gives no ids. Any length of text or
     of a run without blanks is encoded: memory is bounded by one text, time by n log n. An existing
-    column of the name is replaced.
+    column of the name is replaced. Each row stands alone, whatever its other columns.
     """
     ship_package(docs.sparkSession)
-    place = path or public_tokenizers.path("byte_bpe_50k.json")
-
-    def work(texts):
-        bpe = load(place)
-        return [ids for part in _slices([t or "" for t in texts]) for ids in bpe.encode(part)]
-
-    return _append(docs, text_col, ids_col, "binary", work)
+    place = _place(path)
+    return _append(docs, text_col, {ids_col: "binary"}, lambda texts: [_encoded(load(place), texts)])
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded", *, path: str | None = None) -> DataFrame:
@@ -225,13 +230,22 @@ def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "decoded", *,
     Bytes that are no UTF-8 become replacement characters.
     """
     ship_package(rows.sparkSession)
-    place = path or public_tokenizers.path("byte_bpe_50k.json")
+    place = _place(path)
+    return _append(rows, ids_col, {text_col: "string"}, lambda ids: [[load(place).decode(x or b"") for x in ids]])
 
-    def work(ids):
-        bpe = load(place)
-        return [bpe.decode(x or b"") for x in ids]
 
-    return _append(rows, ids_col, text_col, "string", work)
+def round_trip(
+    docs: DataFrame, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded", *, path: str | None = None,
+) -> DataFrame:
+    """``encode`` and ``decode`` of its ids, by one Python worker for each task instead of two."""
+    ship_package(docs.sparkSession)
+    place = _place(path)
+
+    def work(texts):
+        ids = _encoded(load(place), texts)
+        return [ids, [load(place).decode(x) for x in ids]]
+
+    return _append(docs, text_col, {ids_col: "binary", decoded_col: "string"}, work)
 
 
 def unpack(ids: bytes) -> np.ndarray:

@@ -29,8 +29,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every text and of their decoded text."""
-    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return bpe.decode(ids).select(
+    return bpe.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
