@@ -75,8 +75,8 @@ def train_shard(texts: list[str], labels: list[float], bits: int, passes: int, r
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *,
-    use: Column | None = None, max_rows: int = 16_000, shards: int = 8, bits: int = 18, passes: int = 3,
-    rates: tuple[float, float, float, float] = (1.0, 1.0, 0.01, 0.0),
+    use: Column | None = None, max_rows: int = 16_000, shards: int = 4, bits: int = 18, passes: int = 6,
+    rates: tuple[float, float, float, float] = (2.0, 1.0, 0.01, 0.0),
 ) -> QualityModel:
     """Learn from at most ``max_rows`` labelled documents (``use``: condition on the labels).
 
