@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foretell.llm.common import WORDS, run_hashes, runs, spare_name, with_fields
+from foretell.llm.common import WORDS, gram_hashes, mix, run_hashes, runs, spare_name, with_fields
 from foretell.llm.labels import labelled_sample
 from foretell.session import cut_lineage, ship_package
 
@@ -99,6 +99,7 @@ class ToxicityModel:
     example: list
     k: int
     steps: tuple[np.ndarray, np.ndarray] | None
+    base: float  # share of label 1
     unknown: float  # score of a text without a known term
 
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,9 +109,10 @@ class ToxicityModel:
         found, cosines = self.index.search(*vector, self.k)
         if not len(found):
             return None, found, cosines
-        near = 1 / (1.05 - np.minimum(cosines, 1.0))
-        votes = self.votes[found] * near[:, None]
-        return float(votes[:, 1].sum() / votes.sum()), found, cosines
+        # a vote falls with the distance; one vote of the base rate stands for what is far away
+        share = self.votes[found, 1] / self.votes[found].sum(axis=1)
+        near = cosines**2
+        return float((near @ share + self.base) / (near.sum() + 1)), found, cosines
 
     def calibrated(self, raw: float | None) -> float:
         if raw is None:
@@ -135,6 +137,18 @@ def term_counts(text: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(at[keys[at] == hashes], return_counts=True) if len(keys) else (np.empty(0, np.int64), np.empty(0))
 
 
+def _sketch(batches):
+    """Two MinHashes of each text's word 3-grams; an empty text has zeros."""
+    for batch in batches:
+        made = []
+        for text in batch.column("low").to_pylist():
+            data = text.encode()
+            grams = gram_hashes(run_hashes(data, *runs(data, WORDS)), 3)
+            made.append([int(g.min().view(np.int64)) if len(g) else 0 for g in (grams, mix(grams))])
+        sketches = [pa.array([m[k] for m in made], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *sketches], names=[*batch.schema.names, "sketch_0", "sketch_1"])
+
+
 def _document_counts(keys: np.ndarray):
     def run(batches):
         total = np.zeros(len(keys) + 1, np.int64)  # at last: all documents
@@ -150,28 +164,38 @@ def _document_counts(keys: np.ndarray):
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
     use: Column | None = None, max_examples: int = 20_000, max_terms: int = 1024, least_documents: int = 3,
-    least_chi2: float = 20.0, k: int = 15,
+    false_terms: float = 0.01, k: int = 15,
 ) -> ToxicityModel:
     """Examples and their index from at most ``max_examples`` labelled documents (``use``: condition on the labels).
 
-    Four fifths are examples, the rest calibrates. Terms are those of the examples, in ``least_documents``
-    at least, whose presence goes with the label (chi-square, the ``max_terms`` highest); their document
-    frequencies come from all documents. Driver and tasks hold the examples' vectors over these terms only.
+    Four fifths are examples, the rest calibrates. Copies and most near copies (equal in one of two MinHashes of
+    word 3-grams) count once, or else the words of a much copied text would seem to go with its label. Terms are those of the
+    examples, in ``least_documents`` at least, whose presence goes with the label: n KL(p || base rate) of a term
+    in n examples must reach ln(terms tested / ``false_terms``), which bounds by about that number the
+    terms taken by chance (the ``max_terms`` strongest). Their document frequencies come from all documents.
+    Driver and tasks hold the examples' vectors over these terms only.
     """
     ship_package(docs.sparkSession)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, use, max_examples)
-    sample = cut_lineage(sample.select(
-        "id", "label", F.lower("text").alias("low"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)) > 0).alias("example")
-    ))
+    kind = sample.schema["id"].dataType.simpleString()
+    sample = sample.select("id", "label", F.lower("text").alias("low")).mapInArrow(
+        _sketch, f"id {kind}, label int, low string, sketch_0 long, sketch_1 long")
+    for sketch in ("sketch_0", "sketch_1"):
+        sample = sample.groupBy(sketch).agg(F.min(F.struct("id", "label", "low", "sketch_0", "sketch_1")).alias("row")).select("row.*")
+    sample = sample.select("id", "label", "low")
+    part = F.pmod(F.xxhash64("low", F.lit(1)), F.lit(5))
+    sample = cut_lineage(sample.withColumn("example", part > 0))
     examples = sample.where("example")
     ones, size = (v or 0 for v in examples.agg(F.sum("label"), F.count("*")).first())
     words = examples.select("label", F.explode(F.array_distinct(F.split("low", NO_WORD))).alias("term")).where("term <> ''")
     seen = words.groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("p")).where(F.col("n") >= least_documents)
-    n, p = F.col("n").cast("double"), F.col("p").cast("double")
-    cross = p * (size - ones - n + p) - (n - p) * (ones - p)
-    spread = n * (size - n) * float(ones) * float(size - ones)
-    seen = seen.withColumn("chi2", F.when(spread > 0, size * cross * cross / spread).otherwise(0.0))
-    terms = [r.term for r in seen.where(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
+    seen = cut_lineage(seen)
+    n, p, base = F.col("n").cast("double"), F.col("p").cast("double"), ones / size if size else 0.0
+    part = lambda k, share: F.when(k > 0, k * F.ln(k / (n * F.lit(share)))).otherwise(0.0)
+    gain = part(p, base) + part(n - p, 1 - base)
+    tested = seen.count()
+    picked = seen.withColumn("gain", gain).where(F.col("gain") >= float(np.log(max(1, tested) / false_terms)))
+    terms = [r.term for r in picked.orderBy(F.desc("gain"), "term").limit(max_terms).collect()]
     keys = np.array([int(run_hashes(t.encode(), np.array([0]), np.array([len(t.encode())]))[0]) for t in terms], np.uint64)
     order = np.argsort(keys)
     keys, terms = keys[order], [terms[i] for i in order]
@@ -191,11 +215,10 @@ def fit_toxicity(
                 names=["id", "label", "example", "terms", "times"],
             )
 
-    kind = sample.schema["id"].dataType.simpleString()
     rows = sample.mapInArrow(vectors, f"id {kind}, label int, example boolean, terms array<long>, times array<long>").collect()
     shared: dict[tuple, list] = {}
     for r in rows:
-        if r.example and r.terms:
+        if r.example and r.terms:  # votes of the examples that share a vector
             entry = shared.setdefault((tuple(r.terms), tuple(r.times)), [0, 0, r.id])
             entry[r.label > 0] += 1
             entry[2] = min(entry[2], r.id)
@@ -204,7 +227,7 @@ def fit_toxicity(
     made.sort(key=lambda m: (int(m[0][0][m[0][1].argmax()]), -float(m[0][1].max()), m[0][0].tolist(), m[0][1].tolist()))
     model = ToxicityModel(
         terms, keys, weight, BlockMaxIndex([m[0] for m in made], len(keys)), np.array([m[1][:2] for m in made], float).reshape(-1, 2),
-        [m[1][2] for m in made], k, None, 0.0,
+        [m[1][2] for m in made], k, None, ones / size if size else 0.0, 0.0,
     )
     held = [(model.raw(unit_vector((np.array(r.terms, np.int64), np.array(r.times)), weight))[0], r.label > 0) for r in rows if not r.example]
     empty = [y for x, y in held if x is None] + [r.label > 0 for r in rows if r.example and not r.terms]
