@@ -37,12 +37,61 @@ def balanced_weights(train: DataFrame, label: str = "label") -> Column:
     return weight
 
 
-def _tree_depth(params: Mapping[str, Any], notes: list[str]) -> int:
-    depth = params.get("max_depth")
-    if depth is None or depth > MAX_TREE_DEPTH:
-        notes.append(f"max_depth {depth} set to {MAX_TREE_DEPTH}")
-        return MAX_TREE_DEPTH
-    return depth
+def effective_parameters(
+    model_type: str, params: Mapping[str, Any], accept_limits: bool = False
+) -> tuple[dict[str, Any], list[str]]:
+    """The parameters that a model is fitted with, and a note on each that differs from ``params``.
+
+    What Spark ML cannot do is an error, unless ``accept_limits`` allows the nearest it can: trees of
+    depth 30 at most, sigmoid layers, no class weights for networks. An unset depth means no limit and is
+    always noted. Support vectors have no nearest: the kernel must be ``linear``, and unset means ``rbf``.
+    """
+    notes: list[str] = []
+
+    def limit(name: str, wanted, given) -> Any:
+        if not accept_limits:
+            raise ValueError(f"{model_type}: {name} {wanted!r} is not available; accept_limits takes {given!r} instead")
+        notes.append(f"{name} {wanted} set to {given}")
+        return given
+
+    weight = {"class_weight": params["class_weight"]} if params.get("class_weight") else {}
+    if model_type == "LogRegClassifier":
+        penalty = params.get("penalty", "l2")
+        if penalty not in ("l1", "l2"):
+            raise ValueError(f"penalty {penalty!r}, choose from l1, l2")
+        if params.get("solver"):
+            notes.append(f"solver {params['solver']} is not a choice here")
+        out = {"penalty": penalty, "C": params.get("C", 1.0), "max_iter": params.get("max_iter", 100)}
+    elif model_type == "SVMClassifier":
+        kernel = params.get("kernel", "rbf")
+        if kernel != "linear":
+            raise ValueError(f"kernel {kernel!r} is not available, only linear")
+        out = {"kernel": kernel, "C": params.get("C", 1.0), "max_iter": params.get("max_iter", 100)}
+    elif model_type in ("DTClassifier", "RFClassifier"):
+        depth = params.get("max_depth")
+        if depth is None:
+            depth = MAX_TREE_DEPTH
+            notes.append(f"max_depth None set to {depth}")
+        elif depth > MAX_TREE_DEPTH:
+            depth = limit("max_depth", depth, MAX_TREE_DEPTH)
+        out = {"criterion": params.get("criterion", "gini"), "max_depth": depth}
+        if model_type == "RFClassifier":
+            out |= {"n_estimators": params.get("n_estimators", 100), "max_features": params.get("max_features") or "sqrt"}
+    elif model_type in ("MultiLabelNNClassifier", "BinaryLabelNNClassifier"):
+        activation = params.get("activation", "relu")
+        if activation != "sigmoid":
+            activation = limit("activation", activation, "sigmoid")
+        if weight:
+            weight = {"class_weight": w} if (w := limit("class_weight", params["class_weight"], None)) else {}
+        out = {
+            "num_hidden_nodes_in_layers": list(params.get("num_hidden_nodes_in_layers") or [50, 20]),
+            "activation": activation, "epochs": params.get("epochs", 100),
+        }
+    elif model_type == "Baseline":
+        out = {}
+    else:
+        raise ValueError(f"model type {model_type!r}, choose from {MODEL_TYPES}")
+    return out | weight, notes
 
 
 def _inverse_strength(params: Mapping[str, Any], n_rows: int) -> float:
@@ -52,64 +101,46 @@ def _inverse_strength(params: Mapping[str, Any], n_rows: int) -> float:
 
 def build_classifier(
     model_type: str, params: Mapping[str, Any], n_rows: int, n_features: int, n_classes: int = 2,
-    seed: int = 17,
+    seed: int = 17, accept_limits: bool = False,
 ) -> tuple[Estimator, list[str]]:
     """The estimator and notes on parameters that could not be taken as given."""
-    notes: list[str] = []
+    used, notes = effective_parameters(model_type, params, accept_limits)
     if model_type == "LogRegClassifier":
-        penalty = params.get("penalty", "l2")
-        if penalty not in ("l1", "l2"):
-            raise ValueError(f"penalty {penalty!r}, choose from l1, l2")
         estimator = LogisticRegression(
-            elasticNetParam=1.0 if penalty == "l1" else 0.0,
-            regParam=_inverse_strength(params, n_rows),
+            elasticNetParam=1.0 if used["penalty"] == "l1" else 0.0,
+            regParam=_inverse_strength(used, n_rows),
             standardization=False,
-            maxIter=params.get("max_iter", 100),
+            maxIter=used["max_iter"],
         )
     elif model_type == "SVMClassifier":
-        kernel = params.get("kernel", "linear")
-        if kernel != "linear":
-            raise ValueError(f"kernel {kernel!r} is not available, only linear")
         estimator = LinearSVC(
-            regParam=_inverse_strength(params, n_rows), standardization=False,
-            maxIter=params.get("max_iter", 100),
+            regParam=_inverse_strength(used, n_rows), standardization=False, maxIter=used["max_iter"]
         )
     elif model_type == "DTClassifier":
-        estimator = DecisionTreeClassifier(
-            impurity=params.get("criterion", "gini"), maxDepth=_tree_depth(params, notes), seed=seed
-        )
+        estimator = DecisionTreeClassifier(impurity=used["criterion"], maxDepth=used["max_depth"], seed=seed)
     elif model_type == "RFClassifier":
         estimator = RandomForestClassifier(
-            impurity=params.get("criterion", "gini"),
-            maxDepth=_tree_depth(params, notes),
-            numTrees=params.get("n_estimators", 100),
-            featureSubsetStrategy=params.get("max_features") or "sqrt",
-            seed=seed,
+            impurity=used["criterion"], maxDepth=used["max_depth"], numTrees=used["n_estimators"],
+            featureSubsetStrategy=used["max_features"], seed=seed,
         )
-    elif model_type in ("MultiLabelNNClassifier", "BinaryLabelNNClassifier"):
-        hidden = params.get("num_hidden_nodes_in_layers") or [50, 20]
-        if params.get("activation", "sigmoid") != "sigmoid":
-            notes.append(f"activation {params['activation']} replaced by sigmoid")
+    elif model_type != "Baseline":
         estimator = MultilayerPerceptronClassifier(
-            layers=[n_features, *hidden, n_classes], maxIter=params.get("epochs", 100), seed=seed
+            layers=[n_features, *used["num_hidden_nodes_in_layers"], n_classes], maxIter=used["epochs"], seed=seed
         )
     else:
-        raise ValueError(f"model type {model_type!r}, choose from {MODEL_TYPES}")
-    if params.get("class_weight") == "balanced":
-        if estimator.hasParam("weightCol"):
-            estimator = estimator.copy({estimator.getParam("weightCol"): WEIGHT})
-        else:
-            notes.append("class_weight is not supported by this model")
+        raise ValueError("the baseline is fitted from sponsor rows")
+    if used.get("class_weight") == "balanced":
+        estimator = estimator.copy({estimator.getParam("weightCol"): WEIGHT})
     return estimator, notes
 
 
 def fit_classifier(
     model_type: str, params: Mapping[str, Any], train: DataFrame, n_features: int,
-    n_classes: int = 2, seed: int = 17, n_rows: int | None = None,
+    n_classes: int = 2, seed: int = 17, n_rows: int | None = None, accept_limits: bool = False,
 ) -> tuple[Model, list[str]]:
     """Fit on ``(id, features, label)`` rows."""
     n = train.count() if n_rows is None else n_rows
-    estimator, notes = build_classifier(model_type, params, n, n_features, n_classes, seed)
+    estimator, notes = build_classifier(model_type, params, n, n_features, n_classes, seed, accept_limits)
     balanced = params.get("class_weight") == "balanced" and estimator.hasParam("weightCol")
     rows = train.withColumn(WEIGHT, balanced_weights(train)) if balanced else train
     return estimator.fit(rows), notes

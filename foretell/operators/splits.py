@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import in_years
 from foretell.operators.joins import in_range
-from foretell.session import small_table
+from foretell.session import scratch_path, small_table
 
 # fixed values: role codes of a row inside a temporal block
 UNUSED, TRAIN, TRAIN_BUFFER, VALIDATION, VALIDATION_BUFFER = 0, 1, 2, 3, 4
 
-MAX_BROADCAST_DAYS = 1_000_000  # beyond this many (split, day) rows the calendar is shuffled
-
 
 def block_starts(
     start_year: int, end_year: int, split_list: Sequence[int] = (2, 1, 1, 1), update_freq: int = 2
@@ -161,15 +159,15 @@ class CalendarSplits:
     ) -> DataFrame:
         """``df`` with columns ``split`` and ``role``; a row may be in many splits.
 
-        The periods are unrolled to days, so rows meet them in an equi-join on the day.
+        The periods are unrolled to days, so rows meet them in an equi-join on the day. The
+        calendar is written first, which gives the planner its true size for the choice of join.
         """
         periods = self.split_table(df, date_column, start, gap)
         days = F.sequence("start_date", F.date_sub("end_date", 1))
         filled = periods.where("start_date < end_date")
-        calendar = filled.select("split", "role", F.explode(days).alias("day"))
-        covered = filled.agg(F.sum(F.datediff("end_date", "start_date"))).first()[0] or 0
-        if covered > MAX_BROADCAST_DAYS:
-            calendar = calendar.hint("merge")
+        path = scratch_path(df.sparkSession, "calendar")
+        filled.select("split", "role", F.explode(days).alias("day")).write.parquet(path)
+        calendar = df.sparkSession.read.parquet(path)
         return in_range(df, calendar, date_column)
 
     def get_n_splits(self) -> int:

@@ -22,7 +22,7 @@ from foretell.plans.catalog_relational import BLOCK_ROLES, role_sql
 from foretell.plans.registry import query, rounded
 from foretell.plans.run import RunSettings, baseline_scores, run
 from foretell.plans.standins import sql_with
-from foretell.session import scratch_path
+from foretell.session import scratch_path, small_table
 
 RATE_OF = "avg(CASE WHEN status_new = 'Passed' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
 BASELINE_VIEWS = {
@@ -112,7 +112,7 @@ def k5(t):
 
 @query("K6_feed_forward_net")
 def k6(t):
-    return scored(t, "MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [6, 4], "epochs": 20})
+    return scored(t, "MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [6, 4], "activation": "sigmoid", "epochs": 20})
 
 
 @query(
@@ -176,10 +176,11 @@ def g1(t):
 
 @query("G2_next_model_index")
 def g2(t):
-    families = grid_results(t).groupBy("feature_type", "model_type").agg(
-        (F.max("model_idx") + 1).alias("next_idx")
-    )
-    return families
+    grid_results(t)
+    path = f"{_GRIDS[t.spark.sparkContext.applicationId, t.sf_dir]}/results"
+    families = ("DTClassifier", "LogRegClassifier", "RFClassifier", "Baseline")
+    rows = [("small", m, GR.next_model_index(t.spark, path, "small", m)) for m in families]
+    return small_table(t.spark, rows, "feature_type string, model_type string, next_idx int")
 
 
 @query("G3_results_per_family")

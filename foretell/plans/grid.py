@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 from typing import Any
@@ -15,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foretell.features.fit import block_features
+from foretell.models.classifiers import effective_parameters
 from foretell.operators.groups import REFERENCE_GROUP, disparities
 from foretell.operators.metrics import base_rates
 from foretell.plans.run import (
@@ -26,6 +26,7 @@ from foretell.plans.run import (
     text_vocabulary,
     written_facts,
 )
+from foretell.session import small_table
 
 # fixed values: the hyper-parameter ranges per model family
 MODEL_GRID: dict[str, dict[str, list]] = {
@@ -55,7 +56,7 @@ MODEL_GRID: dict[str, dict[str, list]] = {
     },
 }
 RESULTS = (
-    "model_idx int, params string, block_id int, role string, `group` string, metric string, "
+    "model_idx int, params string, effective string, notes string, block_id int, role string, `group` string, metric string, "
     "value double, feature_type string, model_type string"
 )
 
@@ -65,9 +66,20 @@ def parameter_grid(ranges: Mapping[str, Sequence]) -> list[dict[str, Any]]:
     return [dict(zip(ranges, values)) for values in product(*ranges.values())]
 
 
-def supported(model_type: str, params: Mapping[str, Any]) -> bool:
-    """Whether a parameter set has a counterpart here (support vectors: linear kernel only)."""
-    return model_type != "SVMClassifier" or params.get("kernel", "linear") == "linear"
+def split_grid(
+    model_type: str, grid: Sequence[Mapping[str, Any]], accept_limits: bool
+) -> tuple[dict[str, list[tuple[int, Mapping[str, Any], str]]], list[tuple[int, Mapping[str, Any], str]]]:
+    """Places of the grid by effective parameters (JSON), and those without a counterpart, with notes."""
+    usable: dict[str, list] = {}
+    others = []
+    for place, params in enumerate(grid):
+        try:
+            used, notes = effective_parameters(model_type, params, accept_limits)
+        except ValueError as error:
+            others.append((place, params, str(error)))
+            continue
+        usable.setdefault(json.dumps(used, sort_keys=True), []).append((place, params, "; ".join(notes)))
+    return usable, others
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
@@ -94,21 +106,29 @@ def run_grid(
     work_dir: str, members: DataFrame | None = None, parallel_fits: int = 4,
     sponsor_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Fit every parameter set on every block and append the results.
+    """Fit every parameter set on every block and append the results of each model as it is done.
 
-    Features are computed and written once per block and shared by all models. The rate
-    baseline reads ``sponsor_rows`` instead.
+    Parameter sets that come to the same effective parameters are one model, fitted once, with rows for
+    each set. A set without a counterpart here (see ``effective_parameters``) has one row ``not_run`` that says
+    why; a grid of such sets alone is an error. Features are computed and written once per block and shared by all
+    models. The rate baseline reads ``sponsor_rows`` instead.
     """
     baseline = model_type == "Baseline"
     if baseline and sponsor_rows is None:
         raise ValueError("the baseline needs sponsor rows")
-    unsupported = [p for p in grid if not supported(model_type, p)]
-    if unsupported:
-        raise ValueError(f"{model_type}: no counterpart for {unsupported}")
+    usable, others = split_grid(model_type, grid, settings.accept_limits)
+    if not usable:
+        raise ValueError(f"{model_type}: no counterpart for {[o[1] for o in others]}: {others[0][2]}" if others else "an empty grid")
     spark = facts.sparkSession
     results_path = f"{work_dir}/results"
     first = next_model_index(spark, results_path, settings.feature_type, model_type)
+    kind = F.lit(settings.feature_type).alias("feature_type"), F.lit(model_type).alias("model_type")
     prepared = written_facts(facts, settings, f"{work_dir}/facts/{settings.feature_type}/{model_type}")
+    if others:
+        left_out = [(first + place, json.dumps(params), note) for place, params, note in others]
+        table = small_table(spark, left_out, "model_idx int, params string, notes string")
+        nothing = {c: F.lit(None).cast(t) for c, t in (("effective", "string"), ("block_id", "int"), ("role", "string"), ("group", "string"), ("value", "double"))}
+        append_results(table.withColumns(nothing | {"metric": F.lit("not_run")}).select("*", *kind), results_path)
     if not baseline:
         vocab = text_vocabulary(
             prepared, settings.spec, f"{work_dir}/text_vocab/{settings.feature_type}"
@@ -124,31 +144,32 @@ def run_grid(
             train = spark.read.parquet(f"{base}/train")
             valid = spark.read.parquet(f"{base}/validation")
 
-        def fit_one(numbered) -> DataFrame:
-            offset, params = numbered
-            index = first + offset
+        def fit_one(model) -> DataFrame:
+            used, places = model
+            index = first + places[0][0]
             path = f"{work_dir}/{settings.feature_type}/{model_type}/model_{index}/temporal_block_{block}"
             if baseline:
                 scores = baseline_scores(sponsor_rows, block, f"{path}/model")
             else:
                 scores, _ = model_scores(
-                    fitted, train, valid, model_type, params, f"{path}/model", settings.label_type
+                    fitted, train, valid, model_type, json.loads(used), f"{path}/model", settings.label_type,
+                    accept_limits=settings.accept_limits,
                 )
             scores.write.mode("overwrite").parquet(f"{path}/scores")
             stored = spark.read.parquet(f"{path}/scores")
             id_column = "bill_id" if baseline else settings.spec.id_column
             scored = evaluate_block(stored, settings, block, id_column, members)
-            return scored.select(
-                F.lit(index).alias("model_idx"),
-                F.lit(json.dumps(params)).alias("params"),
-                "block_id", "role", "group", "metric", "value",
-                F.lit(settings.feature_type).alias("feature_type"),
-                F.lit(model_type).alias("model_type"),
+            names = ("model_idx", "params", "effective", "notes")
+            asked = [(first + place, json.dumps(params), used, note) for place, params, note in places]
+            each = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in asked])
+            return scored.withColumn("asked", F.explode(each)).select(
+                *[f"asked.{n}" for n in names], "block_id", "role", "group", "metric", "value", *kind
             )
 
         with ThreadPool(parallel_fits) as pool:
-            frames = pool.map(fit_one, list(enumerate(grid)))
-        append_results(reduce(DataFrame.unionByName, frames), results_path)
+            # appended one by one here, so that a model that fails costs none that were done before
+            for rows in pool.imap(fit_one, list(usable.items())):
+                append_results(rows, results_path)
     return read_results(spark, results_path)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial, reduce
 from typing import Any
 
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from foretell.features.columns import LABEL_CODES
 from foretell.features.fit import FittedFeatures, block_features, with_history
 from foretell.features.spec import FEATURE_SETS, FeatureSpec
 from foretell.features.text import VectorVocabulary, vocabulary
-from foretell.models.classifiers import fit_classifier, load_model, predict_scores, save_model
+from foretell.models.classifiers import effective_parameters, fit_classifier, load_model, predict_scores, save_model
 from foretell.operators import facts as Q
 from foretell.operators.baseline import RateBaseline
 from foretell.operators.groups import group_metrics
@@ -59,6 +61,7 @@ class RunSettings:
     top_k_fraction: float = 0.3
     bias_metrics: Sequence[str] = ("FDR", "TPR")
     history: str = "slice"
+    accept_limits: bool = False  # see effective_parameters
     preparation: Mapping[str, Sequence[str]] | None = None
     date_column: str = "introduced_date"
     feature_sets: Mapping[str, FeatureSpec] = field(default_factory=lambda: dict(FEATURE_SETS))
@@ -81,6 +84,7 @@ class RunSettings:
             num_temporal_blocks=split.get("num_temporal_blocks"),
             top_k_fraction=evaluate["top_k_fraction"],
             bias_metrics=tuple(evaluate["bias_analysis"]["metrics"]),
+            accept_limits=config.get("accept_limits", False),
             preparation=config["transform"]["ops"],
             date_column=config["transform"].get("year_col", "introduced_date"),
             feature_sets={n: FeatureSpec.from_config(i) for n, i in config["feature_info"].items()},
@@ -125,7 +129,7 @@ def text_vocabulary(
     if not columns:
         return None
     build = partial(vocabulary, prepared, columns)
-    return VectorVocabulary(vocabulary_at(prepared.sparkSession, path, build))
+    return VectorVocabulary(vocabulary_at(prepared.sparkSession, f"{path}/{'-'.join(sorted(columns))}", build))
 
 
 ROLES = {"train": TRAIN, "validation": VALIDATION}
@@ -154,6 +158,7 @@ def baseline_scores(
 def model_scores(
     fitted: FittedFeatures, train: DataFrame, valid: DataFrame, model_type: str,
     params: Mapping[str, Any], path: str, label_type: str = "binary", train_model: bool = True,
+    accept_limits: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Train and save, load and score both roles: ``(id, score, y, role)``.
 
@@ -163,7 +168,7 @@ def model_scores(
     if train_model:
         names = fitted.feature_names()
         classes = len(set(LABEL_CODES[label_type].values()))
-        model, notes = fit_classifier(model_type, params, train, len(names), classes)
+        model, notes = fit_classifier(model_type, params, train, len(names), classes, accept_limits=accept_limits)
         save_model(model, path)
     loaded = load_model(path)
     id_column = fitted.spec.id_column
@@ -193,7 +198,10 @@ def run(
     facts: DataFrame, settings: RunSettings, model_path: str, members: DataFrame | None = None,
     sponsor_rows: DataFrame | None = None, train_models: bool = True,
 ) -> DataFrame:
-    """Evaluation results of one model over all blocks.
+    """Evaluation results of one model over all blocks, with the parameters it was fitted with.
+
+    Columns: ``params`` (JSON), ``notes`` (where they differ from the settings), ``role``, ``group``,
+    ``metric``, ``value``, ``block_id``.
 
     With ``train_models=False`` the models stored below ``model_path`` are scored again, and
     only the validation rows are evaluated.
@@ -202,6 +210,7 @@ def run(
     written before they are evaluated, so an evaluation never retrains.
     """
     spark = facts.sparkSession
+    used, notes = effective_parameters(settings.model_type, settings.model_params, settings.accept_limits)
     prepared = written_facts(facts, settings, f"{model_path}/facts")
     vocab = text_vocabulary(prepared, settings.spec, f"{model_path}/text_vocab")
     results = []
@@ -224,7 +233,7 @@ def run(
                 spark.read.parquet(f"{path}/features_train"),
                 spark.read.parquet(f"{path}/features_validation"),
                 settings.model_type, settings.model_params, f"{path}/model", settings.label_type,
-                train_models,
+                train_models, settings.accept_limits,
             )
         if not train_models:
             scores = scores.where("role = 'validation'")
@@ -234,7 +243,13 @@ def run(
                 spark.read.parquet(f"{path}/scores"), settings, block, id_column, members
             )
         )
-    return reduce(DataFrame.unionByName, results)
+    return with_parameters(reduce(DataFrame.unionByName, results), used, notes)
+
+
+def with_parameters(results: DataFrame, used: Mapping[str, Any], notes: Sequence[str]) -> DataFrame:
+    """Results with the effective parameters as JSON and the notes on them, in front."""
+    params = F.lit(json.dumps(used, sort_keys=True)).alias("params")
+    return results.select(params, F.lit("; ".join(notes)).alias("notes"), *results.columns)
 
 
 def evaluation_series(scores: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
@@ -251,7 +266,9 @@ def model_report(
     heavy = feature_importances(rows, names, model.featureImportances.toArray(), top_n)
     picked = [(r.feature_index, r.feature) for r in heavy.collect()]
     flagged = top_fraction(scores, settings.top_k_fraction, tiebreak=fitted.spec.id_column)
-    values = vector_to_array("features")
-    wide = rows.select(fitted.spec.id_column, *[values[i].alias(n) for i, n in picked])
+    slicer = VectorSlicer(inputCol="features", outputCol="picked", indices=[i for i, _ in picked])
+    values = vector_to_array("picked")
+    sliced = slicer.transform(rows)
+    wide = sliced.select(fitted.spec.id_column, *[values[k].alias(n) for k, (_, n) in enumerate(picked)])
     joined = flagged.join(wide, fitted.spec.id_column)
     return heavy, cross_tabs(joined, [n for _, n in picked])

@@ -59,7 +59,7 @@ def test_run_evaluates_every_block(spark, facts, tmp_path):
     # the signal is strong, so the best-scored rows pass far more often than the base rate
     precision = [r.value for r in rows if r.metric == "precision" and r.role == "validation"]
     assert min(precision) > 0.6
-    assert len(spark.read.parquet(f"{tmp_path}/text_vocab").collect()) == 4
+    assert len(spark.read.parquet(f"{tmp_path}/text_vocab/title").collect()) == 4
     stored = run(facts, settings(), str(tmp_path), members_of(facts), train_models=False)
     again = {tuple(r) for r in stored.collect()}
     assert again == {tuple(r) for r in rows if r.role == "validation"}
@@ -100,10 +100,10 @@ def numeric(facts):
     "model_type, params",
     [
         ("LogRegClassifier", {"penalty": "l1", "C": 1, "class_weight": "balanced"}),
-        ("SVMClassifier", {"C": 1, "class_weight": "balanced", "max_iter": 10}),
+        ("SVMClassifier", {"C": 1, "kernel": "linear", "class_weight": "balanced", "max_iter": 10}),
         ("DTClassifier", {"criterion": "entropy", "max_depth": None}),
         ("RFClassifier", {"n_estimators": 5, "max_depth": 4, "max_features": "log2"}),
-        ("MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [4], "epochs": 60}),
+        ("MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [4], "epochs": 60, "activation": "sigmoid"}),
     ],
 )
 def test_models_rank_the_signal_and_reload(numeric, tmp_path, model_type, params):
@@ -126,8 +126,25 @@ def test_unavailable_choices_are_errors():
         C.build_classifier("SVMClassifier", {"kernel": "rbf"}, 10, 3)
     with pytest.raises(ValueError):
         C.build_classifier("Boosting", {}, 10, 3)
-    _, notes = C.build_classifier("RFClassifier", {"max_depth": 1000, "class_weight": "balanced"}, 10, 3)
+    with pytest.raises(ValueError):
+        C.build_classifier("SVMClassifier", {}, 10, 3)  # unset means rbf
+    deep = {"max_depth": 1000, "class_weight": "balanced"}
+    with pytest.raises(ValueError, match="max_depth 1000"):
+        C.build_classifier("RFClassifier", deep, 10, 3)
+    _, notes = C.build_classifier("RFClassifier", deep, 10, 3, accept_limits=True)
     assert notes == ["max_depth 1000 set to 30"]
+    for params in ({}, {"activation": "relu"}, {"activation": "sigmoid", "class_weight": "balanced"}):
+        with pytest.raises(ValueError):
+            C.effective_parameters("MultiLabelNNClassifier", params)
+    used, notes = C.effective_parameters("MultiLabelNNClassifier", {"class_weight": "balanced"}, True)
+    assert used["activation"] == "sigmoid" and "class_weight" not in used and len(notes) == 2
+
+
+def test_published_grids_name_their_models():
+    distinct = {m: GR.split_grid(m, GR.parameter_grid(r), True) for m, r in GR.MODEL_GRID.items()}
+    assert {m: len(u) for m, (u, _) in distinct.items()} == {"DTClassifier": 12, "RFClassifier": 24, "SVMClassifier": 10, "LogRegClassifier": 20, "Baseline": 1}
+    assert {m: len(o) for m, (_, o) in distinct.items() if o} == {"SVMClassifier": 30}
+    assert sum(len(p) for p in distinct["RFClassifier"][0].values()) == 96
 
 
 def test_balanced_weights(spark):
@@ -170,6 +187,12 @@ def test_grid_appends_and_ranks(spark, facts, tmp_path):
     assert {r.series for r in series.collect()} == {"base_rate", "best_precision"}
     with pytest.raises(ValueError):
         GR.run_grid(facts, light, "SVMClassifier", [{"kernel": "poly"}], work)
+    limits = settings(feature_sets={"s": FeatureSpec({"x": {"impute_mean": []}})}, accept_limits=True, num_temporal_blocks=1)
+    same = GR.run_grid(facts, limits, "LogRegClassifier", [{"C": 1}, {"C": 1, "solver": "saga"}, {"penalty": "elastic"}], work)
+    same = same.where("model_type = 'LogRegClassifier'").collect()
+    assert {r.metric for r in same if r.model_idx == 3} == {"not_run"} and {r.notes for r in same if r.model_idx == 2} == {"solver saga is not a choice here"}
+    one, two = ([(r.role, r.metric, r.value) for r in same if r.model_idx == k] for k in (1, 2))
+    assert sorted(one) == sorted(two) and len({r.effective for r in same if r.model_idx < 3}) == 1
     assert base_rates(facts.withColumn("y", F.lit(1)), ["party_id"]).count() == 3
 
 
