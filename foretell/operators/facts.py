@@ -18,8 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foretell.functions.scalar import days_between, in_years, outcome_label, year_of
+from foretell.operators.joins import members_only
 from foretell.operators.ordinal import ordinal_within
-from foretell.session import cut_lineage
 
 
 def bills_by_state(
@@ -102,24 +102,21 @@ def bill_detail(
 
     ``count_year`` is the number of whole years since the bill's first progress row.
     """
-    first = progress.groupBy("bill_id").agg(
-        F.min("progress_date").alias("first_date"), F.count("*").alias("n")
-    )
-    # everything known per bill is joined first, so the progress rows are joined only once;
-    # written, because the group sizes are looked at before the rows are numbered
-    per_bill = cut_lineage(_in_state(bill_state, states, state_id).join(first, "bill_id"))
+    # only the state's bills are aggregated and joined
+    wanted = _in_state(bill_state, states, state_id)
+    mine = members_only(progress, wanted, "bill_id")
+    first = mine.groupBy("bill_id").agg(F.min("progress_date").alias("first_date"))
+    per_bill = wanted.join(first, "bill_id")
     years = F.floor(F.months_between("progress_date", "first_date") / 12).cast("int")
     placed = (
-        progress.join(per_bill, "bill_id")
+        mine.join(per_bill, "bill_id")
         .join(status_catalog, F.col("status_id") == F.col("bill_status"), "left")
         .withColumn("count_year", years)
     )
     newest_first = [F.col("progress_date").desc_nulls_first(), *[F.desc(c) for c in tiebreak]]
     keep = ["bill_id", "state_id", "progress_date", "bill_status", "status", "count_year"]
     rows = placed.select(*keep, *[c for c in tiebreak if c not in keep])
-    numbered = ordinal_within(
-        rows, ["bill_id"], newest_first, "seq", sizes=per_bill.select("bill_id", "n")
-    )
+    numbered = ordinal_within(rows, ["bill_id"], newest_first, "seq")
     return numbered.select(*keep, "seq")
 
 
@@ -152,10 +149,13 @@ def final_status(
     ``party_id`` is the party of the bill's lowest sponsor id. Bills without sponsors are
     left out.
     """
+    wanted = _in_state(bill_state, states, state_id)
+    if state_id is not None:  # Catalyst does not push a join below an aggregate
+        progress, sponsors = (members_only(rows, wanted, "bill_id") for rows in (progress, sponsors))
     lead = sponsors.groupBy("bill_id").agg(F.min_by("party_id", "sponsor_id").alias("party_id"))
     return (
         bill_outcomes(progress, tiebreak)
-        .join(_in_state(bill_state, states, state_id), "bill_id")
+        .join(wanted, "bill_id")
         .join(lead, "bill_id")
         .join(status_catalog, F.col("status_id") == F.col("bill_status"), "left")
         .select(
@@ -168,14 +168,18 @@ def final_status(
 def final_text(texts: DataFrame, type_id: int = 1) -> DataFrame:
     """Newest document of each bill among one document type; ties go to the higher id.
 
-    The rank filter runs per task before the shuffle, so only one text per bill and task
-    is moved.
+    The document is picked on narrow columns (one aggregation, no text), then its row is kept by a semi join.
     """
-    newest = W.partitionBy("bill_id").orderBy(
-        F.col("doc_date").desc_nulls_first(), F.desc("doc_id")
+    typed = texts.where(F.col("type_id") == type_id)
+    order = F.struct(F.col("doc_date").isNull(), "doc_date", "doc_id")
+    newest = typed.groupBy("bill_id").agg(F.max(order).alias("o")).select(
+        F.col("bill_id").alias("__bill"), F.col("o.doc_id").alias("__doc"), F.col("o.doc_date").alias("__date")
+    )
+    same = (
+        F.col("bill_id").eqNullSafe(F.col("__bill")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+        & F.col("doc_date").eqNullSafe(F.col("__date"))
     )
-    ranked = texts.where(F.col("type_id") == type_id).withColumn("__rn", F.row_number().over(newest))
-    return ranked.where("__rn = 1").drop("__rn")
+    return typed.join(newest, same, "left_semi")
 
 
 def final_fact(
@@ -191,21 +195,21 @@ def final_fact(
     """The labelled fact: every part must be present, otherwise the bill is left out.
 
     ``texts`` has one row per bill: the output of :func:`final_text` for raw documents or a
-    table of cleaned texts.
+    table of cleaned texts. Sessions and years are joined to narrow rows; texts come last, by bill.
     """
     chosen = bills.where(F.col("bill_type") == bill_type)
     text_columns = [c for c in ("bill_description", "doc", "bill_text") if c in texts.columns]
+    narrow = (
+        chosen.select("bill_id", "session_id", "bill_type", "introduced_date", "introduced_body")
+        .join(session_dates, "session_id")
+        .withColumn("year", year_of("introduced_date"))
+        .join(acs, "year")
+    )
     return (
-        status.join(
-            chosen.select("bill_id", "session_id", "bill_type", "introduced_date", "introduced_body"),
-            "bill_id",
-        )
+        status.join(narrow, "bill_id")
         .join(sponsor_lists, "bill_id")
         .join(composition, "bill_id")
         .join(texts.select("bill_id", *text_columns), "bill_id")
-        .join(session_dates, "session_id")
-        .withColumn("year", year_of("introduced_date"))
-        .join(acs, "year")
     )
 
 

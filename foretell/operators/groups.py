@@ -42,7 +42,12 @@ def sponsor_districts(
     seated = people if state_id is None else people.where(F.col("state_id") == state_id)
     seated = seated.withColumnRenamed("person_id", "sponsor_id")
     if not match_session:
-        return sponsors.join(seated, "sponsor_id").select("bill_id", "sponsor_id", "district")
+        # a person's repeated rows of a district are counted before the join, not joined
+        places = seated.groupBy("sponsor_id", "district").agg(F.count("*").cast("int").alias("__n"))
+        pairs = sponsors.groupBy("bill_id", "sponsor_id").agg(F.count("*").cast("int").alias("__m"))
+        rows = pairs.join(places, "sponsor_id")
+        copies = F.explode(F.sequence(F.lit(1), F.col("__n") * F.col("__m")))
+        return rows.select("bill_id", "sponsor_id", "district", copies.alias("__copy")).drop("__copy")
     found = last_wins_lookup(
         sponsor_sessions(sponsors, bills), seated, ["session_id", "sponsor_id"], "district", order
     )

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from foretell.session import cut_lineage
 
-ROWS_PER_TASK = 5_000_000  # a group up to this size is sorted by one task
-MAX_HOT_GROUPS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id: range number above, row offset below
 _MID, _PID, _POS = "__mid", "__pid", "__pos"
 
@@ -65,17 +63,15 @@ def _same_key(keys: Sequence[str], prefix: str) -> Column:
     return same
 
 
-def _numbered_by_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str
+def ordinal_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "ordinal",
 ) -> DataFrame:
-    w = W.partitionBy(*keys).orderBy(*[_column(c) for c in order])
-    return df.withColumn(name, F.row_number().over(w).cast("long"))
-
+    """1-based position of each row inside its group, for any number and size of groups.
 
-def _numbered_by_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str
-) -> DataFrame:
-    """A group that spans ranges is numbered range by range and shifted by its earlier rows."""
+    ``keys`` plus ``order`` must be unique. Rows are sorted into ranges by both, so a group of any size is
+    spread over as many ranges as it fills; each piece is numbered in its range and shifted by the
+    group's rows in earlier ranges.
+    """
     placed = sorted_ranges(df, [*keys, *order])
     sizes = placed.groupBy(*keys, _PID).agg(F.count("*").alias("__n"))
     # a group leaves at most one leading piece per range, so fewer rows than ranges remain
@@ -87,36 +83,12 @@ def _numbered_by_ranges(
         "__seq", F.row_number().over(W.partitionBy(_PID, *keys).orderBy(_POS))
     )
     same = (F.col(_PID) == F.col("__p")) & _same_key(keys, "__k_")
-    return local.join(F.broadcast(later), same, "left").select(
+    return local.join(later, same, "left").select(
         *df.columns,
         (F.col("__seq") + F.coalesce(F.col("__before"), F.lit(0))).cast("long").alias(name),
     )
 
 
-def ordinal_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "ordinal",
-    sizes: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """1-based position of each row inside its group, for any number and size of groups.
-
-    ``keys`` plus ``order`` must be unique. The groups are counted first (``sizes``: keys
-    and ``n``, where the caller has them). Groups that one task can sort take a plain
-    window, which reuses a partitioning by key; the few larger ones are spread over ranges.
-    """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("n")) if sizes is None else sizes
-    total, largest = counted.agg(F.sum("n"), F.max("n")).first()
-    limit = max(rows_per_task, (total or 0) // MAX_HOT_GROUPS)
-    if (largest or 0) <= limit:
-        return _numbered_by_group(df, keys, order, name)
-    # each hot group holds over total / MAX_HOT_GROUPS rows, so there are fewer than that
-    hot = counted.where(F.col("n") > limit).select(*[F.col(k).alias(f"__h_{k}") for k in keys])
-    hot, same = F.broadcast(cut_lineage(hot)), _same_key(keys, "__h_")
-    df = cut_lineage(df)  # read three times below: usual rows, range bounds, spread rows
-    usual = _numbered_by_group(df.join(hot, same, "left_anti"), keys, order, name)
-    spread = _numbered_by_ranges(df.join(hot, same, "left_semi"), keys, order, name)
-    return usual.unionByName(spread)
-
-
 def sequential_id(df: DataFrame, order: Sequence[Column | str], name: str = "id") -> DataFrame:
     """``df`` with a leading 0-based row number."""
     numbered = global_ordinal(df, order, name)
