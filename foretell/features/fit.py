@@ -176,6 +176,15 @@ def _fit_round(df: DataFrame, chains: list[_Chain]) -> None:
                 chain.take("one_hot", sorted(seen))
 
 
+def _hash_parameters(params: Mapping[str, Any]) -> dict[str, Any]:
+    """Buckets and sign of a hashed column; a parameter that has no meaning here is an error."""
+    known = {"n_features": C.DEFAULT_BUCKETS, "input_type": "string", "alternate_sign": True}
+    unknown = {k: v for k, v in params.items() if k not in (*known, "dtype")}
+    if unknown or params.get("input_type", "string") != "string":
+        raise ValueError(f"hash_column: {unknown or params} not available; n_features, alternate_sign and strings are")
+    return known | {k: v for k, v in params.items() if k in known}
+
+
 def _fixed(df: DataFrame, op: str, params):
     """Parameters of an operation that needs no training rows."""
     if op == "impute_fixed":
@@ -187,7 +196,7 @@ def _fixed(df: DataFrame, op: str, params):
     if op == "normalize":
         return tuple(params)
     if op == "hash_column":
-        return (params or {}).get("n_features", C.DEFAULT_BUCKETS)
+        return _hash_parameters(params or {})
     return params
 
 
@@ -200,8 +209,8 @@ class FittedFeatures:
     text_models: Mapping[str, tuple]
     label_type: str = "binary"
 
-    def _outputs(self, key: str) -> tuple[list[tuple[str, Column]], tuple[int, Column] | None]:
-        """Named scalar columns of a feature, and ``(size, value)`` if it is hashed."""
+    def _outputs(self, key: str) -> tuple[list[tuple[str, Column]], tuple[dict, Column] | None]:
+        """Named scalar columns of a feature, and ``(options, value)`` if it is hashed."""
         column = self.spec.column_of(key)
         chain = _Chain(key, F.col(column), list(self.applied[key]))
         name, extra = column, []
@@ -238,7 +247,7 @@ class FittedFeatures:
             scalars, hashed = self._outputs(key)
             names += [n for n, _ in scalars]
             if hashed:
-                names += [f"{self.spec.column_of(key)}#{b}" for b in range(hashed[0])]
+                names += [f"{self.spec.column_of(key)}#{b}" for b in range(hashed[0]["n_features"])]
         return names
 
     def transform(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
@@ -256,11 +265,12 @@ class FittedFeatures:
                 scalars.append(expr.alias(f"__f{i}_{j}"))
                 inputs.append(f"__f{i}_{j}")
             if hashed:
-                size, value = hashed
+                options, value = hashed
+                size = options["n_features"]
                 bucket = C.hash_bucket(value, size).cast("double")
                 # the declared size spares the encoder a pass over the data
                 meta = {"ml_attr": {"type": "nominal", "num_vals": size, "name": f"__b{i}"}}
-                scalars += [bucket.alias(f"__b{i}", metadata=meta), C.hash_sign(value).alias(f"__s{i}")]
+                scalars += [bucket.alias(f"__b{i}", metadata=meta), (C.hash_sign(value) if options["alternate_sign"] else F.lit(1.0)).alias(f"__s{i}")]
                 hashes.append((f"__b{i}", f"__s{i}", f"__h{i}"))
                 inputs.append(f"__h{i}")
         texts = list(dict.fromkeys(c for c, _ in models))

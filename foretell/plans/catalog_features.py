@@ -116,6 +116,16 @@ def e7(t):
     )
 
 
+@query("E7_buckets_by_value", "SELECT source, count(*) AS n, 1::BIGINT AS buckets, true AS inside FROM documents GROUP BY source")
+def e7_buckets(t):
+    """Equal values share one bucket below the size, and one sign."""
+    rows = e7(t).join(t.table("documents").select("doc_id", "source"), "doc_id")
+    return rows.groupBy("source").agg(
+        F.count("*").alias("n"), F.countDistinct("bucket", "sign").alias("buckets"),
+        F.bool_and(F.col("bucket").between(0, 63) & F.abs("sign").isin(1.0)).alias("inside"),
+    )
+
+
 @query("E7_hash_vector", "SELECT doc_id, 1.0::DOUBLE AS norm, 64 AS size FROM documents")
 def e7_vector(t):
     """The hashed column as a sparse vector: one entry of size 1 per row."""
@@ -210,6 +220,14 @@ def e13(t):
     return fitted.transform(docs).select("doc_id", vector_to_array("features").alias("topics"))
 
 
+@query("E13_topic_shares", "SELECT doc_id, 5 AS topics, 1.0::DOUBLE AS total FROM documents")
+def e13_shares(t):
+    """A document's topic shares are k numbers from 0 to 1 that sum to 1."""
+    shares = e13(t).where(F.forall("topics", lambda x: x.between(0, 1)))
+    total = F.aggregate("topics", F.lit(0.0), lambda a, x: a + x)
+    return shares.select("doc_id", F.size("topics").alias("topics"), r6(total).alias("total"))
+
+
 @query(
     "E14_labels",
     sql_with(
@@ -362,3 +380,30 @@ def x7_ints(t):
         "bill_id", F.size(ids).cast("long").alias("n"),
         F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"),
     )
+
+
+_SLICE = """SELECT bill_id, sum(passed)::DOUBLE / nullif(sum(total), 0) AS pass_rate FROM (
+    SELECT f.bill_id, f.role, s.sponsor_id, f.introduced_date FROM dummy_rows f JOIN sponsors s USING (bill_id)) f LEFT JOIN (
+    SELECT role AS r, sponsor_id AS sp, introduced_date AS d, count(*) AS total, count(*) FILTER (status_new = 'Passed') AS passed
+    FROM dummy_rows JOIN sponsors USING (bill_id) GROUP BY 1, 2, 3) e
+    ON e.r = f.role AND e.sp = f.sponsor_id AND e.d < f.introduced_date - INTERVAL 365 DAY GROUP BY bill_id"""
+
+
+@query(
+    "E17_small_named_set",
+    sql_with(
+        "facts sponsors",
+        "SELECT bill_id, CASE role WHEN 1 THEN 'train' ELSE 'validation' END AS role, CASE WHEN status_new = 'Passed' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, "
+        "party_id, introduced_body, round(coalesce(pass_rate, (SELECT coalesce(avg(pass_rate), 0) FROM dummy_rows JOIN dummy_hist USING (bill_id) WHERE role = 1)), 6) AS pass_rate "
+        "FROM dummy_rows JOIN dummy_hist USING (bill_id)",
+        dummy_rows=f"SELECT * FROM (SELECT *, {role_sql(1, 1)} AS role FROM facts) WHERE role IN (1, 3)", dummy_hist=_SLICE,
+    ),
+)
+def e17_small(t):
+    """The vectors of the named set read back: party, chamber and the sponsors' rate within the slice."""
+    _, train, valid = block_features(blocked_facts(t), FEATURE_SETS["dummy"], 2)
+    rows = train.withColumn("role", F.lit("train")).unionByName(valid.withColumn("role", F.lit("validation")))
+    x = vector_to_array("features")
+    party = F.when(x[0] == 1, 0).when(x[1] == 1, 1).when(x[2] == 1, 2)
+    return rows.select(
+        "bill_id", "role", "label", party.alias("party_id"), F.when(x[3] == 1, "H").when(x[4] == 1, "S").alias("introduced_body"), r6(x[5]).alias("pass_rate"))

@@ -225,3 +225,208 @@ def g4_series(t):
 @query("G5_score_versus_disparity")
 def g5(t):
     return GR.score_versus_disparity(grid_results(t))
+
+
+# models on one two-valued column: what they learn can be said in SQL
+
+STUMP_SPEC = FeatureSpec({"introduced_body": {"impute_fixed": "H", "one_hot": ["H"]}})
+STUMP_TREE = {"max_depth": 1, "class_weight": "balanced"}
+STUMP_BLOCKS = ((1, 0), (2, 2))  # block and the years that it skips
+
+
+def stump_views(blocks=STUMP_BLOCKS) -> dict[str, str]:
+    """Balanced share of passed bills per chamber, learnt in each block's training years."""
+    rows = " UNION ALL ".join(
+        f"SELECT bill_id, introduced_body, CASE WHEN status_new = 'Passed' THEN 1 ELSE 0 END AS y, {b} AS block_id, {role_sql(skip, 1)} AS role FROM facts"
+        for b, skip in blocks
+    )
+    return {
+        "stump_rows": rows,
+        "stump_leaves": "SELECT block_id, introduced_body, p / tp / (p / tp + q / tq) AS share, p / (p + q) AS rate FROM ("
+        "SELECT block_id, introduced_body, sum(y)::DOUBLE AS p, sum(1 - y)::DOUBLE AS q, sum(sum(y)::DOUBLE) OVER (PARTITION BY block_id) AS tp, "
+        "sum(sum(1 - y)::DOUBLE) OVER (PARTITION BY block_id) AS tq FROM stump_rows WHERE role = 1 GROUP BY 1, 2)",
+        "stump_scores": "SELECT bill_id, block_id, CASE role WHEN 1 THEN 'train' ELSE 'validation' END AS role, y, share, rate "
+        "FROM stump_rows JOIN stump_leaves USING (block_id, introduced_body) WHERE role IN (1, 3)",
+    }
+
+
+def stump_sql(columns: str) -> str:
+    """Validation rows of the block that skips one year, as ``blocked_facts`` numbers it."""
+    return sql_with(
+        "facts", f"SELECT bill_id, {columns} FROM stump_scores WHERE role = 'validation'", **stump_views(((2, 1),))
+    )
+
+
+_STUMPS: dict[tuple, tuple] = {}
+
+
+def stump_features(t):
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _STUMPS:
+        fitted, train, valid = block_features(blocked_facts(t), STUMP_SPEC, 2)
+        path = scratch_path(t.spark, "stump")
+        train.write.parquet(f"{path}/train")
+        valid.write.parquet(f"{path}/validation")
+        _STUMPS[key] = fitted, path
+    fitted, path = _STUMPS[key]
+    return fitted, t.spark.read.parquet(f"{path}/train"), t.spark.read.parquet(f"{path}/validation")
+
+
+def stump_scores(t, model_type, params):
+    fitted, train, valid = stump_features(t)
+    model, _ = fit_classifier(model_type, params, train, len(fitted.feature_names()))
+    return predict_scores(model, valid)
+
+
+@query("K2_logistic_on_chamber", stump_sql("round(share, 2) AS score, y"))
+def k2_stump(t):
+    """Nearly unpenalised, so the two fitted probabilities are the two balanced shares."""
+    rows = stump_scores(t, "LogRegClassifier", {"C": 1e6, "class_weight": "balanced", "max_iter": 500})
+    return rows.withColumn("score", F.round("score", 2))
+
+
+@query("K3_tree_on_chamber", stump_sql("round(share, 6) AS score, y"))
+def k3_stump(t):
+    return rounded(stump_scores(t, "DTClassifier", STUMP_TREE), "score")
+
+
+@query("K4_forest_on_chamber", stump_sql("round(share, 6) AS share, true AS near, y"))
+def k4_stump(t):
+    """Trees on bootstrap samples come near the tree on all rows, which is the balanced share."""
+    tree = stump_scores(t, "DTClassifier", STUMP_TREE).select("bill_id", F.col("score").alias("share"))
+    rows = stump_scores(t, "RFClassifier", STUMP_TREE | {"n_estimators": 50}).join(tree, "bill_id")
+    near = F.abs(F.col("score") - F.col("share")) < 0.05
+    return rounded(rows.select("bill_id", "share", near.alias("near"), "y"), "share")
+
+
+@query("K5_margin_on_chamber", stump_sql("share > 0.5 AS passes, y"))
+def k5_stump(t):
+    """The margin's sign is the balanced majority of the chamber."""
+    rows = stump_scores(t, "SVMClassifier", {"C": 1, "kernel": "linear", "class_weight": "balanced", "max_iter": 500})
+    return rows.select("bill_id", (F.col("score") > 0).alias("passes"), "y")
+
+
+@query("K6_net_on_chamber", stump_sql("true AS near_rate, y"))
+def k6_stump(t):
+    """A small network comes near the chambers' pass rates."""
+    _, train, _ = stump_features(t)
+    rates = train.groupBy("features").agg(F.avg("label").alias("rate"))
+    rows = stump_scores(t, "MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [3], "activation": "sigmoid", "epochs": 300})
+    _, _, valid = stump_features(t)
+    expected = valid.select("bill_id", "features").join(rates, "features").select("bill_id", "rate")
+    return rows.join(expected, "bill_id").select("bill_id", (F.abs(F.col("score") - F.col("rate")) < 0.02).alias("near_rate"), "y")
+
+
+@query("M6_importance_of_chamber", "SELECT 0 AS feature_index, 'introduced_body_H' AS feature, 1.0::DOUBLE AS importance")
+def m6_stump(t):
+    """All of a one-split tree's importance is its feature's; the name comes from the specification."""
+    fitted, train, _ = stump_features(t)
+    model, _ = fit_classifier("DTClassifier", STUMP_TREE, train, len(fitted.feature_names()))
+    return feature_importances(train, fitted.feature_names(), model.featureImportances.toArray(), 5)
+
+
+@query("R8_top_of_ranked_weights", "SELECT * FROM (VALUES (2, 'c', 0.5::DOUBLE), (0, 'a', 0.25::DOUBLE)) AS t(feature_index, feature, importance) WHERE (SELECT count(*) FROM nation) > 0")
+def r8_ranked(t):
+    """The two heaviest of four weights, the lower index first among equal ones."""
+    return feature_importances(t.table("nation"), ["a", "b", "c", "d"], [0.25, 0.25, 0.5, 0.0], 2)
+
+
+def stump_settings():
+    return RunSettings(
+        model_type="DTClassifier", model_params=STUMP_TREE, feature_type="stump",
+        start_year=YEARS[0], end_year=YEARS[1], update_freq=2, feature_sets={"stump": STUMP_SPEC},
+    )
+
+
+STUMP_RANKED = """SELECT *, row_number() OVER (PARTITION BY block_id, role ORDER BY share DESC, bill_id)
+    <= CAST(floor(0.3::DOUBLE * count(*) OVER (PARTITION BY block_id, role)) AS BIGINT) AS top FROM stump_scores"""
+STUMP_OVERALL = """UNPIVOT (SELECT block_id, role, round(sum(y) FILTER (top)::DOUBLE / count(*) FILTER (top), 6) AS "precision",
+    round(sum(y) FILTER (top)::DOUBLE / sum(y), 6) AS recall FROM stump_ranked GROUP BY 1, 2) ON "precision", recall INTO NAME metric VALUE value"""
+STUMP_MEMBERS = """SELECT bill_id, CASE state_id % 3 WHEN 0 THEN 'white' WHEN 1 THEN 'black' ELSE 'asian' END AS "group"
+    FROM bills JOIN sessions USING (session_id)"""
+STUMP_GROUPS = """UNPIVOT (SELECT block_id, role, "group", round(1 - coalesce(sum(y) FILTER (top)::DOUBLE / nullif(count(*) FILTER (top), 0), 0), 6) AS FDR,
+    round(coalesce(sum(y) FILTER (top)::DOUBLE / nullif(sum(y), 0), 0), 6) AS TPR FROM stump_ranked JOIN stump_members USING (bill_id)
+    WHERE role = 'validation' GROUP BY 1, 2, 3) ON FDR, TPR INTO NAME metric VALUE value"""
+STUMP_EVALUATED = stump_views() | {
+    "stump_ranked": STUMP_RANKED, "stump_members": STUMP_MEMBERS, "stump_overall": f"SELECT * FROM ({STUMP_OVERALL})", "stump_groups": f"SELECT * FROM ({STUMP_GROUPS})",
+}
+
+
+@query("K8_run_on_chamber", sql_with("facts", "SELECT block_id, role, metric, value FROM stump_overall", **{k: v for k, v in STUMP_EVALUATED.items() if k not in ("stump_members", "stump_groups")}))
+def k8_stump(t):
+    """Every block of a run: train, save, load, score, evaluate."""
+    results = run(t.facts, stump_settings(), scratch_path(t.spark, "stump-run"))
+    return rounded(results.select("block_id", "role", "metric", "value"), "value")
+
+
+_STUMP_GRIDS: dict[tuple, str] = {}
+
+
+def stump_grid(t):
+    """A grid of two families: two parameter sets that are one tree, and a regression of the same order of scores."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _STUMP_GRIDS:
+        _STUMP_GRIDS[key] = scratch_path(t.spark, "stump-grid")
+        members = t.bills.join(t.sessions, "session_id").select(
+            F.when(F.col("state_id") % 3 == 0, "white").when(F.col("state_id") % 3 == 1, "black").otherwise("asian").alias("group"),
+            "bill_id",
+        )
+        grid = [STUMP_TREE, STUMP_TREE | {"criterion": "gini"}]
+        GR.run_grid(t.facts, stump_settings(), "DTClassifier", grid, _STUMP_GRIDS[key], members)
+        GR.run_grid(t.facts, stump_settings(), "LogRegClassifier", [{"C": 1e6, "class_weight": "balanced", "max_iter": 500}], _STUMP_GRIDS[key], members)
+    return GR.read_results(t.spark, f"{_STUMP_GRIDS[key]}/results")
+
+
+MODELS = "(VALUES ('DTClassifier', 1), ('DTClassifier', 2), ('LogRegClassifier', 1)) AS m(model_type, model_idx)"
+
+
+def grid_sql(body: str) -> str:
+    return sql_with("facts bills sessions", body, **STUMP_EVALUATED)
+
+
+@query("G1_grid_on_chamber", grid_sql(
+    'SELECT model_type, model_idx, block_id, role, NULL::VARCHAR AS "group", metric, value FROM stump_overall, ' + MODELS
+    + ' UNION ALL SELECT model_type, model_idx, block_id, role, "group", metric, value FROM stump_groups, ' + MODELS))
+def g1_stump(t):
+    rows = stump_grid(t).select("model_type", "model_idx", "block_id", "role", "group", "metric", "value")
+    return rounded(rows, "value")
+
+
+@query("G2_next_index_per_family", "SELECT * FROM (VALUES ('DTClassifier', 3), ('LogRegClassifier', 2), ('Baseline', 1)) AS t(model_type, next_idx) WHERE (SELECT count(*) FROM orders) > 0")
+def g2_stump(t):
+    stump_grid(t)
+    path = f"{_STUMP_GRIDS[t.spark.sparkContext.applicationId, t.sf_dir]}/results"
+    rows = [(m, GR.next_model_index(t.spark, path, "stump", m)) for m in ("DTClassifier", "LogRegClassifier", "Baseline")]
+    return small_table(t.spark, rows, "model_type string, next_idx int")
+
+
+@query("G3_rows_per_family", grid_sql(
+    "SELECT model_type, count(DISTINCT model_idx) AS models, count(*) AS n_rows FROM (SELECT block_id, role, metric FROM stump_overall "
+    "UNION ALL SELECT block_id, role, metric FROM stump_groups), " + MODELS + " GROUP BY 1"))
+def g3_stump(t):
+    return stump_grid(t).groupBy("model_type").agg(F.countDistinct("model_idx").alias("models"), F.count("*").alias("n_rows"))
+
+
+LAST = "metric = 'precision' AND role = 'validation' AND block_id = 2"
+
+
+@query("R6_best_of_chamber_grid", grid_sql(f"SELECT 'stump' AS feature_type, model_type, model_idx, value FROM stump_overall, {MODELS} WHERE {LAST} ORDER BY value DESC, 2, 3 LIMIT 2"))
+def r6_stump(t):
+    return rounded(GR.leader_board(stump_grid(t), top=2), "value")
+
+
+@query("G4_leaders_of_chamber_grid", grid_sql(
+    f"SELECT 'stump' AS feature_type, model_type, model_idx, 1 AS place, block_id, value FROM stump_overall, {MODELS} "
+    "WHERE metric = 'precision' AND role = 'validation' AND model_idx = 1"))
+def g4_stump(t):
+    return rounded(GR.family_leaders(stump_grid(t), top=1), "value")
+
+
+@query("G5_disparity_of_chamber_grid", grid_sql(
+    "SELECT 'stump' AS feature_type, model_type, model_idx, \"group\", round(f / nullif(wf, 0), 4) AS FDR_disparity, round(r / nullif(wr, 0), 4) AS TPR_disparity, score FROM ("
+    "SELECT \"group\", max(value) FILTER (metric = 'FDR') AS f, max(value) FILTER (metric = 'TPR') AS r FROM stump_groups WHERE block_id = 2 GROUP BY 1) g, ("
+    "SELECT max(value) FILTER (metric = 'FDR') AS wf, max(value) FILTER (metric = 'TPR') AS wr FROM stump_groups WHERE block_id = 2 AND \"group\" = 'white') w, ("
+    f"SELECT value AS score FROM stump_overall WHERE {LAST}) o, {MODELS} WHERE \"group\" <> 'white'"))
+def g5_stump(t):
+    rows = GR.score_versus_disparity(stump_grid(t).withColumn("value", F.round("value", 6)))
+    return rows.select("feature_type", "model_type", "model_idx", "group", *[F.round(f"{m}_disparity", 4).alias(f"{m}_disparity") for m in ("FDR", "TPR")], "score")
