@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 # operations that read further columns, named in their parameters
@@ -21,7 +21,6 @@ class FeatureSpec:
     ops: Mapping[str, Mapping[str, Any]]
     id_column: str = "bill_id"
     label_column: str = "status_new"
-    names: Mapping[str, Any] = field(default_factory=dict)
 
     @classmethod
     def from_config(cls, info: Mapping[str, Any]) -> FeatureSpec:
@@ -30,7 +29,6 @@ class FeatureSpec:
             ops=info["feature_ops"],
             id_column=info.get("index_col_name", "bill_id"),
             label_column=info.get("label_col_name", "status_new"),
-            names=info.get("feature_names", {}),
         )
 
     @staticmethod
@@ -51,6 +49,7 @@ class FeatureSpec:
         return list(dict.fromkeys(found))
 
 
+# fixed values: columns, operations and names of the feature sets (to the end of the file)
 # columns of the labelled fact that are only mean-imputed
 COMPOSITION = ["dem_senate_perc", "rep_senate_perc", "dem_house_perc", "rep_house_perc"]
 SPONSOR_COUNTS = ["sponsor_count", "rep_sponsor_count", "sen_sponsor_count"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import geometric_mean
 from foretell.operators.joins import lookup_or, members_only
+from foretell.session import scratch_path
 
 
 def pass_counters(rows: DataFrame, key: str, allowed: DataFrame | None = None) -> DataFrame:
@@ -42,8 +43,21 @@ class RateBaseline:
 
     @classmethod
     def fit(cls, rows: DataFrame, allowed: DataFrame | None = None) -> RateBaseline:
-        """``rows`` are (sponsor_id, party_id, bill_id, status_new) of the training slice."""
-        return cls(pass_rates(rows, "sponsor_id", allowed), pass_rates(rows, "party_id", allowed))
+        """``rows`` are (sponsor_id, party_id, bill_id, status_new) of the training slice.
+
+        One pass counts by sponsor and party; both rate tables come from the counts and are written, so
+        the planner knows their sizes and nothing is computed again for the means.
+        """
+        used = rows if allowed is None else members_only(rows, allowed, "bill_id")
+        spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "rates")
+        passed = F.col("status_new") == "Passed"
+        used.groupBy("sponsor_id", "party_id").agg(
+            F.count_if(passed).alias("passed"), F.count("*").alias("n")
+        ).write.parquet(f"{path}/counts")
+        counts = spark.read.parquet(f"{path}/counts")
+        rate = (F.sum("passed") / F.sum("n")).alias("rate")
+        cls(counts.groupBy("sponsor_id").agg(rate), counts.groupBy("party_id").agg(rate)).save(path)
+        return cls.load(spark, path)
 
     def bill_rates(self, rows: DataFrame) -> DataFrame:
         """``(bill_id, spr, ppr)``.

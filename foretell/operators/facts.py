@@ -250,8 +250,3 @@ def sponsor_sessions(sponsors: DataFrame, bills: DataFrame) -> DataFrame:
         bills.select("bill_id", "session_id"), "bill_id"
     ).select("sponsor_id", "bill_id", "session_id")
 
-
-def sponsor_bill_status(outcomes: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Sponsor outcome rows with the temporal block columns of their bill."""
-    columns = [c for c in blocks.columns if c.startswith("iter_")]
-    return outcomes.join(blocks.select("bill_id", *columns), "bill_id")

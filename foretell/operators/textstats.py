@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from foretell.functions.text import (
     STOPWORDS,
     TOPICS,
-    drop_stopwords,
     keyword_flag,
     whitespace_tokens,
 )
@@ -20,8 +19,8 @@ def word_counts(
     texts: DataFrame, text: str, by: Sequence[str] = (), stopwords: Iterable[str] = STOPWORDS
 ) -> DataFrame:
     """``(by.., word, n)``; stopwords are removed before lower-casing, so "The" survives."""
-    kept = drop_stopwords(whitespace_tokens(text), stopwords)
-    words = texts.select(*by, F.explode(kept).alias("word"))
+    words = texts.select(*by, F.explode(whitespace_tokens(text)).alias("word"))
+    words = words.where(~F.col("word").isin(*stopwords))  # a compiled set test per row
     return words.groupBy(*by, F.lower("word").alias("word")).agg(F.count("*").alias("n"))
 
 

@@ -204,10 +204,20 @@ def family_leaders(
     return rows.join(chosen, keys).select(*keys, "place", "block_id", "value")
 
 
-def reference_series(labelled: DataFrame, k: float = 0.3, label: str = "y") -> DataFrame:
-    """Base rate and best possible precision per block, as long rows for the same chart."""
+def reference_series(
+    labelled: DataFrame, k: float = 0.3, label: str = "y", results: DataFrame | None = None,
+    metric: str = "precision", role: str = "validation",
+) -> DataFrame:
+    """Base rate and best possible precision per block, as long rows for the same chart.
+
+    With ``results`` of a grid that has the rate baseline, its ``metric`` is the series ``rate_baseline``.
+    """
     rates = base_rates(labelled, ["block_id"], label, k)
-    return rates.unpivot(["block_id"], ["base_rate", "best_precision"], "series", "value")
+    series = rates.unpivot(["block_id"], ["base_rate", "best_precision"], "series", "value")
+    if results is None:
+        return series
+    baseline = _overall(results, metric, role).where("model_type = 'Baseline'")
+    return series.unionByName(baseline.select("block_id", F.lit("rate_baseline").alias("series"), "value"))
 
 
 def score_versus_disparity(

@@ -59,7 +59,11 @@ class RunSettings:
     split_type: int = 1
     num_temporal_blocks: int | None = None
     top_k_fraction: float = 0.3
+    metrics: Sequence[str] = ("precision", "recall")
     bias_metrics: Sequence[str] = ("FDR", "TPR")
+    bias_groups: Sequence[str] | None = None  # of the members' groups; None: all
+    reports: bool = False  # write curve, histogram, importances and cross-tabs of each block
+    report_features: int = 20
     history: str = "slice"
     accept_limits: bool = False  # see effective_parameters
     preparation: Mapping[str, Sequence[str]] | None = None
@@ -71,6 +75,7 @@ class RunSettings:
         """From a JSON run configuration."""
         split, train = config["split"], config["query"]["train"]
         evaluate = config["evaluate_params"]
+        bias = evaluate["bias_analysis"]
         return cls(
             model_type=config["model_type"],
             model_params=config["model_info"].get(config["model_type"], {}),
@@ -83,7 +88,11 @@ class RunSettings:
             split_type=split["split_type"],
             num_temporal_blocks=split.get("num_temporal_blocks"),
             top_k_fraction=evaluate["top_k_fraction"],
-            bias_metrics=tuple(evaluate["bias_analysis"]["metrics"]),
+            metrics=tuple(evaluate.get("metrics", ("precision", "recall"))),
+            bias_metrics=tuple(bias["metrics"]) if bias.get("use", True) else (),
+            bias_groups=tuple(bias["groups"]) if "groups" in bias else None,
+            reports=True,
+            report_features=evaluate.get("feature_importances", {}).get("top_n", 20),
             accept_limits=config.get("accept_limits", False),
             preparation=config["transform"]["ops"],
             date_column=config["transform"].get("year_col", "introduced_date"),
@@ -184,10 +193,15 @@ def evaluate_block(
     members: DataFrame | None = None,
 ) -> DataFrame:
     """``(block_id, role, group, metric, value)``; group is null for all rows together."""
+    unknown = set(settings.metrics) - {"precision", "recall"}
+    if unknown:
+        raise ValueError(f"metrics {sorted(unknown)} are not defined at the top fraction, choose precision or recall")
     flagged = top_fraction(scores, settings.top_k_fraction, ["role"], tiebreak=id_column)
     overall = metrics_at_k(flagged, ["role"]).withColumn("group", F.lit(None).cast("string"))
-    out = long_results(overall, ["role", "group"], ["precision", "recall"])
-    if members is not None:
+    out = long_results(overall, ["role", "group"], list(settings.metrics))
+    if members is not None and settings.bias_metrics:
+        if settings.bias_groups is not None:
+            members = members.where(F.col("group").isin(*settings.bias_groups))
         valid = flagged.where("role = 'validation'")
         audited = group_metrics(valid, members, settings.bias_metrics, ["role"], id_column)
         out = out.unionByName(long_results(audited, ["role", "group"], list(settings.bias_metrics)))
@@ -238,11 +252,17 @@ def run(
         if not train_models:
             scores = scores.where("role = 'validation'")
         scores.write.mode("overwrite").parquet(f"{path}/scores")
-        results.append(
-            evaluate_block(
-                spark.read.parquet(f"{path}/scores"), settings, block, id_column, members
-            )
-        )
+        stored = spark.read.parquet(f"{path}/scores")
+        if settings.reports:
+            tables = block_series(stored, id_column)
+            if settings.model_type in ("DTClassifier", "RFClassifier"):
+                rows = spark.read.parquet(f"{path}/features_validation")
+                chosen = stored.where("role = 'validation'")
+                heavy, tabs = model_report(load_model(f"{path}/model"), fitted, rows, chosen, settings, settings.report_features)
+                tables |= {"importances": heavy, "cross_tabs": tabs}
+            for name, table in tables.items():
+                table.write.mode("overwrite").parquet(report_path(model_path, block, name))
+        results.append(evaluate_block(stored, settings, block, id_column, members))
     return with_parameters(reduce(DataFrame.unionByName, results), used, notes)
 
 
@@ -252,6 +272,17 @@ def with_parameters(results: DataFrame, used: Mapping[str, Any], notes: Sequence
     return results.select(params, F.lit("; ".join(notes)).alias("notes"), *results.columns)
 
 
+def report_path(model_path: str, block: int, name: str) -> str:
+    """Where a run with ``reports`` puts ``curve``, ``histogram``, ``importances`` or ``cross_tabs`` of a block."""
+    return f"{model_path}/temporal_block_{block}/report/{name}"
+
+
+def block_series(scores: DataFrame, id_column: str) -> dict[str, DataFrame]:
+    """Curve and histogram of the validation rows."""
+    curve, histogram = evaluation_series(scores.where("role = 'validation'"), id_column)
+    return {"curve": curve, "histogram": histogram}
+
+
 def evaluation_series(scores: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
     """The data behind the precision/recall curve and the score distribution."""
     return pr_curve(scores, tiebreak=id_column), score_histogram(scores)

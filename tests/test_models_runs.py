@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from foretell.features.spec import FeatureSpec
 from foretell.models import classifiers as C
 from foretell.plans import grid as GR
-from foretell.plans.run import RunSettings, evaluation_series, model_report, model_scores, run
+from foretell.plans.run import RunSettings, evaluation_series, model_report, model_scores, report_path, run
 from foretell.features.fit import fit_features
 from foretell.operators.metrics import base_rates
 
@@ -51,7 +51,7 @@ def members_of(facts):
 
 
 def test_run_evaluates_every_block(spark, facts, tmp_path):
-    results = run(facts, settings(), str(tmp_path), members_of(facts))
+    results = run(facts, settings(reports=True, report_features=2), str(tmp_path), members_of(facts))
     rows = results.collect()
     assert {r.block_id for r in rows} == {1, 2}
     assert {(r.role, r.metric) for r in rows if r.group is None} == {(r, m) for r in ("train", "validation") for m in ("precision", "recall")}
@@ -60,6 +60,9 @@ def test_run_evaluates_every_block(spark, facts, tmp_path):
     precision = [r.value for r in rows if r.metric == "precision" and r.role == "validation"]
     assert min(precision) > 0.6
     assert len(spark.read.parquet(f"{tmp_path}/text_vocab/title").collect()) == 4
+    reports = {n: spark.read.parquet(report_path(str(tmp_path), 2, n)) for n in ("curve", "histogram", "importances", "cross_tabs")}
+    assert reports["curve"].count() == 5000 and reports["importances"].orderBy("importance").collect()[-1].feature == "x"
+    assert reports["cross_tabs"].count() == 2 and reports["histogram"].agg(F.sum("n")).first()[0] > 50
     stored = run(facts, settings(), str(tmp_path), members_of(facts), train_models=False)
     again = {tuple(r) for r in stored.collect()}
     assert again == {tuple(r) for r in rows if r.role == "validation"}
@@ -85,6 +88,9 @@ def test_baseline_run(spark, facts, tmp_path):
     assert {r.role for r in again.select("role").distinct().collect()} == {"validation"}
     grid = GR.run_grid(facts, baseline, "Baseline", GR.parameter_grid({}), str(tmp_path / "grid"), sponsor_rows=rows)
     assert grid.where("metric = 'precision'").count() == 4
+    labelled = facts.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("block_id"), F.lit(1).alias("y"))
+    series = GR.reference_series(labelled, results=grid)
+    assert series.where("series = 'rate_baseline'").count() == 2 and series.count() == 6
     with pytest.raises(ValueError):
         GR.run_grid(facts, baseline, "Baseline", [{}], str(tmp_path / "none"))
 
@@ -207,4 +213,7 @@ def test_settings_from_configuration():
         "evaluate_params": {"top_k_fraction": 0.3, "bias_analysis": {"metrics": ["FDR"]}},
     }
     got = RunSettings.from_config(config)
-    assert got.spec.id_column == "id" and got.model_params == {"n_estimators": 7} and got.bias_metrics == ("FDR",)
+    assert got.spec.id_column == "id" and got.model_params == {"n_estimators": 7} and got.bias_metrics == ("FDR",) and got.reports
+    config["evaluate_params"] |= {"metrics": ["recall"], "bias_analysis": {"use": True, "groups": ["black"], "metrics": ["TPR"]}, "feature_importances": {"top_n": 3}}
+    again = RunSettings.from_config(config)
+    assert (again.metrics, again.bias_groups, again.report_features) == (("recall",), ("black",), 3)
