@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from foretell.functions.scalar import clip01, int_part, ratio
 from foretell.operators.ordinal import global_ordinal, ordinal_within
-from foretell.session import small_table
+from foretell.session import cut_lineage, small_table
 
 
 def _true_positives(y: Column, hit: Column) -> Column:
@@ -90,6 +90,53 @@ def top_fraction(
     return rows.select(*scores.columns, "rank", flag)
 
 
+#: Share of the rows on each side of the estimated cut that is sorted to find the exact one.
+CUT_MARGIN = 0.001
+
+
+def flag_top(
+    scores: DataFrame, k: float = 0.3, by: Sequence[str] = (), score: str = "score",
+    tiebreak: str = "id",
+) -> DataFrame:
+    """``predicted`` as in :func:`top_fraction`, without ranks and without sorting all rows.
+
+    Approximate quantiles enclose the cut (their error, 1e-4 of the rows, is below the margin). Rows
+    above the enclosure are counted, the few rows inside are sorted, and the row that is last in the top
+    gives the cut score and, among equal scores, the cut id. Many ties only widen the enclosure.
+    """
+    value = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))  # missing scores rank last
+    keyed = scores.withColumn("__v", value)
+    places = [max(0.0, 1 - k - CUT_MARGIN), min(1.0, 1 - k + CUT_MARGIN)]
+    bounds = F.percentile_approx("__v", places, 10_000)
+    groups = cut_lineage(keyed.groupBy(*by).agg(F.count("*").alias("__size"), bounds.alias("__b")).select(
+        *by, int_part(F.lit(float(k)) * F.col("__size")).alias("__n"), F.col("__b")[0].alias("__low"), F.col("__b")[1].alias("__high")
+    ))
+
+    def with_groups(rows: DataFrame, table: DataFrame) -> DataFrame:
+        if not by:  # one row
+            cells = {c: table.select(c).scalar() for c in table.columns}
+            return rows.withColumns(cells)
+        other = table.select(*[F.col(c).alias(f"__g_{c}") if c in by else F.col(c) for c in table.columns])
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
+        return rows.join(other, same, "left").drop(*[f"__g_{c}" for c in by])
+
+    narrow = with_groups(keyed.select(*by, "__v", F.col(tiebreak).alias("__t")), groups)
+    above = narrow.groupBy(*by).agg(F.count_if(F.col("__v") > F.col("__high")).alias("__above"))
+    inside = narrow.where((F.col("__v") >= F.col("__low")) & (F.col("__v") <= F.col("__high"))).select(*by, "__v", "__t")
+    order = [F.desc("__v"), "__t"]
+    placed = ordinal_within(inside, by, order, "__rank") if by else global_ordinal(inside, order, "__rank")
+    wanted = with_groups(with_groups(placed, groups.select(*by, "__n")), cut_lineage(above))
+    cuts = wanted.where(F.col("__rank") == F.col("__n") - F.col("__above")).select(
+        *by, F.col("__v").alias("__cut"), F.col("__t").alias("__last"))
+    flagged = with_groups(with_groups(keyed, groups.select(*by, "__high")), cut_lineage(cuts))
+    up_to_cut = (F.col("__v") > F.col("__cut")) | ((F.col("__v") == F.col("__cut")) & (F.col(tiebreak) <= F.col("__last")))
+    # the rows above may be the whole top, and then there is no cut row
+    top = (F.col("__v") > F.col("__high")) | F.coalesce(up_to_cut, F.lit(False))
+    return flagged.select(*scores.columns, top.cast("int").alias("predicted"))
+
+
 def metrics_at_k(flagged: DataFrame, by: Sequence[str] = (), label: str = "y") -> DataFrame:
     """Precision and recall of the flagged top rows; null where undefined."""
     top = F.col("predicted") == 1

@@ -725,7 +725,7 @@ def flagged_of(t):
 
 
 def top_scores(t):
-    return M.top_fraction(t.scores.select("id", "score", "y"), 0.3)
+    return M.flag_top(t.scores.select("id", "score", "y"), 0.3)
 
 
 @query("B5_group_metrics", sql_with("scores sponsors bills people", GROUP_METRICS, **GROUP_VIEWS, flagged=TOP.format(k=0.3)))
@@ -798,7 +798,7 @@ BY_GROUP_TOP = """SELECT *, CAST(rk <= floor(0.3::DOUBLE * count(*) OVER (PARTIT
 
 @query("M2_metrics_at_k_by_group", sql_with("grouped_scores", f'{AT_K}, "group" FROM flagged GROUP BY "group"', flagged=BY_GROUP_TOP))
 def m2_groups(t):
-    flagged = M.top_fraction(t.grouped_scores, 0.3, ["group"])
+    flagged = M.flag_top(t.grouped_scores, 0.3, ["group"])
     return rounded(M.metrics_at_k(flagged, ["group"]), "precision", "recall")
 
 
@@ -824,7 +824,7 @@ def m4(t):
     sql_with("grouped_scores", 'SELECT "group", predicted = 1 AS is_top, round(avg(y), 6) AS y, round(avg(score), 4) AS score FROM flagged GROUP BY 1, 2', flagged=BY_GROUP_TOP),
 )
 def m5(t):
-    flagged = M.top_fraction(t.grouped_scores, 0.3, ["group"])
+    flagged = M.flag_top(t.grouped_scores, 0.3, ["group"])
     return M.cross_tabs(flagged, ["y", "score"], ["group"]).select(
         "group", "is_top", r6("y").alias("y"), F.round("score", 4).alias("score")
     )
@@ -835,7 +835,7 @@ def m5(t):
     sql_with("grouped_scores", 'UNPIVOT (SELECT "group", precision, recall FROM m) ON precision, recall INTO NAME metric VALUE value', flagged=BY_GROUP_TOP, m=f'{AT_K}, "group" FROM flagged GROUP BY "group"'),
 )
 def m7(t):
-    flagged = M.top_fraction(t.grouped_scores, 0.3, ["group"])
+    flagged = M.flag_top(t.grouped_scores, 0.3, ["group"])
     return rounded(M.long_results(M.metrics_at_k(flagged, ["group"]), ["group"], ["precision", "recall"]), "value")
 
 

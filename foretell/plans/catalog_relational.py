@@ -9,7 +9,7 @@ from foretell.operators import groups as G
 from foretell.operators import joins as J
 from foretell.operators.baseline import mean_rate, pass_counters, pass_rates
 from foretell.operators.history import delayed_history
-from foretell.operators.metrics import cross_tabs, ranked, score_histogram, top_fraction
+from foretell.operators.metrics import cross_tabs, flag_top, ranked, score_histogram, top_fraction
 from foretell.operators.ordinal import exact_quantiles, global_ordinal, mini_batches, ordinal_within
 from foretell.operators.profile import box_plots, correlations, missing_values
 from foretell.operators.splits import block_summary, long_blocks, with_block_columns
@@ -623,7 +623,7 @@ def a14(t):
     ),
 )
 def a15(t):
-    return rounded(cross_tabs(top_fraction(t.scores), ["y", "session_id"]), "y", "session_id")
+    return rounded(cross_tabs(flag_top(t.scores), ["y", "session_id"]), "y", "session_id")
 
 
 HISTOGRAM = """SELECT b AS bin, round(lo + b * w, 6) AS left_edge, count(score) AS n

@@ -24,11 +24,11 @@ from foretell.operators.groups import group_metrics
 from foretell.operators.metrics import (
     cross_tabs,
     feature_importances,
+    flag_top,
     long_results,
     metrics_at_k,
     pr_curve,
     score_histogram,
-    top_fraction,
 )
 from foretell.operators.preprocess import preprocess
 from foretell.operators.splits import TRAIN, VALIDATION, block_count, block_slice, with_block_columns
@@ -196,7 +196,7 @@ def evaluate_block(
     unknown = set(settings.metrics) - {"precision", "recall"}
     if unknown:
         raise ValueError(f"metrics {sorted(unknown)} are not defined at the top fraction, choose precision or recall")
-    flagged = top_fraction(scores, settings.top_k_fraction, ["role"], tiebreak=id_column)
+    flagged = flag_top(scores, settings.top_k_fraction, ["role"], tiebreak=id_column)
     overall = metrics_at_k(flagged, ["role"]).withColumn("group", F.lit(None).cast("string"))
     out = long_results(overall, ["role", "group"], list(settings.metrics))
     if members is not None and settings.bias_metrics:
@@ -296,7 +296,7 @@ def model_report(
     names = fitted.feature_names()
     heavy = feature_importances(rows, names, model.featureImportances.toArray(), top_n)
     picked = [(r.feature_index, r.feature) for r in heavy.collect()]
-    flagged = top_fraction(scores, settings.top_k_fraction, tiebreak=fitted.spec.id_column)
+    flagged = flag_top(scores, settings.top_k_fraction, tiebreak=fitted.spec.id_column)
     slicer = VectorSlicer(inputCol="features", outputCol="picked", indices=[i for i, _ in picked])
     values = vector_to_array("picked")
     sliced = slicer.transform(rows)

@@ -179,3 +179,16 @@ def test_relabelled_statuses(spark):
         ("final", "Engrossed"): 1, ("final", "Passed"): 1,
         ("relabelled", "AssignFail"): 1, ("relabelled", "Passed"): 1,
     }
+
+
+@pytest.mark.parametrize("k", [0.0, 0.01, 0.299, 0.999, 1.0])
+def test_flag_top_is_the_ranked_top(spark, k):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([None, 1.0, 2.0, round(rng.random(), 2)]), rng.choice(["a", "a", "a", "b", None]), i % 2) for i in range(3000)]
+    rows += [(6000 + i, float(i), "hundred", 0) for i in range(100)]
+    rows += [(5000 + i, 7.0, "ties", 1) for i in range(50)] + [(9000, 1.0, "one", 0)]
+    df = spark.createDataFrame(rows, "id long, score double, g string, y int")
+    for by in ([], ["g"]):
+        want = {r.id: r.predicted for r in M.top_fraction(df.na.fill("none", ["g"]), k, by).collect()}
+        got = {r.id: r.predicted for r in M.flag_top(df, k, by).collect()}
+        assert got == want
