@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretell.llm import bpe, decontaminate, ngram_join, secrets, toxicity
+from foretell.llm.common import spare_name
 from foretell.session import scratch_path
 
 #: SQL can express neither the nearest-neighbour scores nor the tokenizer.
@@ -22,26 +23,35 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each class of near duplicates the document with the least id."""
-    classes = ngram_join.jaccard_join(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(classes, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """Keep one document of each class of near duplicates: that with the least id.
+
+    Rows that repeat an id are told apart by their text; of rows equal in both, one stays. A null id comes last.
+    """
+    row = spare_name(docs, "row")
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    named = docs.withColumn(row, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest.alias("digest")))
+    kept = ngram_join.jaccard_join(named, row).where("kept").select(row).distinct()
+    return named.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item; rows that share an id go together."""
     found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = found.select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti")
+    leaked = spare_name(docs, "leaked")
+    ids = found.select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(leaked)), "left_anti")
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets in texts by a mark; ``n_chars`` follows."""
-    found = secrets.scan_secrets(docs)
-    return found.select(*[
-        F.col("redacted").alias(c) if c == "text" else
-        F.when(F.size("spans") > 0, F.length("redacted").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
-        for c in docs.columns
-    ])
+    """Replace secrets in texts by a mark; ``n_chars`` follows. All documents stay."""
+    spans, redacted = spare_name(docs, "spans"), spare_name(docs, "redacted")
+    found = secrets.scan_secrets(docs, spans_col=spans, redacted_col=redacted)
+    changed = F.size(spans) > 0
+    values = {
+        "text": F.col(redacted),
+        "n_chars": F.when(changed, F.length(redacted).cast("long")).otherwise(F.col("n_chars")),
+    }
+    return found.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

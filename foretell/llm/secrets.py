@@ -85,10 +85,10 @@ def find_secrets(text: str, encoding: tiktoken.Encoding, least_chars: int, most_
 
 
 def scan_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, least_chars: int = 20,
-    most_chars_per_token: float = 2.0, path: str | None = None,
+    docs: DataFrame, text_col: str = "text", *, least_chars: int = 20, most_chars_per_token: float = 2.0,
+    path: str | None = None, spans_col: str = "spans", redacted_col: str = "redacted",
 ) -> DataFrame:
-    """Secrets in every whole text: ``docs`` with ``spans`` and ``redacted``.
+    """Secrets in every whole text: ``docs`` with ``spans`` and ``redacted`` (names by parameters).
 
     ``spans``: ``kind``, ``start``, ``end`` (code points, end exclusive) and ``base``, by start, then
     assign, access, hex, random. Assignments to secret names, access keys and long hex runs are base. A run of
@@ -102,7 +102,7 @@ def scan_secrets(
     """
     ship_package(docs.sparkSession)
     place = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    fed = docs.drop("spans", "redacted")
+    fed = docs.drop(spans_col, redacted_col)
     column = next(c for c in fed.columns if c.lower() == text_col.lower())
 
     def redact(text, spans):
@@ -121,6 +121,6 @@ def scan_secrets(
             found = [find_secrets(t or "", encoding, least_chars, most_chars_per_token) for t in texts]
             spans = pa.array([[dict(zip(("kind", "start", "end", "base"), s)) for s in f] for f in found], kind)
             clean = pa.array([redact(t, f) if f else t for t, f in zip(texts, found)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, spans, clean], names=[*batch.schema.names, "spans", "redacted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, spans, clean], names=[*batch.schema.names, spans_col, redacted_col])
 
-    return fed.mapInArrow(run, with_fields(fed, f"spans {SPANS}, redacted string"))
+    return fed.mapInArrow(run, with_fields(fed, f"`{spans_col}` {SPANS}, `{redacted_col}` string"))

@@ -159,3 +159,19 @@ def test_stages_keep_columns(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_stages_with_repeated_rows_nulls_and_clashing_columns(spark, sf_dir, text):
+    names = ("row", "leaked", "spans", "redacted", "id", "key", "n_links", "_low", "score", "ids", "decoded")
+    rows = [(1, text(1)), (1, text(1)), (1, text(2)), (2, text(2)), (None, text(2)), (None, text(3)), (3, None), (3, None), (4, ""), (5, "api_key=abcdefgh x")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *names) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    stages = dict(corpus_pipeline.STAGES)
+    out = {n: stages[n](spark, docs, sf_dir).collect() for n in stages}
+    for name in ("toxicity", "decontamination", "secrets"):
+        assert len(out[name]) == len(rows) and out[name][0].asDict().keys() == docs.first().asDict().keys()
+    assert sorted(((r.doc_id, r.text) for r in out["ngram_jaccard"]), key=str) == sorted([(1, text(1)), (1, text(2)), (None, text(3)), (3, None), (5, rows[-1][1])], key=str)
+    secret = [r for r in out["secrets"] if r.doc_id == 5][0]
+    assert (secret.text, secret.n_chars, secret.spans, secret.redacted) == ("[SECRET] x", 10, "spans", "redacted")
+    assert sorted(r.n_tokens for r in out["bpe"])[:3] == [0, 0, 0]
