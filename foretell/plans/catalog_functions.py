@@ -601,6 +601,19 @@ def t6(t):
     return TS.topic_counts(t.table("documents"), "text", ["source"])
 
 
+PARTS = {"english": "tion|thing", "german": "keit|ung", "spanish": "ción"}
+
+
+@query(
+    "T6_topics_that_occur",
+    "SELECT lang, count(*) AS n_texts, " + ", ".join(f"count(*) FILTER (regexp_matches(lower(text), '{p}')) AS n_{n}" for n, p in PARTS.items())
+    + " FROM documents GROUP BY 1",
+)
+def t6_parts(t):
+    """The same count with patterns that the documents have."""
+    return TS.topic_counts(t.table("documents"), "text", ["lang"], PARTS)
+
+
 # temporal splits
 
 
