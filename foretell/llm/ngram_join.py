@@ -133,7 +133,7 @@ def _verify(threshold: float):
         count = table.column("n").to_numpy()
         sets = [np.frombuffer(s, np.uint64) for s in table.column("grams").to_pylist()]
         bands = np.array(table.column("bands").to_pylist(), np.int64).reshape(len(sets), -1)
-        order = np.lexsort((keys.astype(str), side))
+        order = np.array(sorted(range(len(keys)), key=lambda i: (side[i], keys[i])))
         fresh = np.ones(len(order), bool)  # rows that repeat an id and its text come once
         fresh[1:] = (keys[order][1:] != keys[order][:-1]) | (side[order][1:] != side[order][:-1])
         order = order[fresh]
@@ -158,8 +158,8 @@ def _verify(threshold: float):
         root = local_roots(len(keys), left, right)
         hit = np.flatnonzero(links > 0)
         return pa.table({
-            "key": pa.array(list(keys[hit]), pa.string()), "links": pa.array(links[hit], pa.int64()),
-            "root": pa.array(list(keys[root[hit]]), pa.string()),
+            "key": pa.array(list(keys[hit]), pa.binary()), "links": pa.array(links[hit], pa.int64()),
+            "root": pa.array(list(keys[root[hit]]), pa.binary()),
         })
 
     return run
@@ -191,10 +191,10 @@ def jaccard_join(
     ship_package(spark)
     bands, rows = plan_bands(threshold, recall, hashes)
     normal = docs.select(F.col(id_col).alias("id"), normal_text(F.col(text_col)).alias("words"))
-    normal = normal.withColumn("key", F.md5("words"))
+    normal = normal.withColumn("key", F.unhex(F.md5("words")))
     id_type = normal.schema["id"].dataType.simpleString()
     signed = normal.select("key", "id", "words").mapInArrow(
-        _sign(n, bands, rows), f"key string, id {id_type}, grams long, bands array<long>"
+        _sign(n, bands, rows), f"key binary, id {id_type}, grams long, bands array<long>"
     )
     classes = cut_lineage(signed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("id").alias("low"), F.first("grams").alias("grams"), F.first("bands").alias("bands"),
@@ -221,7 +221,7 @@ def jaccard_join(
     own = normal.select("id", "words", F.col("key").alias("own"))
     texts = own.join(chosen, (own.own == chosen.key) & own.id.eqNullSafe(chosen.low))
     tiles = cut_lineage(texts.select("key", "n", "tile", "bands", "words").mapInArrow(
-        _expand(n), "key string, n long, tile long, bands array<long>, grams binary"
+        _expand(n), "key binary, n long, tile long, bands array<long>, grams binary"
     ))
     alone = tiles.select(F.col("tile").alias("first"), F.col("tile").alias("second"), F.lit(0).alias("side"), *tiles.columns)
     sides = [
@@ -232,9 +232,9 @@ def jaccard_join(
     ]
     work = alone.unionByName(sides[0]).unionByName(sides[1])
     found = work.groupBy("first", "second").applyInArrow(
-        _verify(threshold), "key string, links long, root string"
+        _verify(threshold), "key binary, links long, root binary"
     )
-    empty = members.where(F.col("key") == F.md5(F.lit(""))).groupBy("key").agg(
+    empty = members.where(F.col("key") == F.unhex(F.md5(F.lit("")))).groupBy("key").agg(
         F.count("*").alias("n"), F.min("id").alias("low"))
     whole = classes.select("key", "n", "low").unionByName(empty)
     joined = linked_rows(members, whole, found)
