@@ -12,8 +12,7 @@ from foretell.session import scratch_path
 #: SQL can express neither the nearest-neighbour scores nor the tokenizer.
 ORACLE_SQL = None
 
-
-TOXIC = 0.3
+TOXIC = 0.3  # score from which a document goes
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
