@@ -28,7 +28,7 @@ KNOWN = re.compile(
     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-F]{128}"
     r"|[A-Z2-7]{32}|[A-Z2-7]{52}={0,4}|sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-    r"|[0-9+/=_-]+|[A-Za-z]?[a-z]*(?:[_/=+-]+[A-Za-z]?[a-z]*)*|[A-Z]+(?:[_/=+-]+[A-Z]*)*"
+    r"|[0-9+/=_-]+|[A-Za-z]?+[a-z]*+(?:[_/=+-]++[A-Za-z]?+[a-z]*+)*+|[A-Z]++(?:[_/=+-]++[A-Z]*+)*+"
 )
 
 
