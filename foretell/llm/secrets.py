@@ -22,14 +22,18 @@ ASSIGN = re.compile(
     r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-#: What the token test leaves out: digests by their usual lengths, and identifiers.
+#: Shapes of digests that random keys have as well.
+DIGEST = r"(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128}|[A-Z2-7]{32}|[A-Z2-7]{52}={0,4})"
+NAMED = r"(?i:md5|sha-?(?:1|224|256|384|512))"
+#: What the token test leaves out: SHA-1 digests, other digests that are named, identifiers, numbers.
 KNOWN = re.compile(
-    r"[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
-    r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-F]{128}"
-    r"|[A-Z2-7]{32}|[A-Z2-7]{52}={0,4}|sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}"
+    rf"[0-9A-F]{{40}}|{NAMED}[/=_-]{DIGEST}|sha(?:256|384|512)-[A-Za-z0-9+/]+={{0,2}}"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-    r"|[0-9+/=_-]+|[A-Za-z]?+[a-z]*+(?:[_/=+-]++[A-Za-z]?+[a-z]*+)*+|[A-Z]++(?:[_/=+-]++[A-Z]*+)*+"
+    r"|[0-9+/=_-]+"
 )
+DIGEST = re.compile(DIGEST)
+#: The end of a text that names the digest which follows.
+NAMES_DIGEST = re.compile(rf"(?<![A-Za-z0-9])(?:{NAMED}\x20?[:=/_-]\x20?|(?i:urn):(?:[A-Za-z0-9-]{{1,16}}:)*)[\"']?\Z")
 
 
 def _class(letters: str) -> np.ndarray:
@@ -55,6 +59,13 @@ def _long_runs(data: bytes, table: np.ndarray, least: int) -> list[tuple[int, in
     return list(zip(starts[keep].tolist(), ends[keep].tolist()))
 
 
+def _known(data: bytes, start: int, end: int) -> bool:
+    word = data[start:end].decode()
+    if KNOWN.fullmatch(word):
+        return True
+    return bool(DIGEST.fullmatch(word) and NAMES_DIGEST.search(data[max(0, start - 48) : start].decode("latin-1")))
+
+
 def find_secrets(text: str, encoding: tiktoken.Encoding, least_chars: int, most_chars_per_token: float) -> list[tuple]:
     """Spans (kind, start, end, base) of a text in code points, by start, then kind."""
     data = text.encode()
@@ -76,7 +87,7 @@ def find_secrets(text: str, encoding: tiktoken.Encoding, least_chars: int, most_
     base = sorted((s, e) for _, s, e, _ in found)
     for at in _long_runs(data, TOKEN, least_chars):
         word = data[at[0] : at[1]].decode()
-        if KNOWN.fullmatch(word) or len(word) / len(encoding.encode_ordinary(word)) > most_chars_per_token:
+        if _known(data, *at) or len(word) / len(encoding.encode_ordinary(word)) > most_chars_per_token:
             continue
         start, end = place(at)
         if not any(s < end and start < e for s, e in base):
@@ -93,8 +104,8 @@ def scan_secrets(
     ``spans``: ``kind``, ``start``, ``end`` (code points, end exclusive) and ``base``, by start, then
     assign, access, hex, random. Assignments to secret names, access keys and long hex runs are base. A run of
     at least ``least_chars`` of letters, digits and ``+/=_-`` that takes a token for every
-    ``most_chars_per_token`` characters or fewer is random, unless it is a digest of a usual length, a UUID, a
-    number, or words in one case joined by marks, or overlaps a base span. ``redacted``: the text
+    ``most_chars_per_token`` characters or fewer is random, unless it is an upper-case SHA-1, another digest that
+    is named as one, a UUID, or a number, or overlaps a base span. ``redacted``: the text
     with each stretch of spans as ``[SECRET]``; the text itself where there are none.
 
     Null counts as empty in ``spans`` and stays null in ``redacted``. Columns of ``docs`` with
