@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +33,8 @@ KNOWN = re.compile(
     r"|[0-9+/=_-]+"
 )
 DIGEST = re.compile(DIGEST)
+#: Between marks; a UUID is one piece.
+PIECE = re.compile(rb"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 #: The end of a text that names the digest which follows.
 NAMES_DIGEST = re.compile(rf"(?<![A-Za-z0-9])(?:{NAMED}\x20?[:=/_-]\x20?|(?i:urn):(?:[A-Za-z0-9-]{{1,16}}:)*)[\"']?\Z")
 
@@ -66,16 +69,30 @@ def _known(data: bytes, start: int, end: int) -> bool:
     return bool(DIGEST.fullmatch(word) and NAMES_DIGEST.search(data[max(0, start - 48) : start].decode("latin-1")))
 
 
+def _stretches(data: bytes, start: int, end: int, free, hard) -> list[tuple[int, int]]:
+    """Parts of a run between marks, joined where neighbours are ``hard`` to pack too, or shorter than 4 characters."""
+    out, first, last = [], None, None
+    for m in PIECE.finditer(data, start, end):
+        if b"-" not in m[0] and free(*m.span()) and hard(*m.span()):
+            first, last = m.start() if first is None else first, m.end()
+        elif first is not None and (m.end() - m.start() > 3 or not free(*m.span())):
+            out.append((first, last))
+            first = None
+    return out if first is None else [*out, (first, last)]
+
+
 def find_secrets(text: str, encoding: tiktoken.Encoding, least_chars: int, most_chars_per_token: float) -> list[tuple]:
     """Spans (kind, start, end, base) of a text in code points, by start, then kind."""
     data = text.encode()
     plain = len(data) == len(text)
+    seen = [0, 0]  # a place in bytes and in code points; runs come in order
 
     def place(at: tuple[int, int]) -> tuple[int, int]:
         if plain:
             return at
-        start = len(data[: at[0]].decode())
-        return start, start + at[1] - at[0]  # runs are ASCII
+        seen[1] += len(data[seen[0] : at[0]].decode())
+        seen[0] = at[0]
+        return seen[1], seen[1] + at[1] - at[0]  # runs are ASCII
 
     found = []
     low = text.lower()
@@ -84,14 +101,31 @@ def find_secrets(text: str, encoding: tiktoken.Encoding, least_chars: int, most_
     if "AKIA" in text:
         found += [("access", *m.span(), True) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *place(x), True) for x in _long_runs(data, HEX, 24)]
-    base = sorted((s, e) for _, s, e, _ in found)
+    starts, ends = [], []  # of the base spans, merged
+    for s, e in sorted((s, e) for _, s, e, _ in found):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    seen[:] = [0, 0]
     for at in _long_runs(data, TOKEN, least_chars):
-        word = data[at[0] : at[1]].decode()
-        if _known(data, *at) or len(word) / len(encoding.encode_ordinary(word)) > most_chars_per_token:
+        if _known(data, *at):
             continue
-        start, end = place(at)
-        if not any(s < end and start < e for s, e in base):
-            found.append(("random", start, end, False))
+        shift = place(at)[0] - at[0]
+
+        def free(start: int, end: int) -> bool:
+            k = bisect_left(starts, end + shift)
+            return k == 0 or ends[k - 1] <= start + shift
+
+        def hard(start: int, end: int) -> bool:
+            return end - start <= most_chars_per_token * len(encoding.encode_ordinary(data[start:end].decode()))
+
+        if free(*at) and hard(*at):
+            parts = [at]
+        else:  # words beside a random part pack well and hide it
+            parts = [x for x in _stretches(data, *at, free, hard) if x[1] - x[0] >= least_chars and not _known(data, *x) and hard(*x)]
+        found += [("random", s + shift, e + shift, False) for s, e in parts]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
@@ -105,7 +139,8 @@ def scan_secrets(
     assign, access, hex, random. Assignments to secret names, access keys and long hex runs are base. A run of
     at least ``least_chars`` of letters, digits and ``+/=_-`` that takes a token for every
     ``most_chars_per_token`` characters or fewer is random, unless it is an upper-case SHA-1, another digest that
-    is named as one, a UUID, or a number, or overlaps a base span. ``redacted``: the text
+    is named as one, a UUID, or a number, or overlaps a base span; else its parts between ``+/=_-`` that do so by themselves,
+    with neighbours that do so too, if they are that long. ``redacted``: the text
     with each stretch of spans as ``[SECRET]``; the text itself where there are none.
 
     Null counts as empty in ``spans`` and stays null in ``redacted``. Columns of ``docs`` with
