@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,42 +30,60 @@ class BlockMaxIndex:
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size = len(vectors)
         self.blocks = -(-self.size // BLOCK)
-        row = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
-        term = np.concatenate([t for t, _ in vectors]) if vectors else np.empty(0, np.int64)
+        row = np.repeat(np.arange(self.size, dtype=np.int32), [len(t) for t, _ in vectors])
+        term = np.concatenate([t for t, _ in vectors]).astype(np.int32) if vectors else np.empty(0, np.int32)
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        order = np.lexsort((row, term))
-        row, term, weight = row[order], term[order], weight[order]
-        cuts = np.searchsorted(term, np.arange(terms + 1))
-        self.postings = []
-        for t in range(terms):
-            r, w = row[cuts[t] : cuts[t + 1]], weight[cuts[t] : cuts[t + 1]]
-            block, start = np.unique(r // BLOCK, return_index=True)
-            self.postings.append((r, w, block, np.append(start, len(r)), np.maximum.reduceat(w, start) if len(r) else w))
+        order = np.argsort(term, kind="stable")  # rows rise within a term
+        term, self.row, self.weight = term[order], row[order], weight[order]
+        self.cuts = np.searchsorted(term, np.arange(terms + 1))
+        # entries: one per term and block
+        block = self.row // BLOCK
+        fresh = np.ones(len(term), bool)
+        fresh[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        start = np.flatnonzero(fresh)
+        self.block, self.start = block[start], np.append(start, len(term)).astype(np.int32)
+        top = np.maximum.reduceat(self.weight, start) if len(start) else np.empty(0)
+        self.top = np.nextafter(top.astype(np.float32), np.float32(2))  # not below the maximum
+        self.entries = np.searchsorted(start, self.cuts)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest vectors with a positive cosine, and of all that tie with the last."""
-        bound = np.zeros(self.blocks)
-        for t, q in zip(terms.tolist(), weights.tolist()):
-            _, _, block, _, top = self.postings[t]
-            bound[block] += q * top
+        found, scores = np.empty(0, np.int64), np.empty(0)
+        if not len(terms) or not self.size:
+            return found, scores
+        spans = list(zip(self.entries[terms].tolist(), self.entries[terms + 1].tolist()))
+        block = np.concatenate([self.block[a:b] for a, b in spans])
+        q = np.repeat(weights, [b - a for a, b in spans])
+        bound = np.bincount(block, q * np.concatenate([self.top[a:b] for a, b in spans]), self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        found, scores, done, step = np.empty(0, np.int64), np.empty(0), 0, 2
+        entry = start = length = total = None
+        done, step = 0, 4
         while done < len(order):
             least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
-            if bound[order[done]] < least - TIE:
+            live = int(np.searchsorted(-bound[order], -(least - TIE), side="right"))
+            if done >= live:
                 break
-            opened = np.sort(order[done : done + step])
-            done, step = done + step, step * 2
-            total = np.zeros(len(opened) * BLOCK)
-            for t, q in zip(terms.tolist(), weights.tolist()):
-                r, w, block, start, _ = self.postings[t]
-                for b in np.flatnonzero(np.isin(block, opened)).tolist():
-                    at = slice(start[b], start[b + 1])
-                    total[np.searchsorted(opened, block[b]) * BLOCK + r[at] % BLOCK] += q * w[at]
-            hit = np.flatnonzero(total > 0)
-            found = np.concatenate((found, opened[hit // BLOCK] * BLOCK + hit % BLOCK))
-            scores = np.concatenate((scores, total[hit]))
+            opened = np.zeros(self.blocks, bool)
+            opened[order[done : min(live, done + step)]] = True
+            done, step = done + step, step * 16
+            if entry is None:
+                entry = np.concatenate([np.arange(a, b) for a, b in spans])
+                start = self.start[entry]
+                length = self.start[entry + 1] - start
+            at = np.flatnonzero(opened[block])
+            if total is None and 3 * int(length[at].sum()) > int(length.sum()):  # whole lists cost less than picking from them
+                whole = [(a, b) for a, b in zip(self.cuts[terms].tolist(), self.cuts[terms + 1].tolist())]
+                products = np.concatenate([self.weight[a:b] for a, b in whole]) * np.repeat(weights, [b - a for a, b in whole])
+                total = np.bincount(np.concatenate([self.row[a:b] for a, b in whole]), products, self.size)
+            if total is not None:
+                now = np.where(np.repeat(opened, BLOCK)[: self.size], total, 0.0)
+            else:
+                n = length[at]
+                posting = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                now = np.bincount(self.row[posting], self.weight[posting] * np.repeat(q[at], n), self.size)
+            hit = np.flatnonzero(now > 0)
+            found, scores = np.concatenate((found, hit)), np.concatenate((scores, now[hit]))
         if len(scores) > k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             found, scores = found[scores >= least - TIE], scores[scores >= least - TIE]
@@ -91,16 +110,17 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class ToxicityModel:
     """Labelled examples, distinct by vector, with the votes of the texts that share it."""
 
-    terms: list[str]
-    keys: np.ndarray  # hashes of the terms, ascending
-    weight: np.ndarray  # inverse document frequency, in the order of ``keys``
+    terms: list[str]  # words that go with the label
+    keys: np.ndarray  # hashes of all words of the examples, ascending
+    weight: np.ndarray  # inverse document frequency times 1 + gain, in the order of ``keys``
+    marked: np.ndarray  # positions of ``terms`` in ``keys``, ascending
     index: BlockMaxIndex
     votes: np.ndarray  # per example vector: texts of label 0 and of label 1
     example: list
     k: int
-    steps: tuple[np.ndarray, np.ndarray] | None
+    steps: tuple[np.ndarray, np.ndarray] | None  # corners of the calibration
     base: float  # share of label 1
-    unknown: float  # score of a text without a known term
+    unknown: float  # score of a text without a known word
 
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return unit_vector(counts, self.weight)
@@ -109,9 +129,9 @@ class ToxicityModel:
         found, cosines = self.index.search(*vector, self.k)
         if not len(found):
             return None, found, cosines
-        # a vote falls with the distance; one vote of the base rate stands for what is far away
+        # a vote falls with the distance, a near copy has many; one vote of the base rate stands for what is far away
         share = self.votes[found, 1] / self.votes[found].sum(axis=1)
-        near = cosines**2
+        near = cosines**2 / (1.01 - np.minimum(cosines, 1) ** 2)
         return float((near @ share + self.base) / (near.sum() + 1)), found, cosines
 
     def calibrated(self, raw: float | None) -> float:
@@ -119,8 +139,7 @@ class ToxicityModel:
             return self.unknown
         if self.steps is None:
             return raw
-        least, rate = self.steps
-        return float(rate[max(0, np.searchsorted(least, raw + TIE) - 1)])
+        return float(np.interp(raw, *self.steps))
 
 
 def unit_vector(counts, weight):
@@ -129,12 +148,20 @@ def unit_vector(counts, weight):
     return terms, w / np.sqrt((w * w).sum()) if len(w) else w
 
 
-def term_counts(text: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in ``keys`` of a lower-case text's known words, ascending, and how often they occur."""
+def word_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a lower-case text's words, ascending, and how often they occur."""
     data = text.encode()
-    hashes = run_hashes(data, *runs(data, WORDS))
-    at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
-    return np.unique(at[keys[at] == hashes], return_counts=True) if len(keys) else (np.empty(0, np.int64), np.empty(0))
+    return np.unique(run_hashes(data, *runs(data, WORDS)), return_counts=True)
+
+
+def term_counts(counts: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in ``keys`` of the known words, ascending, and how often they occur."""
+    hashes, times = counts
+    if not len(keys):
+        return np.empty(0, np.int64), np.empty(0)
+    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    known = keys[at] == hashes
+    return at[known], times[known]
 
 
 def _sketch(batches):
@@ -155,8 +182,10 @@ def _document_counts(keys: np.ndarray):
         for batch in batches:
             total[-1] += batch.num_rows
             for text in batch.column("low").to_pylist():
-                total[term_counts(text, keys)[0]] += 1
-        yield pa.RecordBatch.from_pydict({"t": np.arange(len(total)), "n": total})
+                total[term_counts(word_counts(text), keys)[0]] += 1
+        seen = np.flatnonzero(total)
+        for k in range(0, len(seen), 100_000):
+            yield pa.RecordBatch.from_pydict({"t": seen[k : k + 100_000], "n": total[seen[k : k + 100_000]]})
 
     return run
 
@@ -169,11 +198,11 @@ def fit_toxicity(
     """Examples and their index from at most ``max_examples`` labelled documents (``use``: condition on the labels).
 
     Four fifths are examples, the rest calibrates. Copies and most near copies (equal in one of two MinHashes of
-    word 3-grams) count once, or else the words of a much copied text would seem to go with its label. Terms are those of the
-    examples, in ``least_documents`` at least, whose presence goes with the label: n KL(p || base rate) of a term
-    in n examples must reach ln(terms tested / ``false_terms``), which bounds by about that number the
-    terms taken by chance (the ``max_terms`` strongest). Their document frequencies come from all documents.
-    Driver and tasks hold the examples' vectors over these terms only.
+    word 3-grams) count once, or else the words of a much copied text would seem to go with its label. Vectors cover all
+    words of the examples; document frequencies come from all documents. Words in ``least_documents`` examples at least
+    whose presence goes with the label weigh 1 + gain times as much: n KL(p || base rate) of a word
+    in n examples must reach ln(words tested / ``false_terms``), which bounds by about that number the
+    words taken by chance (the ``max_terms`` strongest). Driver and tasks hold the examples' vectors.
     """
     ship_package(docs.sparkSession)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, use, max_examples)
@@ -195,46 +224,71 @@ def fit_toxicity(
     gain = part(p, base) + part(n - p, 1 - base)
     tested = seen.count()
     picked = seen.withColumn("gain", gain).where(F.col("gain") >= float(np.log(max(1, tested) / false_terms)))
-    terms = [r.term for r in picked.orderBy(F.desc("gain"), "term").limit(max_terms).collect()]
-    keys = np.array([int(run_hashes(t.encode(), np.array([0]), np.array([len(t.encode())]))[0]) for t in terms], np.uint64)
-    order = np.argsort(keys)
-    keys, terms = keys[order], [terms[i] for i in order]
+    gains = {r.term: r.gain for r in picked.orderBy(F.desc("gain"), "term").limit(max_terms).collect()}
 
-    low = docs.select(F.lower(F.coalesce(text_col, F.lit(""))).alias("low"))
-    counts = np.zeros(len(keys) + 1)
-    for t, c in low.mapInArrow(_document_counts(keys), "t long, n long").groupBy("t").agg(F.sum("n")).collect():
-        counts[t] = c
-    weight = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
-
-    def vectors(batches):
+    def packed(batches):
         for batch in batches:
-            found = [term_counts(t, keys) for t in batch.column("low").to_pylist()]
-            lists = [pa.array([f[i].tolist() for f in found], pa.list_(pa.int64())) for i in (0, 1)]
+            found = [word_counts(t) for t in batch.column("low").to_pylist()]
+            hashes, times = (pa.array([f[k].astype(t).tobytes() for f in found], pa.binary()) for k, t in ((0, np.uint64), (1, np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), batch.column("example"), *lists],
-                names=["id", "label", "example", "terms", "times"],
+                [batch.column("id"), batch.column("label"), batch.column("example"), hashes, times],
+                names=["id", "label", "example", "hashes", "times"],
             )
 
-    rows = sample.mapInArrow(vectors, f"id {kind}, label int, example boolean, terms array<long>, times array<long>").collect()
+    got = sample.mapInArrow(packed, f"id {kind}, label int, example boolean, hashes binary, times binary").toArrow()
+    ids, marks, among = (got.column(c).to_pylist() for c in ("id", "label", "example"))
+    # the vocabulary is all words of the examples, which the sample bounds
+    keys, new = np.empty(0, np.uint64), []
+    for k, (e, h) in enumerate(zip(among, got.column("hashes"))):
+        if e:
+            new.append(np.frombuffer(h.as_buffer(), np.uint64))
+        if new and (k % 1000 == 999 or k == len(among) - 1):
+            keys, new = np.unique(np.concatenate([keys, *new])), []
+    if new:
+        keys = np.unique(np.concatenate([keys, *new]))
+    gain = {int(run_hashes(t.encode(), np.array([0]), np.array([len(t.encode())]))[0]): (t, g) for t, g in gains.items()}
+    strong = np.array(sorted(gain), np.uint64)
+    marked = np.searchsorted(keys, strong)
+    terms = [gain[h][0] for h in strong.tolist()]
+
+    low = docs.select(F.lower(F.coalesce(text_col, F.lit(""))).alias("low"))
+    counted = low.mapInArrow(_document_counts(keys), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(keys) + 1)
+    counts[counted.column("t").to_numpy()] = counted.column("n").to_numpy()
+    weight = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
+    weight[marked] *= 1 + np.array([gain[h][1] for h in strong.tolist()])
+
     shared: dict[tuple, list] = {}
-    for r in rows:
-        if r.example and r.terms:  # votes of the examples that share a vector
-            entry = shared.setdefault((tuple(r.terms), tuple(r.times)), [0, 0, r.id])
-            entry[r.label > 0] += 1
-            entry[2] = min(entry[2], r.id)
-    made = [(unit_vector((np.array(t), np.array(c)), weight), v) for (t, c), v in shared.items()]
+    rest = []
+    for id_, label, e, h, t in zip(ids, marks, among, got.column("hashes"), got.column("times")):
+        at, times = term_counts((np.frombuffer(h.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.int32)), keys)
+        if e and len(at):  # votes of the examples that share a vector
+            entry = shared.setdefault((at.astype(np.int32).tobytes(), times.tobytes()), [0, 0, id_])
+            entry[label > 0] += 1
+            entry[2] = min(entry[2], id_)
+        else:
+            rest.append((at, times, label, e))
+    del got
+    made = [(unit_vector((np.frombuffer(t, np.int32), np.frombuffer(c, np.int32)), weight), v) for (t, c), v in shared.items()]
+    shared.clear()
     # like vectors in the same blocks, so that the maxima are tight
-    made.sort(key=lambda m: (int(m[0][0][m[0][1].argmax()]), -float(m[0][1].max()), m[0][0].tolist(), m[0][1].tolist()))
+    made.sort(key=lambda m: (int(m[0][0][m[0][1].argmax()]), -float(m[0][1].max()), m[1][2]))
     model = ToxicityModel(
-        terms, keys, weight, BlockMaxIndex([m[0] for m in made], len(keys)), np.array([m[1][:2] for m in made], float).reshape(-1, 2),
+        terms, keys, weight, marked, BlockMaxIndex([m[0] for m in made], len(keys)), np.array([m[1][:2] for m in made], float).reshape(-1, 2),
         [m[1][2] for m in made], k, None, ones / size if size else 0.0, 0.0,
     )
-    held = [(model.raw(unit_vector((np.array(r.terms, np.int64), np.array(r.times)), weight))[0], r.label > 0) for r in rows if not r.example]
-    empty = [y for x, y in held if x is None] + [r.label > 0 for r in rows if r.example and not r.terms]
+    del made
+    held = [(model.raw(unit_vector((at, times), weight))[0], label > 0) for at, times, label, e in rest if not e]
+    empty = [y for x, y in held if x is None] + [label > 0 for _, _, label, e in rest if e]
     model.unknown = sum(empty) / (len(empty) + 1)
     known = [(x, y) for x, y in held if x is not None]
     if known:
-        model.steps = isotonic(np.array([x for x, _ in known]), np.array([y for _, y in known], float))
+        x = np.array([x for x, _ in known])
+        least, rate = isotonic(x, np.array([y for _, y in known], float))
+        # flat over each step, linear over the gap between two
+        x = np.unique(x)
+        most = x[np.append(np.searchsorted(x, least[1:]), len(x)) - 1]
+        model.steps = np.column_stack((least, most)).ravel(), np.repeat(rate, 2)
     return model
 
 
@@ -248,17 +302,27 @@ def _scored(docs: DataFrame, model: ToxicityModel, text_col: str, keep_below: fl
     fields = pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("votes_0", pa.int64()), ("votes_1", pa.int64())])
 
     def judge(text: str, memo: dict) -> tuple:
-        counts = term_counts(text, model.keys)
-        key = counts[0].tobytes() + counts[1].tobytes()
+        words = word_counts(text)
+        counts = term_counts(words, model.keys)
+        key = blake2b(counts[0].tobytes() + counts[1].tobytes(), digest_size=16).digest()
         if key not in memo:
-            if len(memo) >= 50_000:
+            if len(memo) >= 10_000:
                 memo.clear()
-            raw, found, cosines = model.raw(model.vector(counts)) if len(counts[0]) else (None, [], [])
+            vector = model.vector(counts)
+            raw, found, cosines = model.raw(vector) if len(counts[0]) else (None, [], [])
+            if keep_below is not None:
+                memo[key] = (model.calibrated(raw),)
+                return memo[key]
             near = [
                 {"example": str(model.example[i]), "cosine": float(c), "votes_0": int(model.votes[i, 0]), "votes_1": int(model.votes[i, 1])}
                 for i, c in list(zip(found, cosines))[:3]
             ]
-            memo[key] = (model.calibrated(raw), [model.terms[i] for i in counts[0]], near)
+            shown = np.isin(counts[0], model.marked, assume_unique=True)
+            shown[np.argsort(-vector[1], kind="stable")[:10]] = True
+            data = text.encode()
+            starts, ends = runs(data, WORDS)
+            first = np.unique(run_hashes(data, starts, ends), return_index=True)[1][np.isin(words[0], model.keys[counts[0][shown]], assume_unique=True)]
+            memo[key] = (model.calibrated(raw), [data[starts[i] : ends[i]].decode() for i in first.tolist()], near)
         return memo[key]
 
     def run(batches):
@@ -278,10 +342,10 @@ def _scored(docs: DataFrame, model: ToxicityModel, text_col: str, keep_below: fl
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with the toxicity of every whole text: ``score`` (0 to 1), ``terms`` (known words in it), ``evidence``
+    """``docs`` with the toxicity of every whole text: ``score`` (0 to 1), ``terms`` (its words that go with the label, and its ten known words of most weight), ``evidence``
     (the three nearest examples: ``example`` id, ``cosine``, ``votes_0``, ``votes_1``).
 
-    Null counts as empty. A text without known terms, an empty one too, has no neighbours; its score is
+    Null counts as empty. A text without a word of the examples, an empty one too, has no neighbours; its score is
     the share of label 1 among such labelled texts. Examples with equal vectors are one neighbour with all
     their votes; neighbours that tie with the k-th all vote. Each row stands alone, whatever its id.
     Columns of ``docs`` with these names are replaced.

@@ -175,3 +175,18 @@ def test_stages_with_repeated_rows_nulls_and_clashing_columns(spark, sf_dir, tex
     secret = [r for r in out["secrets"] if r.doc_id == 5][0]
     assert (secret.text, secret.n_chars, secret.spans, secret.redacted) == ("[SECRET] x", 10, "spans", "redacted")
     assert sorted(r.n_tokens for r in out["bpe"])[:3] == [0, 0, 0]
+
+
+def test_near_copies_of_toxic_examples_without_a_common_toxic_word(spark, text):
+    rows, labels = toxic_rows(text)
+    rows += [(1000 + k, text(7000 + k, 60)) for k in range(40)]  # toxic by words of their own
+    labels += [(1000 + k, 1) for k in range(40)]
+    copies = [(2000 + k, " ".join([*text(7000 + k, 60).split()[:-5], *text(8000 + k, 5).split()])) for k in range(40)]
+    docs = spark.createDataFrame([*rows, *copies], "doc_id long, text string")
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    used = set(model.example)
+    out = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    near = [r for k, r in out.items() if k >= 2000 and k - 1000 in used]
+    assert len(near) > 20 and all(r.score >= 0.3 and r.terms and r.evidence[0].example == str(r.doc_id - 1000) for r in near)
+    clean = [out[k].score for k in range(400) if k % 5]
+    assert np.mean([s < 0.3 for s in clean]) > 0.97
