@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.llm import archive, bpe, decontaminate, ngram_join, pii, quality, secrets, toxicity, url_filter, vector_dedup
+from foretell.llm import (
+    archive, bpe, decontaminate, ngram_join, pii, quality, secrets, token_store, toxicity, url_filter, variants, vector_dedup, whitening,
+)
 from foretell.llm.labels import fold
 from foretell.session import scratch_path
 
@@ -96,9 +98,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of every text in directly addressable codes, and describe what is read back."""
+    return token_store.stored_ids(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector; a ``deviation`` beyond 64 bits is null."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumn(
+        "deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_embedding_dedup, op3_bpe, op4_warc, op5_url_filter, op6_toxicity,
-    op7_ngram_jaccard, op8_secrets, op9_pii, op10_quality,
+    op7_ngram_jaccard, op8_secrets, op9_pii, op10_quality, op11_spelling_variants, op12_token_store, op13_whitening,
 )}
 
 _COMPONENTS = """
