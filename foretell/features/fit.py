@@ -92,6 +92,15 @@ def _from_table(params) -> bool:
     return isinstance(params, list) and bool(params) and params[0] == "##from_db"
 
 
+def vector_entries(vector: Column | str) -> Column:
+    """``array<struct<at: int, value: double>>`` of a vector's stored entries, without unpacking a sparse one."""
+    inner = F.unwrap_udt(F.col(vector) if isinstance(vector, str) else vector)
+    entry = lambda at, value: F.struct(at.cast("int").alias("at"), value.alias("value"))
+    sparse = F.zip_with(inner["indices"], inner["values"], entry)
+    dense = F.transform(inner["values"], lambda value, at: entry(at, value))
+    return F.when(inner["type"] == 0, sparse).otherwise(dense)
+
+
 @dataclass
 class _Chain:
     """A feature while it is fitted: its expression so far and the operations with fitted values."""
@@ -250,6 +259,19 @@ class FittedFeatures:
                 names += [f"{self.spec.column_of(key)}#{b}" for b in range(hashed[0]["n_features"])]
         return names
 
+    def layout(self) -> dict[str, range]:
+        """Positions of each feature key in the vector, fitted with it: what is dense and what a text fills."""
+        places, start = {}, 0
+        for key in self.applied:
+            if key in self.text_models:
+                size = len(self.text_models[key][2])
+            else:
+                named, hashed = self._outputs(key)
+                size = len(named) + (hashed[0]["n_features"] if hashed else 0)
+            places[key] = range(start, start + size)
+            start += size
+        return places
+
     def transform(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
         """``(id, features, label)``; a missing feature value is an error."""
         rows = with_history(df, self.spec, population)

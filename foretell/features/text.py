@@ -26,15 +26,19 @@ from pyspark.sql import functions as F
 
 from foretell.functions.text import word_tokens
 from foretell.operators.ordinal import ordinal_within
+from foretell.session import cut_lineage
 
 MAX_VECTOR_TERMS = 2_000_000
+#: Size up to which a table of terms is sent to every executor.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, term, idx)``: the distinct tokens of each text column, alphabetical."""
     tall = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in columns])
     texts = df.select(F.explode(tall).alias("t")).select("t.*")
-    terms = texts.select("column", F.explode(word_tokens("text")).alias("term")).distinct()
+    # written, so that the texts are cut into tokens once
+    terms = cut_lineage(texts.select("column", F.explode(word_tokens("text")).alias("term")).distinct())
     numbered = ordinal_within(terms, ["column"], ["term"], "idx")
     return numbered.withColumn("idx", F.col("idx") - 1)
 
@@ -49,11 +53,21 @@ def bow_long(
 
 
 def idf_long(counts: DataFrame, n_documents) -> DataFrame:
-    """``(term, idf)`` with smoothed document frequencies: ``ln((1 + n) / (1 + df)) + 1``."""
+    """``(term, idf)`` with smoothed document frequencies: ``ln((1 + n) / (1 + df)) + 1``.
+
+    ``counts`` has a row for each term of each document; only combined counts are shuffled.
+    """
     seen = counts.groupBy("term").agg(F.count("*").alias("df"))
     return seen.select("term", (F.log((1 + n_documents) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """A written ``(term, idf)`` table, to be broadcast if its bytes, now known, allow it."""
+    table = cut_lineage(table)
+    size = table.agg(F.sum(F.octet_length("term") + 40)).first()[0] or 0
+    return F.broadcast(table) if size <= MAX_BROADCAST_BYTES else table
+
+
 def tfidf_long(
     df: DataFrame, id_column: str, text: str, train: DataFrame | None = None,
     vocab: DataFrame | None = None,
@@ -62,14 +76,22 @@ def tfidf_long(
 
     ``train`` holds the documents the document frequencies come from (default: ``df``). A
     vocabulary term that no training document has gets the idf of frequency zero.
+
+    Texts are dealt by id once; the terms of a document are then counted, weighted and scaled where it lies.
+    Only an idf table too large to broadcast makes the counted terms move to it and back.
     """
-    counts = bow_long(df, id_column, text, vocab)
-    fitted = counts if train is None else bow_long(train, id_column, text, vocab)
-    n = (df if train is None else train).agg(F.count("*")).scalar()
-    joined = counts.join(idf_long(fitted, n), "term", "left" if vocab is not None else "inner")
-    unseen = F.log(1 + n.cast("double")) + 1
-    weighted = joined.withColumn("w", F.col("tf") * F.coalesce("idf", unseen))
-    # one document per window group: its distinct terms came from a single row
+    fitted = df if train is None else train
+    n = fitted.agg(F.count("*")).scalar()
+    idf = idf_long(fitted.select(F.explode(F.array_distinct(word_tokens(text))).alias("term")), n)
+    if vocab is not None:
+        unseen = F.log(1 + n.cast("double")) + 1
+        known = vocab.select("term").distinct().join(idf, "term", "left")
+        idf = known.select("term", F.coalesce("idf", unseen).alias("idf"))
+    idf = _sized(idf)
+    tokens = df.select(id_column, text).repartition(id_column).select(id_column, F.explode(word_tokens(text)).alias("term"))
+    counts = tokens.groupBy(id_column, "term").agg(F.count("*").alias("tf"))
+    weighted = counts.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # one document per window group: its distinct terms came from its rows
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(id_column)))
     return weighted.select(id_column, "term", (F.col("w") / length).alias("weight"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from foretell.functions.scalar import col, without_punctuation_and_digits
-from foretell.functions.stemming import stem_words
+from foretell.functions.stemming import stem_column
 
 # fixed values: the English stopword list
 STOPWORDS = tuple(
@@ -70,8 +70,8 @@ def clean_text(
     text: Column | str, stopwords: Iterable[str] = STOPWORDS, stem: bool = True
 ) -> Column:
     """Cleaned words joined by one blank; a missing text stays missing."""
-    words = F.array_join(clean_tokens(text, stopwords), " ")
-    return stem_words(words) if stem else words
+    words = clean_tokens(text, stopwords)
+    return F.array_join(F.transform(words, stem_column) if stem else words, " ")
 
 
 def keyword_flag(text: Column | str, pattern: str) -> Column:

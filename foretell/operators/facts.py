@@ -168,18 +168,18 @@ def final_status(
 def final_text(texts: DataFrame, type_id: int = 1) -> DataFrame:
     """Newest document of each bill among one document type; ties go to the higher id.
 
-    The document is picked on narrow columns (one aggregation, no text), then its row is kept by a semi join.
+    The document is picked on narrow columns: only the best row of a bill leaves a partition. Its text is then
+    kept by a semi join; of rows that repeat it, one stays.
     """
     typed = texts.where(F.col("type_id") == type_id)
-    order = F.struct(F.col("doc_date").isNull(), "doc_date", "doc_id")
-    newest = typed.groupBy("bill_id").agg(F.max(order).alias("o")).select(
-        F.col("bill_id").alias("__bill"), F.col("o.doc_id").alias("__doc"), F.col("o.doc_date").alias("__date")
-    )
+    newest_first = W.partitionBy("bill_id").orderBy(F.col("doc_date").desc_nulls_first(), F.col("doc_id").desc_nulls_last())
+    newest = typed.select("bill_id", "doc_id", "doc_date").withColumn("__n", F.row_number().over(newest_first)).where("__n = 1")
+    newest = newest.select(F.col("bill_id").alias("__bill"), F.col("doc_id").alias("__doc"), F.col("doc_date").alias("__date"))
     same = (
         F.col("bill_id").eqNullSafe(F.col("__bill")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
         & F.col("doc_date").eqNullSafe(F.col("__date"))
     )
-    return typed.join(newest, same, "left_semi")
+    return typed.join(newest, same, "left_semi").dropDuplicates(["bill_id"])
 
 
 def final_fact(

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foretell.session import cut_lineage
 
+#: Rows below which ranges are not worth a task of their own, and above which a task should not have more.
+LEAST_RANGE_ROWS, MOST_RANGE_ROWS = 1 << 12, 1 << 24
 _ROW_BITS = 33  # monotonically_increasing_id: range number above, row offset below
 _MID, _PID, _POS = "__mid", "__pid", "__pos"
 
@@ -25,10 +27,21 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sorted_ranges(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """``df`` written in globally sorted ranges, with range number and offset columns."""
+def range_count(spark: SparkSession, rows: int) -> int:
+    """Ranges for so many rows: as many as the session shuffles into, unless these would be tiny or huge."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // MOST_RANGE_ROWS), min(usual, -(-rows // LEAST_RANGE_ROWS)))
+
+
+def sorted_ranges(df: DataFrame, order: Sequence[Column | str], rows: int | None = None) -> DataFrame:
+    """``df`` written in globally sorted ranges, with range number and offset columns.
+
+    The number of ranges follows from the number of rows (counted here unless given), not from bytes: the
+    work behind a range is per row, and adaptive execution leaves an explicit number alone, so small tables are spread too.
+    """
     keys = [_column(c) for c in order]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    count = range_count(df.sparkSession, df.count() if rows is None else rows)
+    ranged = df.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
     placed = cut_lineage(ranged.withColumn(_MID, F.monotonically_increasing_id()))
     return placed.select(
         *df.columns,
@@ -120,7 +133,8 @@ def exact_quantiles(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
     )
     tall = df.select(F.explode(pairs).alias("e")).select("e.*").where("x is not null")
-    counted = tall.groupBy("column", "x").agg(F.count("*").alias("n"))
+    # written, as it is counted, sampled and sorted
+    counted = cut_lineage(tall.groupBy("column", "x").agg(F.count("*").alias("n")))
     placed = sorted_ranges(counted, ["column", "x"])
 
     per_range = placed.groupBy("column", _PID).agg(F.sum("n").alias("m"))

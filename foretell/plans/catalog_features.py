@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import partial
+
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from foretell.features import columns as C
 from foretell.features import text as TX
-from foretell.features.fit import block_features, fit_features, one_hot_frame, with_history
+from foretell.features.fit import block_features, fit_features, one_hot_frame, vector_entries, with_history
 from foretell.features.spec import FEATURE_SETS, FeatureSpec
 from foretell.functions.scalar import id_list
 from foretell.operators.history import delayed_history, sponsors_from_list
@@ -277,12 +280,12 @@ MIXED_ROUNDED = ("time_since_session_start", "time_till_session_end", "sponsor_p
 _FACTS: dict[tuple, str] = {}
 
 
-def blocked_facts(t):
-    """The stand-in fact with block columns, written once per session and data folder."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+def blocked_facts(t, relation="facts"):
+    """A stand-in fact with block columns, written once per session and data folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, relation)
     if key not in _FACTS:
-        path = scratch_path(t.spark, "facts")
-        with_block_columns(t.facts, "introduced_date", *YEARS, update_freq=1, type_val=1).write.parquet(path)
+        path = scratch_path(t.spark, relation)
+        with_block_columns(getattr(t, relation), "introduced_date", *YEARS, update_freq=1, type_val=1).write.parquet(path)
         _FACTS[key] = path
     return t.spark.read.parquet(_FACTS[key])
 
@@ -329,6 +332,76 @@ def e16(t):
     )
 
 
+DAY_COLUMNS = {"introduced_date": ("time_since_session_start", "since"), "introduced_date::2": ("time_till_session_end", "till")}
+HISTORY_COLUMNS = {"sponsors": "sponsor_pass_rate", "sponsors::2": "sponsor_total_bills"}
+NAMED_SETS = [n for n in FEATURE_SETS if n not in ("dummy", "baseline")]
+
+
+def named_set_sql(name: str) -> str:
+    """Block 2 of a named set on the described fact: every scalar feature by name, and sum and norm of each text's part.
+
+    Statistics and document frequencies are those of the training rows, history that of a row's own slice.
+    """
+    shown, fits = [], []
+    for key, ops in FEATURE_SETS[name].ops.items():
+        column = FeatureSpec.column_of(key)
+        if "tfidf" in ops:
+            shown += [f"round(coalesce({column}_w.total, 0), 6) AS {column}_total", f"round(coalesce({column}_w.norm, 0), 6) AS {column}_norm"]
+        elif "one_hot" in ops:
+            values = range(ops["one_hot"]) if isinstance(ops["one_hot"], int) else ops["one_hot"]
+            shown.append(hot_sql(column, values))
+        elif key in DAY_COLUMNS:
+            feature, days = DAY_COLUMNS[key]
+            fits += [f"median({days}) AS {days}_fill" if "impute_median" in ops else f"avg({days}) AS {days}_fill", f"min({days}) AS {days}_low", f"max({days}) AS {days}_high"]
+            value = f"coalesce({days}, {days}_fill)::DOUBLE"
+            if "normalize" in ops:
+                value = f"CASE WHEN {days}_low < -10 OR {days}_high > 10 THEN ({value} - {days}_low) / ({days}_high - {days}_low) ELSE {value} END"
+            shown.append(f"round({value}, 6) AS {feature}")
+        else:
+            column = HISTORY_COLUMNS.get(key, column)
+            fits.append(f"avg({column}) AS {column}_fill")
+            shown.append(f"round(coalesce({column}::DOUBLE, {column}_fill, 0), 6) AS {column}")
+    views = {
+        "slice_rows": f"SELECT * FROM (SELECT *, {role_sql(1, 1)} AS role FROM described_facts) WHERE role IN (1, 3)",
+        "slice_hist": _SLICE.replace("dummy_rows", "slice_rows").replace("AS pass_rate FROM", "AS sponsor_pass_rate, coalesce(sum(total), 0)::DOUBLE AS sponsor_total_bills FROM"),
+        "set_rows": "SELECT *, introduced_date - session_start_date AS since, session_end_date - introduced_date AS till FROM slice_rows JOIN slice_hist USING (bill_id)",
+        "set_fit": f"SELECT {', '.join([*fits, 'count(*) AS one'])} FROM set_rows WHERE role = 1",
+    }
+    joins = ""
+    for column in FEATURE_SETS[name].text_columns():
+        views |= {
+            f"{column}_t": f"SELECT bill_id, role, term, count(*) AS tf FROM (SELECT bill_id, role, {TOKENS.format(c=column)} AS term FROM set_rows) GROUP BY 1, 2, 3",
+            f"{column}_idf": f"SELECT term, ln((1 + (SELECT count(*) FROM set_rows WHERE role = 1))::DOUBLE / (1 + count(*))) + 1 AS idf FROM {column}_t WHERE role = 1 GROUP BY 1",
+            f"{column}_w": f"SELECT bill_id, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS total, 1.0::DOUBLE AS norm FROM {column}_t JOIN {column}_idf USING (term) GROUP BY 1",
+        }
+        joins += f" LEFT JOIN {column}_w ON {column}_w.bill_id = r.bill_id"
+    return sql_with(
+        "described_facts sponsors",
+        "SELECT r.bill_id, CASE role WHEN 1 THEN 'train' ELSE 'validation' END AS role, CASE WHEN status_new = 'Passed' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, "
+        f"{', '.join(shown)} FROM set_rows r CROSS JOIN set_fit{joins}", **views,
+    )
+
+
+def named_set(t, name: str):
+    """Vectors of block 2 read back by the fitted layout: scalar features by name, sum and norm of each text's part."""
+    fitted, train, valid = block_features(blocked_facts(t, "described_facts"), FEATURE_SETS[name], 2)
+    rows = train.withColumn("role", F.lit("train")).unionByName(valid.withColumn("role", F.lit("validation")))
+    names, layout = fitted.feature_names(), fitted.layout()
+    texts = {key: places for key, places in layout.items() if key in fitted.text_models}
+    scalar = [p for key, places in layout.items() if key not in texts for p in places]
+    rows = rows.withColumn("entries", vector_entries("features"))
+    if scalar:
+        rows = VectorSlicer(inputCol="features", outputCol="scalars", indices=scalar).transform(rows)
+        rows = rows.withColumn("scalars", vector_to_array("scalars"))
+    shown = [r6(F.col("scalars")[k]).alias(names[p]) for k, p in enumerate(scalar)]
+    for key, places in texts.items():
+        part = F.filter("entries", lambda e: e["at"].between(places.start, places.stop - 1))
+        total = F.aggregate(part, F.lit(0.0), lambda a, e: a + e["value"])
+        norm = F.sqrt(F.aggregate(part, F.lit(0.0), lambda a, e: a + e["value"] * e["value"]))
+        shown += [r6(total).alias(f"{key}_total"), r6(norm).alias(f"{key}_norm")]
+    return rows.select("bill_id", "role", "label", *shown)
+
+
 @query("E17_named_feature_set")
 def e17(t):
     """The small named set on the stand-in fact, with history from the slice as written."""
@@ -407,3 +480,7 @@ def e17_small(t):
     party = F.when(x[0] == 1, 0).when(x[1] == 1, 1).when(x[2] == 1, 2)
     return rows.select(
         "bill_id", "role", "label", party.alias("party_id"), F.when(x[3] == 1, "H").when(x[4] == 1, "S").alias("introduced_body"), r6(x[5]).alias("pass_rate"))
+
+
+for _name in NAMED_SETS:
+    query(f"E17_{_name}", named_set_sql(_name))(partial(named_set, name=_name))

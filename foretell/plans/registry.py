@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
         def runner(spark: SparkSession, sf_dir: str) -> DataFrame:
             return build(Relations(spark, sf_dir))
 
-        runner.__name__, runner.__doc__ = name, build.__doc__
+        runner.__name__, runner.__doc__ = name, getattr(build, "func", build).__doc__
         QUERIES[name] = runner
         if sql is not None:
             ORACLES[name] = sql

@@ -11,13 +11,24 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretell.operators.facts import sponsor_list
+from foretell.operators.facts import final_text, sponsor_list
 from foretell.session import small_table
 
 # fixed values: status codes and names
 STATUS_NAMES = (
     (1, "Introduced"), (2, "Engrossed"), (3, "Enrolled"), (4, "Passed"), (5, "Vetoed"), (6, "Failed"),
 )
+# census figures as aggregates of the year's orders, the same in both engines
+CENSUS_OF = {
+    "population": "count(*)", "median_age": "avg(o_custkey % 90)", "median_income": "avg(o_totalprice)",
+} | {
+    name: f"avg(CASE WHEN {column} = '{value}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)"
+    for name, column, value in (
+        ("female_ratio", "o_orderpriority", "1-URGENT"), ("black_ratio", "o_orderpriority", "2-HIGH"),
+        ("asian_ratio", "o_orderpriority", "3-MEDIUM"), ("white_ratio", "o_orderpriority", "5-LOW"),
+        ("high_education", "o_orderstatus", "O"), ("unemployment", "o_orderstatus", "P"), ("poverty", "o_orderstatus", "F"),
+    )
+}
 TIEBREAK = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
@@ -162,6 +173,34 @@ class Relations:
             .drop("session_id")
         )
 
+    @cached_property
+    def chambers(self) -> DataFrame:
+        """Shares of parties 1 and 2 among the senate and house seats of a session; null where a chamber has none."""
+        seats = self.sponsors.join(self.bill_session, "bill_id").select("session_id", "sponsor_id", "party_id").distinct()
+        senate = F.col("sponsor_id") % 2 == 0
+        share = lambda party, seat: F.avg(F.when(seat, (F.col("party_id") == party).cast("double")))
+        return seats.groupBy("session_id").agg(
+            share(1, senate).alias("dem_senate_perc"), share(2, senate).alias("rep_senate_perc"),
+            share(1, ~senate).alias("dem_house_perc"), share(2, ~senate).alias("rep_house_perc"),
+        )
+
+    @cached_property
+    def census(self) -> DataFrame:
+        """Population figures, one row per year."""
+        return self.table("orders").groupBy(F.year("o_orderdate").alias("year")).agg(
+            *[F.expr(e).alias(n) for n, e in CENSUS_OF.items()]
+        )
+
+    @cached_property
+    def described_facts(self) -> DataFrame:
+        """The fact with every column a named feature set reads, for bills with a text of type 1."""
+        texts = final_text(self.texts).select("bill_id", "bill_description", F.col("doc").alias("bill_text"))
+        return (
+            self.facts.join(self.bill_session, "bill_id").join(self.chambers, "session_id")
+            .withColumn("year", F.year("introduced_date")).join(self.census, "year")
+            .join(texts, "bill_id").drop("session_id", "year")
+        )
+
     @cached_property
     def sponsor_status(self) -> DataFrame:
         """Sponsor rows with the outcome of their bill."""
@@ -256,6 +295,22 @@ standin_sql: dict[str, str] = {
                      string_agg(CAST(sponsor_id AS VARCHAR), ', ' ORDER BY sponsor_id) AS sponsors
               FROM sponsors GROUP BY bill_id) USING (bill_id)
         JOIN composition USING (bill_id) JOIN session_dates USING (session_id)""",
+    "chambers": """
+        SELECT session_id, avg(CASE WHEN party_id = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (sponsor_id % 2 = 0) AS dem_senate_perc,
+               avg(CASE WHEN party_id = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (sponsor_id % 2 = 0) AS rep_senate_perc,
+               avg(CASE WHEN party_id = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (sponsor_id % 2 <> 0) AS dem_house_perc,
+               avg(CASE WHEN party_id = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FILTER (sponsor_id % 2 <> 0) AS rep_house_perc
+        FROM (SELECT DISTINCT session_id, sponsor_id, party_id FROM sponsors JOIN bills USING (bill_id)) GROUP BY 1""",
+    "census": f"""
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {', '.join(f'{e} AS {n}' for n, e in CENSUS_OF.items())}
+        FROM orders GROUP BY 1""",
+    "described_facts": """
+        SELECT f.*, dem_senate_perc, rep_senate_perc, dem_house_perc, rep_house_perc, population, median_age, median_income,
+               female_ratio, black_ratio, asian_ratio, white_ratio, high_education, unemployment, poverty, bill_description, bill_text
+        FROM facts f JOIN (SELECT bill_id, session_id FROM bills) USING (bill_id) JOIN chambers USING (session_id)
+        JOIN census ON census.year = year(introduced_date)
+        JOIN (SELECT bill_id, arg_max(bill_description, doc_date) AS bill_description, arg_max(doc, doc_date) AS bill_text
+              FROM texts WHERE type_id = 1 GROUP BY 1) USING (bill_id)""",
     "scores": """
         SELECT o_orderkey AS id, o_totalprice AS score,
                CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, o_custkey AS session_id
@@ -275,6 +330,8 @@ _NEEDS = {
     "composition": ("sponsors",),
     "grouped_scores": ("scores",),
     "sponsor_status": ("sponsors", "outcomes"),
+    "chambers": ("sponsors", "bills"),
+    "described_facts": ("facts", "bills", "chambers", "census", "texts"),
     "facts": ("outcomes", "bills", "sponsors", "composition", "session_dates"),
 }
 

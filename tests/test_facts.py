@@ -61,7 +61,7 @@ def test_final_status_takes_lowest_sponsor_and_drops_unsponsored(spark, progress
 
 def test_detail_of_a_hot_bill(spark, monkeypatch):
     """One bill holds over a third of all rows; numbering is exact and newest first."""
-    monkeypatch.setattr(Q.ordinal_within, "__defaults__", ("ordinal", None, 500))
+    monkeypatch.setattr("foretell.operators.ordinal.LEAST_RANGE_ROWS", 500)
     rows = [(1, date(2010 + i % 9, 1 + i % 12, 1 + i % 28), 1, i) for i in range(2000)]
     rows += [(2 + i % 50, date(2011, 1, 1 + i % 28), 4, i) for i in range(1000)]
     progress = spark.createDataFrame(rows, "bill_id long, progress_date date, bill_status int, line int").repartition(9)
@@ -90,6 +90,8 @@ def test_final_text_prefers_missing_date_then_higher_id(spark):
     texts = spark.createDataFrame(rows, "bill_id long, doc_id long, type_id int, doc_date date")
     newest = Q.final_text(texts)
     assert {r.bill_id: r.doc_id for r in newest.collect()} == {1: 2, 2: 4}
+    again = texts.unionByName(texts)  # a document that is listed twice gives one row
+    assert sorted((r.bill_id, r.doc_id) for r in Q.final_text(again).collect()) == [(1, 2), (2, 4)]
     assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()
 
 

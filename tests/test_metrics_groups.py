@@ -34,7 +34,7 @@ def test_ranking_has_no_single_task_exchange(spark, four):
 
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_grouped_top_fraction_with_a_hot_group(spark, parts, monkeypatch):
-    monkeypatch.setattr(M.ordinal_within, "__defaults__", ("ordinal", None, 200))
+    monkeypatch.setattr("foretell.operators.ordinal.LEAST_RANGE_ROWS", 200)
     rng = random.Random(5)
     rows = [(i, float(rng.randint(0, 30)), rng.randint(0, 1), "hot" if i % 3 else f"g{i % 5}") for i in range(900)]
     df = spark.createDataFrame(rows, "id long, score double, y int, grp string").repartition(parts)

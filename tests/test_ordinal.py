@@ -48,6 +48,17 @@ def test_no_task_holds_a_whole_hot_group(spark):
     assert len(sizes) > 1 and max(sizes) < 20_000
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [O.range_count(spark, n) for n in (0, 1, 4096, 4097, 10**6)] == [1, 1, 1, min(2, usual), usual]
+    assert O.range_count(spark, 10**12) == -(-(10**12) // O.MOST_RANGE_ROWS)
+    df = spark.range(500)
+    assert O.sorted_ranges(df, ["id"]).select("__pid").distinct().count() == 1
+    monkeypatch.setattr(O, "LEAST_RANGE_ROWS", 100)
+    assert O.sorted_ranges(df, ["id"]).select("__pid").distinct().count() > 1
+    assert O.sorted_ranges(df, ["id"], rows=1).select("__pid").distinct().count() == 1
+
+
 def test_mini_batches(spark):
     df = spark.range(10)
     sizes = {r.batch_id: r["count"] for r in O.mini_batches(df, ["id"], 4).groupBy("batch_id").count().collect()}
