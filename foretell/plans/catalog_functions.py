@@ -57,6 +57,7 @@ from foretell.plans.catalog_relational import (
     role_sql,
 )
 from foretell.plans.registry import query, r6, rounded
+from foretell.plans.stem_sql import stem_views, stemmed_texts_sql, with_views
 from foretell.plans.standins import sql_with
 from foretell.session import scratch_path
 from foretell.sources import artifacts, files, tables
@@ -559,13 +560,13 @@ def t1_plain(t):
     return t.table("documents").select("doc_id", F.md5(clean_text("text", stem=False)).alias("clean_md5"))
 
 
-@query("T1_clean_text")
+@query("T1_clean_text", stemmed_texts_sql(CLEAN_SQL, "clean"))
 def t1(t):
-    """With stemming, which SQL cannot say."""
+    """With stemming."""
     return t.table("documents").select("doc_id", clean_text("text").alias("clean"))
 
 
-@query("T2_clean_text_column")
+@query("T2_clean_text_column", stemmed_texts_sql(CLEAN_SQL, "bill_text"))
 def t2(t):
     """Cleaning as an operation of the column preparation."""
     return preprocess(t.table("documents"), {"doc_id": [], "text": ["clean_text_data", "rename::bill_text"]})
@@ -909,7 +910,8 @@ def z2(t):
     return by_name["bill_date_difference"](t.progress)
 
 
-@query("Z4_stems_of_words")
+@query("Z4_stems_of_words", with_views(
+    {"words": f"SELECT DISTINCT {TOKENS.format(c='text')} AS word FROM documents", **stem_views("words")}, "SELECT word, stem FROM stems"))
 def z4(t):
     """Every distinct word of the documents with its stem."""
     words = t.table("documents").select(F.explode(word_tokens("text")).alias("word")).distinct()
