@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_TREE_DEPTH = 30  # Spark's limit
+#: Rows of a network's block. The loss is averaged by block, so rows of a smaller, last block weigh more; with 1, all weigh the same.
+BLOCK_ROWS = 1
 WEIGHT = "class_weight"
 MODEL_TYPES = (
     "Baseline", "DTClassifier", "RFClassifier", "SVMClassifier", "LogRegClassifier",
@@ -85,7 +87,7 @@ def effective_parameters(
             weight = {"class_weight": w} if (w := limit("class_weight", params["class_weight"], None)) else {}
         out = {
             "num_hidden_nodes_in_layers": list(params.get("num_hidden_nodes_in_layers") or [50, 20]),
-            "activation": activation, "epochs": params.get("epochs", 100),
+            "activation": activation, "epochs": params.get("epochs", 100), "block_size": params.get("block_size", BLOCK_ROWS),
         }
     elif model_type == "Baseline":
         out = {}
@@ -125,7 +127,8 @@ def build_classifier(
         )
     elif model_type != "Baseline":
         estimator = MultilayerPerceptronClassifier(
-            layers=[n_features, *used["num_hidden_nodes_in_layers"], n_classes], maxIter=used["epochs"], seed=seed
+            layers=[n_features, *used["num_hidden_nodes_in_layers"], n_classes], maxIter=used["epochs"], seed=seed,
+            blockSize=used["block_size"],
         )
     else:
         raise ValueError("the baseline is fitted from sponsor rows")

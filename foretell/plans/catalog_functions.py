@@ -42,13 +42,18 @@ from foretell.plans.catalog_relational import (
     BOX,
     CORR,
     DETAIL,
+    FACT,
+    FACT_TABLES,
+    FINAL_TEXT,
     LANG_WORDS,
+    LISTS,
     MISSING,
     DOC_COLUMNS,
     NEWEST,
     NUMBERS,
     SETS,
     STATE,
+    STATUS_VIEWS,
     STOP_SQL,
     TOP,
     YEARS,
@@ -58,7 +63,7 @@ from foretell.plans.catalog_relational import (
 )
 from foretell.plans.registry import query, r6, rounded
 from foretell.plans.stem_sql import stem_views, stemmed_texts_sql, with_views
-from foretell.plans.standins import sql_with
+from foretell.plans.standins import TIEBREAK, sql_with
 from foretell.session import scratch_path
 from foretell.sources import artifacts, files, tables
 
@@ -910,6 +915,27 @@ def z2(t):
     return by_name["bill_date_difference"](t.progress)
 
 
+_YEARS_OF_FACT = "SELECT state_id, bill_id FROM bills JOIN sessions USING (session_id) WHERE year(introduced_date) BETWEEN 1996 AND 1999"
+
+
+@query("Z2_run_takes_its_queries", sql_with(
+    FACT_TABLES, FACT.format(text="md5(doc) AS doc_md5", source="final_text"),
+    **STATUS_VIEWS | {"lists": LISTS, "final_text": FINAL_TEXT, "bill_state": _YEARS_OF_FACT}))
+def z2_run(t):
+    """The facts that a configuration asks for by the names of three queries, each written to its table."""
+    from foretell.plans.run import QueryStep, RunSettings, run_queries
+
+    names = ("map_bill_to_state_query", "bill_date_difference", "bill_final_query")
+    schema = new_schema(t.spark)
+    settings = RunSettings(
+        queries=tuple(QueryStep(n, schema, f"t{k}") for k, n in enumerate(names)),
+        query_params={"start_year": 1996, "end_year": 1999}, test_params={"start_year": 2000, "end_year": 2000},
+    )
+    relations = {n: getattr(t, n) for n in ("bills", "sessions", "states", "progress", "status_catalog", "sponsors", "texts", "session_dates", "acs", "composition")}
+    facts = run_queries(t.spark, relations, settings, TIEBREAK)
+    return facts.withColumn("doc_md5", F.md5("doc")).drop("doc")
+
+
 @query("Z4_stems_of_words", with_views(
     {"words": f"SELECT DISTINCT {TOKENS.format(c='text')} AS word FROM documents", **stem_views("words")}, "SELECT word, stem FROM stems"))
 def z4(t):

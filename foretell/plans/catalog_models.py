@@ -306,18 +306,16 @@ def k5_stump(t):
     return rows.select("bill_id", (F.col("score") > 0).alias("passes"), "y")
 
 
-@query("K6_net_on_chamber", stump_sql("true AS near_rate, y"))
+@query("K6_net_on_chamber", stump_sql("round(rate, 2) AS score, y"))
 def k6_stump(t):
-    """A small network comes near the chambers' pass rates (Spark weighs rows of a last, smaller block more)."""
-    _, train, _ = stump_features(t)
-    rates = train.groupBy("features").agg(F.avg("label").alias("rate"))
+    """A small network learns the chambers' pass rates: every row weighs the same in its loss."""
     rows = stump_scores(t, "MultiLabelNNClassifier", {"num_hidden_nodes_in_layers": [3], "activation": "sigmoid", "epochs": 300})
-    _, _, valid = stump_features(t)
-    expected = valid.select("bill_id", "features").join(rates, "features").select("bill_id", "rate")
-    return rows.join(expected, "bill_id").select("bill_id", (F.abs(F.col("score") - F.col("rate")) < 0.05).alias("near_rate"), "y")
+    return rows.withColumn("score", F.round("score", 2))
 
 
-@query("M6_importance_of_chamber", "SELECT 0 AS feature_index, 'introduced_body_H' AS feature, 1.0::DOUBLE AS importance")
+@query("M6_importance_of_chamber", sql_with(
+    "facts", "SELECT 0 AS feature_index, 'introduced_body_H' AS feature, CASE WHEN max(share) > min(share) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance FROM stump_leaves",
+    **stump_views(((2, 1),))))
 def m6_stump(t):
     """All of a one-split tree's importance is its feature's; the name comes from the specification."""
     fitted, train, _ = stump_features(t)
@@ -325,10 +323,53 @@ def m6_stump(t):
     return feature_importances(train, fitted.feature_names(), model.featureImportances.toArray(), 5)
 
 
-@query("R8_top_of_ranked_weights", "SELECT * FROM (VALUES (2, 'c', 0.5::DOUBLE), (0, 'a', 0.25::DOUBLE)) AS t(feature_index, feature, importance) WHERE (SELECT count(*) FROM nation) > 0")
+TWO_LEVELS = FeatureSpec({"introduced_body": {"impute_fixed": "H", "one_hot": ["H"]}, "party_id": {"impute_fixed": 0, "one_hot": 3}})
+_TWO_LEVEL_NAMES = ("introduced_body_H", "party_id_0", "party_id_1", "party_id_2")
+_GINI = "(1 - ({p} / ({p} + {q})) ** 2 - ({q} / ({p} + {q})) ** 2)"
+
+
+def _best_split(stats: str, keys: str = "") -> str:
+    """Best feature of each node by weighted impurity decrease; ``stats`` has weights p, q by node, feature and value."""
+    by = f"{keys}, feature" if keys else "feature"
+    total = _GINI.format(p="(p0 + p1)", q="(q0 + q1)")
+    parts = " - ".join(f"(p{v} + q{v}) / (p0 + q0 + p1 + q1) * {_GINI.format(p=f'p{v}', q=f'q{v}')}" for v in (0, 1))
+    both = f"SELECT {by}, " + ", ".join(f"sum({c}) FILTER (v = {v}) AS {c}{v}" for c in "pq" for v in (0, 1)) + f" FROM {stats} GROUP BY {by} HAVING count(*) = 2"
+    order = f"PARTITION BY {keys} " if keys else ""
+    return (
+        f"SELECT *, p0 + q0 + p1 + q1 AS n FROM (SELECT *, row_number() OVER ({order}ORDER BY gain DESC, feature) AS place FROM "
+        f"(SELECT *, {total} - {parts} AS gain FROM ({both}))) WHERE place = 1"
+    )
+
+
+TWO_LEVEL_VIEWS = {
+    "tree_rows": f"""SELECT bill_id, y, CASE y WHEN 1 THEN count(*) OVER () / (2 * sum(y) OVER ())::DOUBLE
+        ELSE count(*) OVER () / (2 * (count(*) OVER () - sum(y) OVER ()))::DOUBLE END AS w, introduced_body, party_id
+        FROM (SELECT *, CASE WHEN status_new = 'Passed' THEN 1 ELSE 0 END AS y, {role_sql(1, 1)} AS role FROM facts) WHERE role = 1""",
+    "tree_long": " UNION ALL ".join(
+        f"SELECT bill_id, y, w, {k} AS feature, CASE WHEN {test} THEN 1 ELSE 0 END AS v FROM tree_rows"
+        for k, test in enumerate(("introduced_body = 'H'", "party_id = 0", "party_id = 1", "party_id = 2"))
+    ),
+    "root_stats": "SELECT feature, v, sum(w * y) AS p, sum(w * (1 - y)) AS q FROM tree_long GROUP BY 1, 2",
+    "root": _best_split("root_stats"),
+    "tree_nodes": "SELECT bill_id, v AS node FROM tree_long WHERE feature = (SELECT feature FROM root)",
+    "child_stats": "SELECT node, feature, v, sum(w * y) AS p, sum(w * (1 - y)) AS q FROM tree_long JOIN tree_nodes USING (bill_id) GROUP BY 1, 2, 3",
+    # leaves of one prediction are merged again
+    "kept": f"SELECT * FROM ({_best_split('child_stats', 'node')}) WHERE gain > 0 AND (p0 > q0) <> (p1 > q1)",
+    "parts": """SELECT feature, gain * n AS part FROM kept UNION ALL SELECT feature, gain * n FROM root
+        WHERE gain > 0 AND ((p0 > q0) <> (p1 > q1) OR (SELECT count(*) FROM kept) > 0)""",
+}
+
+
+@query("R8_top_of_ranked_weights", sql_with(
+    "facts", "SELECT feature AS feature_index, name AS feature, round(coalesce(s, 0) / nullif(sum(s) OVER (), 0), 6) AS importance FROM "
+    "(VALUES " + ", ".join(f"({k}, '{n}')" for k, n in enumerate(_TWO_LEVEL_NAMES)) + ") AS names(feature, name) "
+    "LEFT JOIN (SELECT feature, sum(part) AS s FROM parts GROUP BY 1) USING (feature) ORDER BY importance DESC, feature_index LIMIT 2",
+    **TWO_LEVEL_VIEWS))
 def r8_ranked(t):
-    """The two heaviest of four weights, the lower index first among equal ones."""
-    return feature_importances(t.table("nation"), ["a", "b", "c", "d"], [0.25, 0.25, 0.5, 0.0], 2)
+    """The two heaviest of four two-valued features of a tree of two levels."""
+    fitted, train, _ = block_features(blocked_facts(t), TWO_LEVELS, 2)
+    model, _ = fit_classifier("DTClassifier", {"max_depth": 2, "class_weight": "balanced"}, train, len(fitted.feature_names()))
+    return rounded(feature_importances(train, fitted.feature_names(), model.featureImportances.toArray(), 2), "importance")
 
 
 def stump_settings():
@@ -392,7 +433,9 @@ def g1_stump(t):
     return rounded(rows, "value")
 
 
-@query("G2_next_index_per_family", "SELECT * FROM (VALUES ('DTClassifier', 3), ('LogRegClassifier', 2), ('Baseline', 1)) AS t(model_type, next_idx) WHERE (SELECT count(*) FROM orders) > 0")
+@query("G2_next_index_per_family", grid_sql(
+    "SELECT family AS model_type, CAST(1 + count(DISTINCT model_idx) AS INTEGER) AS next_idx FROM (VALUES ('DTClassifier'), ('LogRegClassifier'), ('Baseline')) AS f(family) "
+    f"LEFT JOIN (SELECT DISTINCT model_type, model_idx FROM stump_overall, {MODELS} WHERE value IS NOT NULL) ON model_type = family GROUP BY 1"))
 def g2_stump(t):
     stump_grid(t)
     path = f"{_STUMP_GRIDS[t.spark.sparkContext.applicationId, t.sf_dir]}/results"
@@ -430,3 +473,35 @@ def g4_stump(t):
 def g5_stump(t):
     rows = GR.score_versus_disparity(stump_grid(t).withColumn("value", F.round("value", 6)))
     return rows.select("feature_type", "model_type", "model_idx", "group", *[F.round(f"{m}_disparity", 4).alias(f"{m}_disparity") for m in ("FDR", "TPR")], "score")
+
+
+def _rate_baseline_block(block: int, skipped: int) -> str:
+    rows = f"(SELECT *, {role_sql(skipped, 1)} AS role FROM sponsor_status)"
+    scores = BASELINE_SCORES.replace("blocked", f"{rows} b").replace("s_rate", f"s_rate_{block}").replace("p_rate", f"p_rate_{block}")
+    return (
+        f"SELECT {block} AS block_id, y, row_number() OVER (ORDER BY score DESC, bill_id) AS place, count(*) OVER () AS n FROM "
+        f"({scores.replace('round(', '(').replace(', 6) AS score', ') AS score')} WHERE role = 3 GROUP BY bill_id) "
+        "JOIN (SELECT bill_id, max(CASE WHEN status_new = 'Passed' THEN 1 ELSE 0 END) AS y FROM sponsor_status GROUP BY 1) USING (bill_id)"
+    )
+
+
+_SERIES_VIEWS = {
+    f"{c}_rate_{b}": f"SELECT {key} , {RATE_OF} AS r FROM (SELECT *, {role_sql(skip, 1)} AS role FROM sponsor_status) WHERE role = 1 GROUP BY 1"
+    for b, skip in STUMP_BLOCKS for c, key in (("s", "sponsor_id"), ("p", "party_id"))
+} | {"ranked_bills": " UNION ALL ".join(_rate_baseline_block(*b) for b in STUMP_BLOCKS)}
+
+
+@query("G4_rate_baseline_series", sql_with(
+    "sponsor_status",
+    "UNPIVOT (SELECT block_id, round(avg(y), 6) AS base_rate, round(least(sum(y)::DOUBLE / floor(count(*) * 0.3::DOUBLE), 1), 6) AS best_precision, "
+    "round(sum(y) FILTER (place <= floor(n * 0.3::DOUBLE))::DOUBLE / floor(max(n) * 0.3::DOUBLE), 6) AS rate_baseline "
+    "FROM ranked_bills GROUP BY 1) ON base_rate, best_precision, rate_baseline INTO NAME series VALUE value", **_SERIES_VIEWS))
+def g4_baseline(t):
+    """A grid with the rate baseline, whose precision is the third series beside base rate and best precision."""
+    path, settings = scratch_path(t.spark, "baseline-grid"), stump_settings()
+    split = dict(update_freq=settings.update_freq, type_val=settings.split_type)
+    sponsor_rows = with_block_columns(t.sponsor_status, "introduced_date", *YEARS, **split)
+    results = GR.run_grid(t.facts, settings, "Baseline", [{}], path, sponsor_rows=sponsor_rows)
+    rows = long_blocks(with_block_columns(t.facts, "introduced_date", *YEARS, **split))
+    valid = rows.where(F.col("role") == VALIDATION).withColumn("y", (F.col("status_new") == "Passed").cast("int"))
+    return rounded(GR.reference_series(valid, results=results), "value")

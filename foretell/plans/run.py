@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretell.features.columns import LABEL_CODES
@@ -33,6 +33,7 @@ from foretell.operators.metrics import (
 from foretell.operators.preprocess import preprocess
 from foretell.operators.splits import TRAIN, VALIDATION, block_count, block_slice, with_block_columns
 from foretell.sources.artifacts import vocabulary_at
+from foretell.sources.tables import table_from_query
 
 # relational queries that a configuration can name
 QUERIES = {
@@ -46,6 +47,44 @@ QUERIES = {
 }
 
 
+def _labelled(relations: Mapping[str, DataFrame], params: Mapping[str, Any], tiebreak: Sequence[str]) -> DataFrame:
+    r = relations
+    return Q.final_status(r["progress"], r["bill_state"], r["status_catalog"], r["states"], r["sponsors"], params.get("state_id"), tiebreak)
+
+
+def _fact(texts: str):
+    def build(r, params, tiebreak):
+        chosen = Q.final_text(r["texts"]) if texts == "texts" else r[texts]
+        return Q.final_fact(
+            _labelled(r, params, tiebreak), r["bills"], chosen, r["session_dates"], Q.sponsor_list(r["sponsors"]), r["acs"], r["composition"]
+        )
+
+    return build
+
+
+# how a named query is built from relations by name, its parameters and the tie-break of progress rows
+BUILDERS = {
+    "map_bill_to_state_query": lambda r, p, _: Q.bills_by_state(r["bills"], r["sessions"], int(p["start_year"]), int(p["end_year"])),
+    "bill_date_difference": lambda r, p, _: Q.date_difference(r["progress"]),
+    "rank_by_bill_count_query": lambda r, p, _: Q.rank_states(r["bills"], r["sessions"], r["states"], int(p["start_year"]), int(p["end_year"])),
+    "bill_detail_query": lambda r, p, tie: Q.bill_detail(r["progress"], r["bill_state"], r["status_catalog"], r["states"], p.get("state_id"), tie),
+    "bill_final_query": _fact("texts"),
+    "bill_final_query_processed_text": _fact("cleaned_texts"),
+    "bill_sponsor": lambda r, p, tie: Q.sponsor_outcomes(_labelled(r, p, tie), r["bills"], r["texts"], r["session_dates"], r["sponsors"]),
+}
+# the relation that later queries find a query's table under
+PRODUCED = {"map_bill_to_state_query": "bill_state", "bill_date_difference": "date_diff"}
+
+
+@dataclass(frozen=True)
+class QueryStep:
+    """A query of the first stage and the table it is written to."""
+
+    name: str
+    schema: str
+    table: str
+
+
 @dataclass(frozen=True)
 class RunSettings:
     model_type: str = "RFClassifier"
@@ -69,6 +108,9 @@ class RunSettings:
     preparation: Mapping[str, Sequence[str]] | None = None
     date_column: str = "introduced_date"
     feature_sets: Mapping[str, FeatureSpec] = field(default_factory=lambda: dict(FEATURE_SETS))
+    queries: Sequence[QueryStep] = ()
+    query_params: Mapping[str, Any] = field(default_factory=dict)  # of training
+    test_params: Mapping[str, Any] = field(default_factory=dict)  # of prediction
 
     @classmethod
     def from_config(cls, config: Mapping[str, Any]) -> RunSettings:
@@ -76,6 +118,10 @@ class RunSettings:
         split, train = config["split"], config["query"]["train"]
         evaluate = config["evaluate_params"]
         bias = evaluate["bias_analysis"]
+        stage = [config["query"].get(k, []) for k in ("name", "schema_name", "table_name")]
+        stage = [[v] if isinstance(v, str) else v for v in stage]
+        if len({len(v) for v in stage}) > 1:
+            raise ValueError(f"query: {len(stage[0])} names, {len(stage[1])} schemas and {len(stage[2])} tables do not match")
         return cls(
             model_type=config["model_type"],
             model_params=config["model_info"].get(config["model_type"], {}),
@@ -97,6 +143,9 @@ class RunSettings:
             preparation=config["transform"]["ops"],
             date_column=config["transform"].get("year_col", "introduced_date"),
             feature_sets={n: FeatureSpec.from_config(i) for n, i in config["feature_info"].items()},
+            queries=tuple(QueryStep(*step) for step in zip(*stage)),
+            query_params=train,
+            test_params=config["query"].get("test", {}),
         )
 
     @property
@@ -104,6 +153,34 @@ class RunSettings:
         return self.feature_sets[self.feature_type]
 
 
+def run_queries(
+    spark: SparkSession, relations: Mapping[str, DataFrame], settings: RunSettings, tiebreak: Sequence[str] = (), predict: bool = False,
+) -> DataFrame:
+    """Run the configured queries in order, each written to its table; the last table holds the facts.
+
+    A query finds the tables of earlier ones among its relations (``PRODUCED``). ``predict`` takes the parameters of
+    the test years. Without queries, or with an unknown one, nothing is written.
+    """
+    unknown = [q.name for q in settings.queries if q.name not in BUILDERS]
+    if unknown or not settings.queries:
+        raise ValueError(f"queries {unknown}, choose from {sorted(BUILDERS)}")
+    params = settings.test_params if predict else settings.query_params
+    found, table = dict(relations), None
+    for step in settings.queries:
+        table = table_from_query(spark, BUILDERS[step.name](found, params, tiebreak), step.schema, step.table)
+        found[PRODUCED.get(step.name, step.name)] = table
+    return table
+
+
+def run_configured(
+    spark: SparkSession, relations: Mapping[str, DataFrame], settings: RunSettings, model_path: str, tiebreak: Sequence[str] = (),
+    members: DataFrame | None = None, sponsor_rows: DataFrame | None = None, predict: bool = False,
+) -> DataFrame:
+    """``run`` on the facts that the configured queries make; with ``predict``, stored models score the test years."""
+    facts = run_queries(spark, relations, settings, tiebreak, predict)
+    return run(facts, settings, model_path, members, sponsor_rows, train_models=not predict)
+
+
 def prepare_facts(facts: DataFrame, settings: RunSettings) -> DataFrame:
     """Preparation and block columns in one projection."""
     ready = preprocess(facts, settings.preparation) if settings.preparation else facts
