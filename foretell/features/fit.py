@@ -8,16 +8,16 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml.feature import Interaction, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretell.features import columns as C
 from foretell.features.spec import HISTORY_OPS, TEXT_OPS, FeatureSpec
 from foretell.features.text import VectorVocabulary, fit_text_op, vocabulary
 from foretell.operators.history import delayed_history, sponsors_from_list
-from foretell.operators.ordinal import exact_quantiles
+from foretell.operators.ordinal import exact_quantiles, global_ordinal
 from foretell.operators.splits import TRAIN, VALIDATION, block_slice
-from foretell.session import cut_lineage
+from foretell.session import cut_lineage, scratch_path
 from foretell.sources.tables import qualified
 
 MAX_CATEGORIES = 10_000
@@ -28,7 +28,7 @@ _DAYS = {
 _IMPUTED = ("impute_mean", "impute_median")
 COLUMN_OPS = (
     *_DAYS, *HISTORY_OPS, *TEXT_OPS, *_IMPUTED, "impute_fixed", "mark_blanks", "one_hot", "normalize",
-    "hash_column",
+    "one_hot_table", "hash_column",
 )
 
 
@@ -77,7 +77,7 @@ def _categories(df: DataFrame, expr: Column, key: str) -> list:
     if len(rows) > MAX_CATEGORIES:
         raise ValueError(
             f"{key} has over {MAX_CATEGORIES} categories, too many for one column each: "
-            "use one_hot_long or hash_column"
+            "use one_hot_table, one_hot_long or hash_column"
         )
     return [r.v for r in rows]
 
@@ -88,6 +88,14 @@ def _table_categories(df: DataFrame, params) -> list:
     return _categories(source, F.col(column), f"{schema}.{table}.{column}")
 
 
+def _category_table(df: DataFrame, expr: Column) -> dict[str, Any]:
+    """The distinct values as a written table ``(category, idx)``, alphabetical, for any number of them."""
+    found = df.select(expr.alias("category")).where("category is not null").distinct()
+    path = scratch_path(df.sparkSession, "categories")
+    global_ordinal(cut_lineage(found), ["category"], "idx").withColumn("idx", F.col("idx") - 1).write.parquet(path)
+    return {"path": path, "n_features": df.sparkSession.read.parquet(path).count()}
+
+
 def _from_table(params) -> bool:
     return isinstance(params, list) and bool(params) and params[0] == "##from_db"
 
@@ -131,7 +139,7 @@ def _is_open(op: str, params) -> bool:
         return True
     if op == "normalize":
         return not params
-    return op == "one_hot" and (not params or params == "auto")
+    return op in ("one_hot", "one_hot_table") and (not params or params == "auto")
 
 
 def _number(value) -> float | None:
@@ -152,7 +160,7 @@ def _fit_round(df: DataFrame, chains: list[_Chain]) -> None:
             wanted[f"mean_{i}"] = F.avg(x)
         elif op == "impute_median":
             medians[f"x_{i}"] = x.cast("double")
-        if op != "one_hot":
+        if op not in ("one_hot", "one_hot_table"):
             wanted |= {f"low_{i}": F.min(x), f"high_{i}": F.max(x), f"null_{i}": F.count_if(x.isNull())}
     stats = df.agg(*[c.alias(n) for n, c in wanted.items()]).first().asDict() if wanted else {}
     if medians:
@@ -166,6 +174,9 @@ def _fit_round(df: DataFrame, chains: list[_Chain]) -> None:
         if op == "one_hot":
             chain.take("one_hot", _categories(df, chain.expr, chain.key))
             continue
+        if op == "one_hot_table":
+            chain.take("one_hot_table", _category_table(df, chain.expr))
+            continue
         if op == "normalize":
             chain.take("normalize", (low, high))
             continue
@@ -204,6 +215,9 @@ def _fixed(df: DataFrame, op: str, params):
         return _table_categories(df, params[1]) if _from_table(params) else list(params)
     if op == "normalize":
         return tuple(params)
+    if op == "one_hot_table" and _from_table(params):
+        column, table, schema = params[1]
+        return _category_table(df.sparkSession.table(qualified(schema, table)), F.col(column))
     if op == "hash_column":
         return _hash_parameters(params or {})
     return params
@@ -219,7 +233,7 @@ class FittedFeatures:
     label_type: str = "binary"
 
     def _outputs(self, key: str) -> tuple[list[tuple[str, Column]], tuple[dict, Column] | None]:
-        """Named scalar columns of a feature, and ``(options, value)`` if it is hashed."""
+        """Named scalar columns of a feature, and ``(options, value)`` if it is hashed or looked up in a category table."""
         column = self.spec.column_of(key)
         chain = _Chain(key, F.col(column), list(self.applied[key]))
         name, extra = column, []
@@ -230,7 +244,7 @@ class FittedFeatures:
             if op == "one_hot":
                 hot = zip(params, C.one_hot(chain.expr, params))
                 return [(f"{column}_{c}", e) for c, e in hot] + extra, None
-            if op == "hash_column":
+            if op in ("one_hot_table", "hash_column"):
                 return extra, (params, chain.expr)
             if op in _DAYS or op in HISTORY_OPS:
                 name = op
@@ -255,7 +269,11 @@ class FittedFeatures:
                 continue
             scalars, hashed = self._outputs(key)
             names += [n for n, _ in scalars]
-            if hashed:
+            if hashed and "path" in hashed[0]:
+                # as many names as the model has coefficients
+                table = SparkSession.getActiveSession().read.parquet(hashed[0]["path"]).toArrow().sort_by("idx")
+                names += [f"{self.spec.column_of(key)}_{c}" for c in table.column("category").to_pylist()]
+            elif hashed:
                 names += [f"{self.spec.column_of(key)}#{b}" for b in range(hashed[0]["n_features"])]
         return names
 
@@ -275,7 +293,7 @@ class FittedFeatures:
     def transform(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
         """``(id, features, label)``; a missing feature value is an error."""
         rows = with_history(df, self.spec, population)
-        scalars, inputs, hashes, models = [], [], [], []
+        scalars, inputs, hashes, lookups, models = [], [], [], [], []
         for i, key in enumerate(self.applied):
             if key in self.text_models:
                 model, out, _ = self.text_models[key]
@@ -286,7 +304,11 @@ class FittedFeatures:
             for j, (_, expr) in enumerate(named):
                 scalars.append(expr.alias(f"__f{i}_{j}"))
                 inputs.append(f"__f{i}_{j}")
-            if hashed:
+            if hashed and "path" in hashed[0]:
+                scalars.append(hashed[1].alias(f"__c{i}"))
+                lookups.append((f"__c{i}", hashed[0], f"__h{i}"))
+                inputs.append(f"__h{i}")
+            elif hashed:
                 options, value = hashed
                 size = options["n_features"]
                 bucket = C.hash_bucket(value, size).cast("double")
@@ -302,6 +324,15 @@ class FittedFeatures:
             hot = OneHotEncoder(inputCols=[bucket], outputCols=[f"{bucket}_v"], dropLast=False)
             out = hot.fit(out).transform(out)
             out = Interaction(inputCols=[sign, f"{bucket}_v"], outputCol=vector).transform(out)
+        for value, options, vector in lookups:
+            size = options["n_features"]
+            known = df.sparkSession.read.parquet(options["path"]).select(F.col("category").alias(f"{value}_k"), F.col("idx").alias(f"{value}_i"))
+            # one place more, which the encoder leaves out: an unknown or missing value is all zeros
+            meta = {"ml_attr": {"type": "nominal", "num_vals": size + 1, "name": value}}
+            place = F.coalesce(f"{value}_i", F.lit(size)).cast("double").alias(f"{value}_p", metadata=meta)
+            out = out.join(known, F.col(value) == F.col(f"{value}_k"), "left").select(*out.columns, place)
+            hot = OneHotEncoder(inputCols=[f"{value}_p"], outputCols=[vector], dropLast=True)
+            out = hot.fit(out).transform(out)
         for _, model in models:
             out = model.transform(out)
         assembled = VectorAssembler(

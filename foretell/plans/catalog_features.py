@@ -76,6 +76,24 @@ def e4_long(t):
     return C.one_hot_long(t.table("documents"), "doc_id", "source")
 
 
+@query(
+    "E4_one_hot_table",
+    "WITH c AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate < DATE '1998-01-01'), "
+    "k AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS idx FROM c) "
+    "SELECT l_orderkey, l_linenumber, l_suppkey, idx AS place, (SELECT count(*) FROM c) AS size FROM lineitem LEFT JOIN k USING (l_partkey)",
+)
+def e4_table(t):
+    """Parts as one sparse vector by a category table of early rows; a part that is new there has no entry."""
+    rows = t.table("lineitem").withColumn("id", F.struct("l_orderkey", "l_linenumber", "l_suppkey"))
+    spec = FeatureSpec({"l_partkey": {"one_hot_table": []}}, "id", "l_linestatus")
+    fitted = fit_features(rows.where("l_shipdate < date'1998-01-01'"), spec)
+    places = vector_entries("features")
+    return fitted.transform(rows).select(
+        "id.*", F.when(F.size(places) > 0, places[0]["at"]).cast("long").alias("place"),
+        F.lit(len(fitted.layout()["l_partkey"])).cast("long").alias("size"),
+    )
+
+
 STATUSES = ["F", "O", "P"]
 
 

@@ -79,6 +79,26 @@ def test_too_many_categories_is_loud_and_long_form_works(spark, monkeypatch):
     assert [r.idx for r in got] == list(range(10))
 
 
+def test_category_table_is_the_one_hot_vector(spark):
+    train = spark.createDataFrame([(1, "b", "Passed"), (2, "a", "Passed"), (3, None, "Passed"), (4, "c", "Failed")], "bill_id long, c string, status_new string")
+    later = train.unionByName(spark.createDataFrame([(5, "z", "Failed")], train.schema))
+    for before in ({}, {"impute_fixed": "m"}):
+        vectors, names = [], []
+        for op in ("one_hot", "one_hot_table"):
+            fitted = fit_features(train, FeatureSpec({"bill_id": {}, "c": before | {op: []}, "c::2": {"mark_blanks": [], op: ["x"] if op == "one_hot" else []}}))
+            layout = fitted.layout()
+            assert len(layout["c"]) == 3 + bool(before) and layout["c"].start == 1
+            rows = fitted.transform(later).select("bill_id", vector_to_array("features").alias("v"), fit_module.vector_entries("features").alias("e")).collect()
+            vectors.append({r.bill_id: r.v[: layout["c"].stop] for r in rows})
+            names.append(fitted.feature_names()[: layout["c"].stop])
+            for r in rows:
+                full = [0.0] * len(r.v)
+                for entry in r.e:
+                    full[entry["at"]] = entry["value"]
+                assert full == r.v
+        assert vectors[0] == vectors[1] and names[0] == names[1] and vectors[1][5][1:] == [0.0] * (3 + bool(before))
+
+
 def test_hash_matches_published_hash(spark):
     words = ["alpha", "beta", "γ", "", "a longer category value"]
     df = spark.createDataFrame([(w,) for w in words], "c string")

@@ -2,6 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from foretell.features.spec import FeatureSpec
@@ -217,3 +218,46 @@ def test_settings_from_configuration():
     config["evaluate_params"] |= {"metrics": ["recall"], "bias_analysis": {"use": True, "groups": ["black"], "metrics": ["TPR"]}, "feature_importances": {"top_n": 3}}
     again = RunSettings.from_config(config)
     assert (again.metrics, again.bias_groups, again.report_features) == (("recall",), ("black",), 3)
+
+
+def test_queries_of_a_configuration(spark):
+    from foretell.plans.run import QueryStep, run_queries
+    from foretell.sources.tables import run_sql
+
+    config = {
+        "model_type": "DTClassifier", "model_info": {}, "feature_type": "m", "label_type": "binary", "transform": {"ops": {}},
+        "query": {
+            "name": ["map_bill_to_state_query", "rank_by_bill_count_query"], "schema_name": ["q_stage", "q_stage"], "table_name": ["placed", "ranked"],
+            "train": {"start_year": "2009", "end_year": 2010}, "test": {"start_year": 2011, "end_year": 2011},
+        },
+        "split": {"update_freq": 2, "split_list": [2, 1, 1, 1], "split_type": 1}, "feature_info": {},
+        "evaluate_params": {"top_k_fraction": 0.3, "bias_analysis": {"metrics": []}},
+    }
+    chosen = RunSettings.from_config(config)
+    assert chosen.queries == (QueryStep("map_bill_to_state_query", "q_stage", "placed"), QueryStep("rank_by_bill_count_query", "q_stage", "ranked"))
+    bills = spark.createDataFrame([(k, k % 2, date(2009 + k % 3, 1, 1)) for k in range(30)], "bill_id long, session_id long, introduced_date date")
+    sessions = spark.createDataFrame([(0, 13), (1, 14)], "session_id long, state_id int")
+    states = spark.createDataFrame([(13, "IL"), (14, "IN")], "state_id int, state_abbreviation string")
+    relations = {"bills": bills, "sessions": sessions, "states": states}
+    for predict, n in ((False, 20), (True, 10)):
+        last = run_queries(spark, relations, chosen, predict=predict)
+        assert sum(r["count"] for r in last.collect()) == n and last.columns[0] == "state_id"
+        assert run_sql(spark, "SELECT * FROM q_stage.placed").count() == n
+    with pytest.raises(ValueError, match="unheard"):
+        run_queries(spark, relations, settings(queries=[QueryStep("unheard", "a", "b")]))
+    with pytest.raises(ValueError):
+        run_queries(spark, relations, settings())
+    config["query"]["table_name"] = ["placed"]
+    with pytest.raises(ValueError, match="do not match"):
+        RunSettings.from_config(config)
+
+
+def test_network_loss_does_not_depend_on_blocks(spark):
+    rows = spark.createDataFrame([(i, Vectors.dense([float(i % 2)]), float(i % 7 == 0)) for i in range(131)], ["bill_id", "features", "label"])
+    params = {"num_hidden_nodes_in_layers": [3], "activation": "sigmoid", "epochs": 200}
+    scores = {}
+    for parts in (1, 3):
+        model, _ = C.fit_classifier("MultiLabelNNClassifier", params, rows.repartition(parts), 1)
+        scores[parts] = {r.bill_id % 2: r.score for r in C.predict_scores(model, rows).collect()}
+    rates = {r.odd: r.rate for r in rows.groupBy((F.col("bill_id") % 2).alias("odd")).agg(F.avg("label").alias("rate")).collect()}
+    assert all(abs(scores[p][k] - rates[k]) < 0.01 for p in scores for k in rates)
