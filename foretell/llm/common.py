@@ -117,28 +117,29 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node of the undirected edges ``(a, b)``; the root is the component's least node.
 
     Large-star and small-star steps in turn; each halves the depth, and each is written to
-    the shared folder. Nothing but a count and a checksum reaches the driver.
+    the shared folder, until only stars are left. Nothing but a count reaches the driver.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    e, before = cut_lineage(e), None
-    while True:
+    e = cut_lineage(e)
+    while not _only_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(low, "u")
-        small = pairs.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut_lineage(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
-            break
-        before = state
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
 
 
+def _only_stars(e: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` that is no ``u`` itself."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return ups.where("ups > 1 or (ups = 1 and least = 0)").isEmpty()
+
+
 def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Least index reachable from each of ``n`` nodes over the given links."""
     root = np.arange(n)

@@ -17,6 +17,8 @@ from foretell.session import cut_lineage, ship_package
 
 #: Size of a tile, which bounds the memory of a task: n-grams, or documents if they are short.
 TILE_GRAMS, TILE_ROWS = 1 << 19, 1 << 11
+#: Size up to which the classes with a candidate are sent to every executor, and bytes of one besides its bands.
+BROADCAST_BYTES, CLASS_BYTES = 64 << 20, 128
 
 
 def plan_bands(threshold: float, recall: float, hashes: int = 128) -> tuple[int, int]:
@@ -91,8 +93,14 @@ def _sign(n: int, bands: int, rows: int):
 
 
 def _expand(n: int):
+    """N-gram sets instead of words. Of rows that repeat a key, which repeat an id and its text, a task keeps one."""
+
     def run(batches):
+        seen: set[bytes] = set()
         for batch in batches:
+            keys = batch.column("key").to_pylist()
+            fresh = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             for where, sets in _batches(batch.column("words").to_pylist(), n):
                 part = batch.take(pa.array(where)).drop_columns(["words"])
                 sets = pa.array([s.tobytes() for s in sets], pa.binary())
@@ -218,6 +226,8 @@ def jaccard_join(
 
     # texts of one member of each class that has a home
     chosen = classes.join(home, "key").select("key", "low", "n", "tile", "bands")
+    if home.count() * (8 * bands + CLASS_BYTES) <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)  # spares the texts a shuffle
     own = normal.select("id", "words", F.col("key").alias("own"))
     texts = own.join(chosen, (own.own == chosen.key) & own.id.eqNullSafe(chosen.low))
     tiles = cut_lineage(texts.select("key", "n", "tile", "bands", "words").mapInArrow(
