@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from foretell.session import cut_lineage, ship_package
 
-#: Compressed bytes after which a task begins another package; also the bytes read by one task.
-PACKAGE_BYTES, RANGE_BYTES = 64 << 20, 16 << 20
+#: Compressed bytes after which a task begins another package, and of a range that one task reads.
+PACKAGE_BYTES, RANGE_BYTES = 64 << 20, 1 << 20
+#: Compressed bytes of a reading task: this many, or more where the session's shuffle partitions would not do.
+LEAST_TASK_BYTES, MOST_TASK_BYTES = 2 << 20, 64 << 20
 RECORDS_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 READ_SCHEMA = (
     "path string, offset long, record_id string, record_type string, target_uri string, date string, "
@@ -128,20 +130,28 @@ def pack_record(row: dict) -> bytes:
 
 
 def parse_record(data: bytes) -> dict:
-    """Fields of one WARC record; the payload is checked against its digest."""
+    """Fields of one WARC record; a payload with a SHA-1 digest is checked against it.
+
+    Of an HTTP record the payload is what follows its headers, of any other one the whole block.
+    """
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    missing = [k for k in ("warc-type", "warc-record-id", "content-length") if k not in fields]
+    if missing:
+        raise ValueError(f"a record without {', '.join(missing)}")
     block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
+    http, payload = b"", block
+    if fields.get("content-type", "").startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
     revisit = fields["warc-type"] == "revisit"
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    if not revisit and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+    kind, _, digest = fields.get("warc-payload-digest", "").rpartition(":")
+    if not revisit and kind == "sha1" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
         raise ValueError(f"payload of {fields['warc-record-id']} does not match its digest")
     size = re.search(rb"(?i)\ncontent-length: *(\d+)", http)
     return {
         "record_id": fields["warc-record-id"].strip("<>"), "record_type": fields["warc-type"],
-        "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"), "payload_digest": digest,
+        "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"), "payload_digest": digest or None,
         "payload_bytes": int(size[1]) if size else len(payload), "payload": None if revisit else payload,
         "refers_to": fields["warc-refers-to"].strip("<>") if "warc-refers-to" in fields else None,
     }
@@ -227,31 +237,71 @@ def _scan(read: Reader, at: int, end: int) -> Iterator[tuple[int, int]]:
         yield start, at - start
 
 
+def _scan_plain(read: Reader, at: int, end: int) -> Iterator[tuple[int, int]]:
+    """Offset and length of each record of an archive that is not compressed, by its Content-Length."""
+    while at < end:
+        head = b""
+        while b"\r\n\r\n" not in head:
+            more = read(min(1 << 12, end - at - len(head)), at + len(head))
+            if not more:
+                raise ValueError("a record is cut off")
+            head += more
+        head = head[: head.index(b"\r\n\r\n") + 4]
+        size = re.search(rb"(?i)\r\ncontent-length: *(\d+)", head)
+        if not head.startswith(b"WARC/") or not size:
+            raise ValueError("no WARC record where one should begin")
+        length = len(head) + int(size[1])
+        if at + length > end:
+            raise ValueError("a record is cut off")
+        yield at, length
+        at += length
+        while at < end and read(2, at) == b"\r\n":
+            at += 2
+
+
+def _records_of(path: str) -> list[tuple[int, int]]:
+    """Offset and length of every record of a package."""
+    read, size = _reader(path)
+    starts: dict[str, int] = {}
+    sizes: dict[str, int] = {}
+    indexes = []
+    for m in read_directory(read, size):
+        if m.name.startswith("archive/") and m.name.endswith((".warc.gz", ".warc")):
+            if m.name in starts:
+                raise ValueError(f"{path} has two members {m.name}")
+            starts[m.name], sizes[m.name] = data_offset(read, m), m.size
+        elif m.name.startswith("indexes/") and m.name.endswith(".cdxj"):
+            indexes.append(m)
+    found, named = [], set()
+    for m in indexes:
+        for line in read(m.size, data_offset(read, m)).decode().splitlines():
+            if not line.strip():
+                continue
+            entry = json.loads(line.split(" ", 2)[2])
+            name = entry["filename"] if entry["filename"] in starts else f"archive/{entry['filename']}"
+            if name not in starts:
+                raise ValueError(f"{path}: {m.name} names {entry['filename']}, which is no archive of the package")
+            named.add(name)
+            found.append((starts[name] + int(entry["offset"]), int(entry["length"])))
+    for name, start in starts.items():
+        if name not in named:
+            found += (_scan if name.endswith(".gz") else _scan_plain)(read, start, start + sizes[name])
+    return found
+
+
 def read_index(packages: DataFrame) -> DataFrame:
     """``path``, ``offset``, ``length`` of every record of the packages in ``packages.path``.
 
-    From the package's index members (CDXJ); a package without one is scanned record by record.
-    Offsets count from the start of the package file.
+    From the package's index members (CDXJ); archives that no index names, compressed or not, are scanned record by
+    record. An index that names no archive of the package, a name that comes twice and a compressed ZIP member are
+    errors. Offsets count from the start of the package file.
     """
     ship_package(packages.sparkSession)
 
     def run(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                read, size = _reader(path)
-                members = {m.name: m for m in read_directory(read, size)}
-                starts = {n: data_offset(read, m) for n, m in members.items() if n.startswith("archive/") and n.endswith(".warc.gz")}
-                found: list[tuple[int, int]] = []
-                indexes = [m for n, m in members.items() if n.startswith("indexes/") and n.endswith(".cdxj")]
-                for m in indexes:
-                    for line in read(m.size, data_offset(read, m)).decode().splitlines():
-                        entry = json.loads(line.split(" ", 2)[2])
-                        name = entry["filename"]
-                        name = name if name in starts else f"archive/{name}"
-                        found.append((starts[name] + int(entry["offset"]), int(entry["length"])))
-                if not indexes:
-                    for name, start in starts.items():
-                        found += _scan(read, start, start + members[name].size)
+                found = _records_of(path)
                 yield pa.RecordBatch.from_pydict({
                     "path": pa.array([path] * len(found), pa.string()), "offset": pa.array([f[0] for f in found], pa.int64()),
                     "length": pa.array([f[1] for f in found], pa.int64()),
@@ -266,7 +316,12 @@ def read_records(index: DataFrame) -> DataFrame:
     Columns: see ``READ_SCHEMA``. A payload that does not match its digest is an error.
     """
     ship_package(index.sparkSession)
-    near = index.repartition("path", F.floor(F.col("offset") / RANGE_BYTES)).sortWithinPartitions("path", "offset")
+    index = cut_lineage(index)
+    # the index is small, what it points at is not: partitions follow the records' bytes
+    total = index.agg(F.sum("length")).first()[0] or 0
+    usual = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-total // MOST_TASK_BYTES), min(usual, -(-total // LEAST_TASK_BYTES)))
+    near = index.repartition(parts, "path", F.floor(F.col("offset") / RANGE_BYTES)).sortWithinPartitions("path", "offset")
 
     def run(batches):
         path, read = None, None
@@ -277,7 +332,8 @@ def read_records(index: DataFrame) -> DataFrame:
                     if entry["path"] != path:
                         path = entry["path"]
                         read, _ = _reader(path)
-                    data = zlib.decompress(read(entry["length"], entry["offset"]), 31)
+                    data = read(entry["length"], entry["offset"])
+                    data = zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
                     rows.append({"path": path, "offset": entry["offset"], **parse_record(data)})
                 yield pa.RecordBatch.from_pylist(rows, schema=_READ_FIELDS)
 

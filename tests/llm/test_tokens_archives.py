@@ -1,8 +1,10 @@
 """BPE against the tokenizers library, archives against zipfile and hashlib, URLs against a plain model."""
 
 import base64
+import gzip
 import hashlib
 import io
+import json
 import math
 import random
 import re
@@ -198,3 +200,55 @@ def test_urls_without_rules_or_rows(spark):
     row = url_filter.filter_urls(pages, RULES).first()
     assert (row.ratio, row.probability, row.verdict) == (0.0, 0.5, "allow")
     assert url_filter.filter_urls(pages.limit(0), RULES).count() == 0
+
+
+def test_packages_of_other_tools(spark, tmp_path):
+    def record(name, payload, gz=True, kind="response", digest=True):
+        body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + payload if kind == "response" else payload
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", f"Content-Length: {len(body)}"]
+        head += ["Content-Type: application/http; msgtype=response"] if kind == "response" else ["Content-Type: application/warc-fields"]
+        head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(hashlib.sha1(payload).digest()).decode()}"] if digest else []
+        data = ("\r\n".join(head) + "\r\n\r\n").encode() + body + b"\r\n\r\n"
+        return gzip.compress(data) if gz else data
+
+    named, unnamed = [record(f"b{k}", b"named %d" % k) for k in range(3)], [record(f"c{k}", b"unnamed %d" % k) for k in range(2)]
+    plain = [record("a0", b"x" * 5000, gz=False), record("a1", b"", gz=False), record("info", b"software: test", gz=False, kind="warcinfo", digest=False)]
+    at = np.cumsum([0] + [len(r) for r in named]).tolist()
+    lines = [f"com,x)/ 2024 {json.dumps({'filename': 'b.warc.gz', 'offset': str(o), 'length': str(len(r))})}" for o, r in zip(at, named)]
+
+    def package(path, index, method=zipfile.ZIP_STORED, twice=False):
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("archive/a.warc", b"".join(plain), compress_type=method)
+            z.writestr("archive/b.warc.gz", b"".join(named))
+            z.writestr("archive/c.warc.gz", b"".join(unnamed))
+            if twice:
+                z.writestr("archive/c.warc.gz", b"")
+            z.writestr("indexes/index.cdxj", "\n".join(index))
+        return archive.packages_at(spark, [str(path)])
+
+    got = archive.read_records(archive.read_index(package(tmp_path / "one.wacz", ["", *lines, ""]))).collect()
+    assert sorted(r.record_id for r in got) == ["a0", "a1", "b0", "b1", "b2", "c0", "c1", "info"]
+    rows = {r.record_id: r for r in got}
+    assert rows["a0"].payload == b"x" * 5000 and rows["a1"].payload_bytes == 0 and rows["b2"].payload == b"named 2" and rows["c1"].payload == b"unnamed 1"
+    assert rows["info"].payload == b"software: test" and rows["info"].payload_digest is None and rows["info"].record_type == "warcinfo"
+    for name, wrong in (
+        ("two", package(tmp_path / "two.wacz", [lines[0].replace("b.warc", "z.warc")])),
+        ("three", package(tmp_path / "three.wacz", lines, zipfile.ZIP_DEFLATED)),
+        ("four", package(tmp_path / "four.wacz", lines, twice=True)),
+    ):
+        with pytest.raises(Exception, match="no archive of the package|only stored members|two members"):
+            archive.read_index(wrong).collect()
+    with pytest.raises(ValueError, match="cut off"):
+        list(archive._scan_plain(lambda n, o: plain[0][o : o + n], 0, len(plain[0]) - 40))
+    with pytest.raises(ValueError, match="without warc-type"):
+        archive.parse_record(b"WARC/1.0\r\nWARC-Record-ID: <x>\r\nContent-Length: 0\r\n\r\n")
+
+
+def test_reading_is_spread_by_bytes_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive, "LEAST_TASK_BYTES", 2000)
+    monkeypatch.setattr(archive, "RANGE_BYTES", 500)
+    rng = random.Random(3)
+    rows = [(k, f"https://x.com/{k}", "".join(rng.choice("abcdefghij ") for _ in range(400))) for k in range(60)]
+    records = archive.page_records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    found = archive.read_records(archive.read_index(archive.write_packages(records, f"{tmp_path}/p")))
+    assert found.count() == 60 and found.select(F.spark_partition_id()).distinct().count() > 1
