@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 from dataclasses import dataclass
 
 import numpy as np
@@ -325,6 +327,19 @@ def plausible(kind: str, text: str) -> bool:
     return low <= len(_digits(text)) <= high
 
 
+class Overlaps:
+    """Spans by start, to find those that meet a range without looking at all of them."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.spans = spans
+        self.starts = [s[1] for s in spans]
+        self.reach = list(accumulate((s[2] for s in spans), max))
+
+    def between(self, low: int, high: int) -> list[tuple[str, int, int]]:
+        first = bisect_right(self.reach, low)  # all spans before it end by then
+        return [s for s in self.spans[first : bisect_left(self.starts, high)] if s[2] > low]
+
+
 def _examples(batches):
     """Windows of regions with tags of the base spans, as bytes."""
     for batch in batches:
@@ -332,11 +347,11 @@ def _examples(batches):
         for text in batch.column("text").to_pylist():
             if not TRIGGER.search(text):
                 continue
-            spans = base_spans(text)
+            spans = Overlaps(base_spans(text))
             for low, high in regions(text):
                 for s, e in windows(high - low):
                     part = text[low + s : low + e]
-                    own = [x for x in spans if x[1] < low + e and x[2] > low + s]
+                    own = spans.between(low + s, low + e)
                     symbols.append(part)
                     tags.append(tag_sequence(len(part), own, low + s).astype(np.int8).tobytes())
                     rank.append(len({k for k, *_ in own}))
@@ -360,12 +375,12 @@ def fit_tagger(docs: DataFrame, text_col: str = "text", *, max_windows: int = 3_
 def find_pii(texts: list[str], tagger: Tagger) -> list[list[tuple]]:
     """Spans (kind, start, end, base) of each text by start, then kind: all base spans, and those of the
     network that overlap none."""
-    out = [[(*s, True) for s in base_spans(t)] for t in texts]
+    base = [Overlaps(base_spans(t)) for t in texts]
+    out = [[(*s, True) for s in b.spans] for b in base]
     places = [(i, a, b) for i, t in enumerate(texts) for a, b in regions(t)]
     for (i, a, _), spans in zip(places, decode_regions(tagger, [texts[i][a:b] for i, a, b in places])):
         for kind, s, e in spans:
-            clear = not any(x[1] < a + e and a + s < x[2] for x in out[i])
-            if clear and plausible(kind, texts[i][a + s : a + e]):
+            if not base[i].between(a + s, a + e) and plausible(kind, texts[i][a + s : a + e]):
                 out[i].append((kind, a + s, a + e, False))
     return [sorted(s, key=lambda x: (x[1], KINDS.index(x[0]), x[2])) for s in out]
 

@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -196,3 +197,40 @@ def test_the_network_learns_and_adds(frame, text):
     assert hits > 140 and wrong < 20
     assert pii.scan_pii(docs.limit(0), tagger).count() == 0
     assert len(pii.find_pii(["call 5"], pii.train_tagger([]))) == 1
+
+
+def test_spans_that_meet_a_range():
+    rng = random.Random(6)
+    for _ in range(50):
+        spans = sorted((("ip", a, a + rng.randrange(1, 30)) for a in (rng.randrange(200) for _ in range(rng.randrange(30)))), key=lambda s: s[1])
+        found = pii.Overlaps(spans)
+        for _ in range(20):
+            low = rng.randrange(220)
+            high = low + rng.randrange(1, 40)
+            assert found.between(low, high) == [s for s in spans if s[1] < high and s[2] > low]
+
+
+def test_many_spans_in_one_text_take_linear_time(monkeypatch):
+    text = " ".join(f"user{k}@mail{k % 97}.example.org" for k in range(16_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text]})
+    start = time.perf_counter()
+    windows = sum(b.num_rows for b in pii._examples([batch]))
+    monkeypatch.setattr(pii, "decode_regions", lambda tagger, parts: [[("phone", 0, 5), ("ip", len(p) - 9, len(p) - 2)] for p in parts])
+    found = pii.find_pii([text], None)[0]
+    assert windows > 1000 and sum(s[3] for s in found) == 16_000 and time.perf_counter() - start < 5
+
+
+def test_windows_are_reconciled_by_weighted_means():
+    tagger = pii.Tagger.fresh(seed=9)
+    parts = ["call +49 30 1234567 now " * k for k in (1, 9, 30)]
+    want = []
+    for part in parts:
+        symbols, total, weight = pii.letters(part), np.zeros((len(part), pii.TAGS)), np.zeros((len(part), 1))
+        for s, e in pii.windows(len(part)):
+            x = symbols[s:e][:, None]
+            centre = np.array([min(i + 1, pii.WINDOW - i) if e - s == pii.WINDOW else 1.0 for i in range(e - s)])[:, None]
+            total[s:e] += tagger.emissions(x, x > 0)[:, 0] * centre
+            weight[s:e] += centre
+        block = (total / weight).astype(np.float32)[:, None]
+        want.append(pii.tag_spans(pii.viterbi(block, np.array([len(part)]), tagger.w["move"])[:, 0]))
+    assert pii.decode_regions(tagger, parts) == want
