@@ -128,7 +128,45 @@ reach(a, b) AS (
 )
 """
 
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
 ORACLES = {
+    # crc32 by its table of bytes; letters are one byte, or 195 and another
+    "op11_spelling_variants": f"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: {_CRC_STEP})) AS t
+), found AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{7,}}')) AS r FROM documents WHERE text IS NOT NULL
+), runs AS (
+    SELECT doc_id, translate(r, '{variants.UPPER}', '{variants.LOWER}') AS run, count(*) AS n FROM found GROUP BY 1, 2
+), bytes AS (
+    SELECT run, n, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR) || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)) AS b FROM runs
+), hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(b, lambda x: CAST(x AS BIGINT))),
+        lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS INTEGER)])), 4294967295) AS h FROM bytes, crc
+), spoilt AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoilt WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2
+), cut AS (
+    SELECT word, n, i, substr(word, 1, CAST(i AS INTEGER) - 1) || substr(word, CAST(i AS INTEGER) + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word AS word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), ranked AS (
+    SELECT word, other, other_n, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near
+), forms AS (
+    SELECT words.word AS word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN (SELECT * FROM ranked WHERE place = 1) best ON best.word = words.word
+), chain(word, reached, depth) AS (
+    SELECT word, word, 0 FROM forms
+    UNION ALL
+    SELECT chain.word, forms.form, depth + 1 FROM chain JOIN forms ON forms.word = chain.reached WHERE forms.form IS NOT NULL
+)
+SELECT forms.word AS word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(reached, depth) AS root FROM chain GROUP BY 1) r ON r.word = forms.word
+""",
     "op2_embedding_dedup": f"""
 WITH RECURSIVE node AS (
     SELECT vec_id AS id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
