@@ -290,6 +290,10 @@ class FittedFeatures:
             start += size
         return places
 
+    def size(self) -> int:
+        """Length of the vector."""
+        return max((places.stop for places in self.layout().values()), default=0)
+
     def transform(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
         """``(id, features, label)``; a missing feature value is an error."""
         rows = with_history(df, self.spec, population)

@@ -8,6 +8,7 @@ large for that.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import SparkContext
 from pyspark.ml import PipelineModel
@@ -28,7 +29,8 @@ from foretell.functions.text import word_tokens
 from foretell.operators.ordinal import ordinal_within
 from foretell.session import cut_lineage
 
-MAX_VECTOR_TERMS = 2_000_000
+#: Terms of a vector, whose vocabulary every executor holds, as a model its coefficients.
+MAX_VECTOR_TERMS = 10_000_000
 #: Size up to which a table of terms is sent to every executor.
 MAX_BROADCAST_BYTES = 64 << 20
 
@@ -97,35 +99,42 @@ def tfidf_long(
 
 
 class VectorVocabulary:
-    """A vocabulary table ready for vectors: terms and count model per column, made once.
+    """A vocabulary table ready for vectors: size and count model per column, made once.
 
-    One object serves every block of a run.
+    One object serves every block of a run. The model's terms go from the table to the JVM's model; Python gets them
+    only where feature names are asked for.
     """
 
     def __init__(self, table: DataFrame):
         self.table = table
-        self._terms: dict[str, list[str]] = {}
+        self._sizes: dict[str, int] = {}
         self._models: dict[str, CountVectorizerModel] = {}
 
-    def terms(self, column: str) -> list[str]:
-        if column not in self._terms:
-            mine = self.table.where(F.col("column") == column).select("idx", "term")
-            found = mine.limit(MAX_VECTOR_TERMS + 1).toArrow().sort_by("idx")
-            if found.num_rows > MAX_VECTOR_TERMS:
+    def _ordered(self, column: str) -> DataFrame:
+        return self.table.where(F.col("column") == column).orderBy("idx").select("term")
+
+    def size(self, column: str) -> int:
+        if column not in self._sizes:
+            n = self.table.where(F.col("column") == column).count()
+            if n > MAX_VECTOR_TERMS:
                 raise ValueError(
                     f"{column} has over {MAX_VECTOR_TERMS} terms, too many for one vector: "
                     "use the long form (bow_long, tfidf_long)"
                 )
-            if not found.num_rows:
+            if not n:
                 raise ValueError(f"{column} has no tokens")
-            self._terms[column] = found.column("term").to_pylist()
-        return self._terms[column]
+            self._sizes[column] = n
+        return self._sizes[column]
+
+    def terms(self, column: str) -> list[str]:
+        self.size(column)
+        return self._ordered(column).toArrow().column("term").to_pylist()
 
     def counter(self, column: str, words: str, counts: str) -> CountVectorizerModel:
         if column not in self._models:
-            # terms hold no line breaks; one call hands them all to the JVM
-            jvm = SparkContext.getOrCreate()._jvm
-            terms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(self.terms(column)))
+            self.size(column)
+            strings = SparkContext.getOrCreate()._jvm.org.apache.spark.sql.Encoders.STRING()
+            terms = getattr(self._ordered(column)._jdf, "as")(strings).collect()  # an array of the JVM
             self._models[column] = CountVectorizerModel._create_from_java_class(
                 "org.apache.spark.ml.feature.CountVectorizerModel", terms
             )
@@ -133,12 +142,26 @@ class VectorVocabulary:
         return model.copy({model.inputCol: words, model.outputCol: counts})
 
 
+@dataclass(frozen=True)
+class TermNames:
+    """The terms of a column as feature names: their number is known, they are read when looked at."""
+
+    vocab: VectorVocabulary
+    column: str
+
+    def __len__(self) -> int:
+        return self.vocab.size(self.column)
+
+    def __iter__(self):
+        return iter(self.vocab.terms(self.column))
+
+
 def fit_text_op(
     df: DataFrame, column: str, op: str, params, vocab: VectorVocabulary, tag: str = "t",
     seed: int = 17,
-) -> tuple[PipelineModel, str, list[str]]:
+) -> tuple[PipelineModel, str, TermNames | list[str]]:
     """Fitted transformers for one text column, their output column and feature names."""
-    terms = vocab.terms(column)
+    terms = TermNames(vocab, column)
     words, counts = f"__{tag}_words", f"__{tag}_counts"
     # a missing text has no tokens
     pattern = r"[\\p{L}\\p{N}_]{2,}"

@@ -252,9 +252,8 @@ def model_scores(
     """
     notes: list[str] = []
     if train_model:
-        names = fitted.feature_names()
         classes = len(set(LABEL_CODES[label_type].values()))
-        model, notes = fit_classifier(model_type, params, train, len(names), classes, accept_limits=accept_limits)
+        model, notes = fit_classifier(model_type, params, train, fitted.size(), classes, accept_limits=accept_limits)
         save_model(model, path)
     loaded = load_model(path)
     id_column = fitted.spec.id_column
