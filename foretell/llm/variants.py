@@ -19,7 +19,9 @@ GROUPS = (
     *"eainorstlducmp", "hx", "gk", "bq", "fj", "vw", "yz", *("".join(chr(c) for c in range(0xC0 + k, 0x100, 4)) for k in range(4)),
 )
 #: Words, and bytes of words, of a bucket from which it is cut; words of a leaf; cells that are compared at a time.
-TILE_WORDS, TILE_BYTES, LEAF_WORDS, CELLS = 1 << 15, 1 << 23, 48, 1 << 21
+TILE_WORDS, TILE_BYTES, LEAF_WORDS, CELLS = 1 << 14, 1 << 22, 48, 1 << 21
+#: Most large buckets whose keys are sent to every executor; there is at most one for each TILE_WORDS words.
+BROADCAST_ROWS = 1 << 18
 
 
 def letter_runs(
@@ -122,6 +124,13 @@ class _Words:
         scale = 256 ** np.arange(size, dtype=np.uint64)
         return tuple((x[:, :size] * scale[: x.shape[1]]).sum(axis=1, dtype=np.uint64) for x in (self.front, self.back))
 
+    def ranks(self) -> np.ndarray:
+        """Places in code-point order; equal words share none."""
+        rank = np.empty(len(self.front), np.int64)
+        whole = np.ascontiguousarray(self.front).view(f"S{self.front.shape[1]}").ravel()
+        rank[np.argsort(whole, kind="stable")] = np.arange(len(whole))
+        return rank
+
     def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Whether words i and j, of equal length or the first one shorter by one, differ by exactly one edit."""
         out = np.empty(len(i), bool)
@@ -181,8 +190,7 @@ def _search(first: int, ends: int):
         links, best, best_n = np.zeros(len(role), np.int64), np.full(len(role), -1), np.full(len(role), -1)
         if len(home):
             words, n = _Words(column), table.column("n").to_numpy()
-            rank = np.empty(len(role), np.int64)
-            rank[np.array(sorted(range(len(role)), key=column.to_pylist().__getitem__), np.int64)] = np.arange(len(role))
+            rank = words.ranks()
             spent = [table.column(c).to_numpy() for c in ("surplus", "deficit")]
 
             def fold(x, y):
@@ -196,13 +204,15 @@ def _search(first: int, ends: int):
                 best[x[better]], best_n[x[better]] = y[better], n[y[better]]
 
             held: list[tuple[np.ndarray, np.ndarray]] = []
+            total = 0
             side = table.column("side")[0].as_py()
             for i, j in near_words(words, home, *spent, first, ends, side):
                 guest = role[i] > 0  # words at home meet in both orders
                 held.append((np.concatenate((i, j[guest])), np.concatenate((j, i[guest]))))
-                if sum(len(x) for x, _ in held) >= CELLS:
+                total += len(held[-1][0])
+                if total >= CELLS:
                     fold(*map(np.concatenate, zip(*held)))
-                    held = []
+                    held, total = [], 0
             if held:
                 fold(*map(np.concatenate, zip(*held)))
         hit = np.flatnonzero(links)
@@ -239,17 +249,22 @@ def near_counts(words: DataFrame, *, least_length: int = 7, levels: int | None =
     moved = top.select("word", "n", spots).select("word", "n", "spot.*").where(F.forall("place", lambda x: x >= 0))
     key = F.array_join("place", ",").alias("key")
     home = top.select(F.array_join(F.array("len", *[F.col(f"c{k}") for k in range(levels)]), ",").alias("key"), "len")
-    sizes = home.groupBy("key").agg(F.count("*").alias("size"), F.first("len").alias("len")).select(
+    large = home.groupBy("key").agg(F.count("*").alias("size"), F.first("len").alias("len")).select(
         F.col("key").alias("large"),
         F.ceil(F.greatest(F.col("size") / TILE_WORDS, F.col("size") * F.col("len") / TILE_BYTES)).cast("int").alias("parts"),
     ).where("parts > 1")
-    dealt = moved.select("word", "n", "role", "surplus", "deficit", key).join(sizes, F.col("key") == F.col("large"), "left")
+    large = cut_lineage(large)
+    if large.count() <= BROADCAST_ROWS:
+        large = F.broadcast(large)
+    dealt = moved.select("word", "n", "role", "surplus", "deficit", key).join(large, F.col("key") == F.col("large"), "left")
     part = lambda side, of: F.struct(F.lit(side).alias("side"), F.pmod(F.xxhash64(of), F.col("parts")).cast("int").alias("part"))
     parts = F.when(F.col("parts").isNull(), F.array(F.struct(F.lit("a").alias("side"), F.lit(0).alias("part")))).otherwise(
         F.array(part("p", F.substring("word", 1, ends)), part("s", F.substring("word", -ends, ends))))
     dealt = dealt.select(F.encode("word", "ISO-8859-1").alias("word"), "n", "role", "surplus", "deficit", "key", F.explode(parts).alias("tile"))
     dealt = dealt.select("word", "n", "role", "surplus", "deficit", "key", "tile.side", "tile.part")
-    found = dealt.groupBy("key", "side", "part").applyInArrow(_search(levels, ends), _FOUND)
+    # a bucket's bytes say little about its work, so partitions are counted, not left to their bytes
+    spread = dealt.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "side", "part")
+    found = spread.groupBy("key", "side", "part").applyInArrow(_search(levels, ends), _FOUND)
     summed = found.groupBy("word").agg(
         F.sum("links").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("low"), "best")).alias("top"),
     )
