@@ -1,7 +1,10 @@
 """Nearest examples and FTRL against their definitions, and the pipeline against its stages in plain Python."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -190,3 +193,78 @@ def test_near_copies_of_toxic_examples_without_a_common_toxic_word(spark, text):
     assert len(near) > 20 and all(r.score >= 0.3 and r.terms and r.evidence[0].example == str(r.doc_id - 1000) for r in near)
     clean = [out[k].score for k in range(400) if k % 5]
     assert np.mean([s < 0.3 for s in clean]) > 0.97
+
+
+def test_toxicity_is_brute_force(spark, text):
+    rows, labels = toxic_rows(text, 240)
+    rows += [(1000 + k, "") for k in range(60)] + [(2000, rows[1][1]), (2001, rows[1][1]), (2002, text(91, 30)), (2003, text(91, 30)), (3000, "nothing_known_here")]
+    labels += [(1000 + k, int(k < 50)) for k in range(60)] + [(2000, 1), (2001, 1), (2002, 0), (2003, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), k=6)
+    out = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    assert out[1000].score == out[3000].score == pytest.approx(50 / 60) and not out[1000].evidence
+
+    texts, truth = dict(rows), dict(labels)
+    words = {i: Counter(re.findall(r"\w+", t.lower())) for i, t in texts.items()}
+    known = toxicity.load(model.path)
+    seen = Counter(w for c in words.values() for w in c)
+    weight = {}
+    for w in set().union(*(words[i] for i in model.example)):
+        h = toxicity.Words(w).hashes[0]
+        at = int(np.searchsorted(known.keys, h))
+        assert known.keys[at] == h
+        weight[w] = float(known.idf[at])
+        plain = math.log((1 + len(rows)) / (1 + seen[w])) + 1
+        assert weight[w] == pytest.approx(plain) if w not in model.terms else weight[w] > plain
+
+    def vector(i):
+        v = {w: (1 + math.log(n)) * weight[w] for w, n in words[i].items() if w in weight}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    votes = {}
+    for i, label in truth.items():
+        key = frozenset(words[i].items())
+        votes.setdefault(key, [0, 0])[label] += 1
+    assert votes[frozenset(words[2002].items())] == [1, 1]
+    vectors = {i: vector(i) for i in model.example}
+    for i, row in out.items():
+        own = vector(i) if any(w in weight for w in words[i]) else {}
+        near = sorted(((sum(x * v.get(w, 0) for w, x in own.items()), e) for e, v in vectors.items()), reverse=True)
+        near = [(c, e) for c, e in near if c > 0]
+        if not near:
+            assert row.score == model.unknown
+            continue
+        near = [(c, e) for c, e in near if c >= near[min(6, len(near)) - 1][0] - 1e-9]
+        assert [x.cosine for x in row.evidence] == pytest.approx([c for c, _ in near[:3]])
+        share = {e: votes[frozenset(words[e].items())] for _, e in near}
+        pull = [(c * c / (1.01 - min(c, 1) ** 2), share[e][1] / sum(share[e])) for c, e in near]
+        raw = (sum(p * s for p, s in pull) + model.base) / (sum(p for p, _ in pull) + 1)
+        assert row.score == pytest.approx(model.calibrated(raw), abs=1e-9)
+        assert all((x.votes_0, x.votes_1) == tuple(votes[frozenset(words[int(x.example)].items())]) for x in row.evidence)
+
+
+@pytest.mark.parametrize("k, dense, block", [(1, 8, 4), (15, 0, 64), (40, 16, 8), (5, 1000, 3)])
+def test_block_search_is_exact_for_any_layout(monkeypatch, k, dense, block):
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", dense)
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "POSTINGS", 50)
+    rng = np.random.default_rng(k)
+    full = (rng.random((300, 60)) < rng.random(60) ** 3) * rng.random((300, 60))
+    full[:40] = full[40]  # ties
+    full = full[full.any(axis=1)]
+    full /= np.linalg.norm(full, axis=1, keepdims=True)
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in full]
+    index = toxicity.BlockMaxIndex(vectors, 60)
+    queries = [*vectors[::7], (np.array([59]), np.array([1.0])), (np.array([], int), np.array([]))]
+    for (terms, w), (found, scores) in zip(queries, index.search_many(queries, k)):
+        cosine = full[:, terms] @ w
+        least = np.sort(cosine)[-k]
+        assert set(found.tolist()) == set(np.flatnonzero((cosine > 0) & (cosine >= least - 1e-9)).tolist()) and np.allclose(scores, cosine[found])
+
+
+def test_arrays_of_a_file(tmp_path):
+    arrays = {"a": np.arange(7, dtype=np.int32), "b": np.zeros((0, 3), np.float32), "c": np.random.default_rng(1).random((5, 4))}
+    toxicity.write_arrays(arrays, f"file://{tmp_path}/x")
+    got = toxicity.read_arrays(f"{tmp_path}/x")
+    assert list(got) == list(arrays) and all(got[n].dtype == x.dtype and np.array_equal(got[n], x) for n, x in arrays.items())
