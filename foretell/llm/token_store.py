@@ -7,15 +7,19 @@ every 512th bit) says where: the place on the next level is the number of ones b
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import string
 import struct
 import uuid
-from collections.abc import Iterator
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,8 +34,8 @@ WIDTHS = (8, 8, 16)
 RANK_BITS = 512
 #: Ids of a file, and ids that a task holds when it reads whole documents.
 FILE_IDS, READ_IDS = 1 << 24, 1 << 20
-#: Characters of text that are encoded at a time.
-SLICE_CHARS = 1 << 18
+#: Characters of text that are encoded at a time, and parts of texts that a worker remembers.
+SLICE_CHARS, CACHE_PARTS = 1 << 23, 800_000
 MAGIC = b"idcodes1"
 _HEAD = struct.Struct("<8sQQQB")  # magic, ids, place and bytes of the documents' table, levels
 _LEVEL = struct.Struct("<BQQQQ")  # bits, chunks, places of chunks, bitmap and directory
@@ -130,48 +134,116 @@ class IdFile:
         return out
 
 
-@lru_cache(2)
-def _tokenizer(name: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+#: A visible character before a blank and another one: a byte-level tokenizer always parts words there.
+_SEAM = re.compile(r"(?<=\S) (?=\S)")
+#: What ``\S`` leaves out, for Arrow's expressions.
+_WHITE = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Texts where some blank or line break is no seam.
+_ODD = f"{_WHITE}[ \n]|[ \n]{_WHITE}|^[ \n]|[ \n]$"
 
 
-#: A visible character before a blank and another one: a byte-level tokenizer always parts words there.
-_SEAM = regex.compile(r"(?<=\S) (?=\S)")
+class Encoder:
+    """Ids of texts by the tokenizers library, which sees a part between two seams once while it is remembered.
 
+    A byte-level tokenizer also parts letters from the punctuation behind them, and a line break from both neighbours.
+    """
 
-def text_parts(text: str, size: int | None = None) -> Iterator[str]:
-    """The text in parts of about ``size`` characters that can be encoded apart; a run without blanks stays whole."""
-    start, size = 0, size or SLICE_CHARS
-    while len(text) - start > size:
-        seam = _SEAM.search(text, start + size)
-        if not seam:
-            break
-        yield text[start : seam.start()]
-        start = seam.start()
-    yield text[start:]
+    def __init__(self, name: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each worker a core; the library's threads would spin for work
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        usual = cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"] and not spec["normalizer"]
+        if not usual or any(not t["content"].isascii() or set(t["content"]) & set(" \n") for t in spec["added_tokens"]):
+            raise ValueError(f"{name} is not a plain byte-level tokenizer")
+        # punctuation that no added token holds can be parted from the letters before it
+        self.marks = "".join(set(string.punctuation).difference(*[t["content"] for t in spec["added_tokens"]]))
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # ids of parts, by what stands before them
+        self.line = self._learn(["\n"])[0]
+
+    def _learn(self, parts: list[str], before: str = "") -> list[bytes]:
+        """Ids of each part with ``before`` in front, packed in 32 bits."""
+        known = self.known[before]
+        found = list(map(known.get, parts))
+        new = {p for p, ids in zip(parts, found) if ids is None}
+        if not new:
+            return found
+        if len(known) + len(new) > CACHE_PARTS:
+            known.clear()
+            new.update(parts)
+        stems = {p: p.rstrip(self.marks) for p in new}
+        split = [(p, stem, p[len(stem) :]) for p, stem in stems.items() if len(stem) < len(p) and stem[-1:].isalpha()]
+        whole = new.difference([p for p, _, _ in split])
+        whole.update([stem for _, stem, _ in split if stem not in known])
+        whole = list(whole)
+        for k in range(0, len(whole), 4096):
+            some = whole[k : k + 4096]
+            encoded = self.tokenizer.encode_batch_fast([before + p for p in some] if before else some, add_special_tokens=False)
+            known.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
+        ends = {rest for _, _, rest in split}
+        ends = dict(zip(ends, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(list(ends), add_special_tokens=False)]))
+        known.update([(p, known[stem] + ends[rest]) for p, stem, rest in split])
+        return [known[p] if ids is None else ids for p, ids in zip(parts, found)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        column = pa.array(texts, pa.large_string())
+        odd = np.asarray(pc.match_substring_regex(column, _ODD))
+        plain = iter(self._plain(column.filter(pa.array(~odd))))
+        return [self._odd(text) if o else next(plain) for text, o in zip(texts, odd.tolist())]
+
+    def _odd(self, text: str) -> np.ndarray:
+        first, *later = _SEAM.split(text)
+        return np.frombuffer(b"".join([*self._learn([first]), *self._learn(later, " ")]), np.uint32)
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Texts whose blanks and line breaks are all seams: distinct parts are looked up, then joined by number."""
+        if not len(texts):
+            return []
+        lines = pc.split_pattern(texts, "\n")
+        per_text = np.asarray(lines.value_lengths())
+        lists = pc.split_pattern(lines.flatten(), " ")
+        per_line = np.asarray(lists.value_lengths())
+        coded = lists.flatten().dictionary_encode()
+        code, words = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
+        firsts = np.cumsum(per_line) - per_line  # the part that begins a line has no blank in front
+        heads = self._learn([words[k] for k in code[firsts].tolist()])
+        fresh = np.ones(len(firsts), bool)
+        fresh[np.cumsum(per_text) - per_text] = False
+        code[firsts] = len(words) + np.arange(len(firsts))
+        used = np.zeros(len(words) + len(firsts), bool)
+        used[code] = True
+        used = np.flatnonzero(used[: len(words)]).tolist()
+        ids = [b""] * len(words)
+        for k, found in zip(used, self._learn([words[k] for k in used], " ")):
+            ids[k] = found
+        ids += [self.line + head if f else head for head, f in zip(heads, fresh.tolist())]
+        held = np.empty(len(ids), object)
+        held[:] = ids
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ends = np.cumsum(sizes[code])[np.cumsum(per_line) - 1][np.cumsum(per_text) - 1]
+        out = np.frombuffer(b"".join(held[code].tolist()), np.uint32)
+        return np.split(out, ends[:-1])
+
+
+@lru_cache(2)
+def load(name: str) -> Encoder:
+    return Encoder(name)
 
 
 def encode_texts(texts: list[str], name: str, end_id: int | None) -> list[np.ndarray]:
     """Ids of each text by the tokenizers library, with the end id."""
-    parts, owner = [], []
-    for i, text in enumerate(texts):
-        for part in text_parts(text):
-            parts.append(part)
-            owner.append(i)
-    ids: list[list[np.ndarray]] = [[] for _ in texts]
+    tail = np.array([] if end_id is None else [end_id], np.uint32)
+    out: list[np.ndarray] = []
     start = total = 0
-    for k, part in enumerate(parts):
-        total += len(part)
-        if total >= SLICE_CHARS or k == len(parts) - 1:
-            found = _tokenizer(name).encode_batch_fast(parts[start : k + 1], add_special_tokens=False)
-            for i, e in zip(owner[start : k + 1], found):
-                ids[i].append(np.array(e.ids, np.uint32))
+    for k, text in enumerate(texts):
+        total += len(text)
+        if total >= SLICE_CHARS or k == len(texts) - 1:
+            out += [np.concatenate((ids, tail)) for ids in load(name).encode(texts[start : k + 1])]
             start, total = k + 1, 0
-    tail = [np.array([end_id], np.uint32)] if end_id is not None else []
-    return [np.concatenate([np.empty(0, np.uint32), *x, *tail]) for x in ids]
+    return out
 
 
 def write_ids(

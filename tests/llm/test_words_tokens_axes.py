@@ -146,14 +146,16 @@ def test_any_id_of_a_file(widths):
 
 
 def test_parts_of_a_text_encode_alike(text, monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_PARTS", 30)
     theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rng = random.Random(4)
-    odd = "".join(rng.choice("ab  \n\t1'!é\x85　🙂<|endoftext|>") for _ in range(4000))
-    for whole in (text(3, 900), odd, "x" * 900, " " * 900, "a<|endoftext|> <|endoftext|> b" * 40, ""):
-        parts = list(token_store.text_parts(whole, 50))
-        assert "".join(parts) == whole
-        ids = [i for p in parts for i in theirs.encode(p, add_special_tokens=False).ids]
-        assert ids == theirs.encode(whole, add_special_tokens=False).ids
+    odd = ["".join(rng.choice("ab  \n\t1'!é\x85\x1c\u3000🙂") for _ in range(400)) for _ in range(20)]
+    texts = [text(3, 900), *odd, "x" * 900, " " * 900, "a<|endoftext|> <|endoftext|> b" * 40, "", " a", "a ", "a  b", "a b\n c", "one two three", "one, two;\nthree's 'tis we'll\nfour.) five_ six<|endoftext|>\n<|end, x|> 7. é. ß!? don't'"]
+    encoder = token_store.Encoder("byte_bpe_50k.json")
+    for some in (texts, *[[t] for t in texts]):
+        for whole, ids in zip(some, encoder.encode(some)):
+            assert ids.tolist() == theirs.encode(whole, add_special_tokens=False).ids
+    assert token_store.encode_texts(["", "a b"], "byte_bpe_50k.json", 7)[0].tolist() == [7]
 
 
 @pytest.mark.parametrize("file_ids, end", [(1 << 24, 0), (40, 0), (40, None)])
