@@ -505,23 +505,3 @@ def g4_baseline(t):
     rows = long_blocks(with_block_columns(t.facts, "introduced_date", *YEARS, **split))
     valid = rows.where(F.col("role") == VALIDATION).withColumn("y", (F.col("status_new") == "Passed").cast("int"))
     return rounded(GR.reference_series(valid, results=results), "value")
-
-
-FAMILIES = {
-    "DTClassifier": STUMP_TREE,
-    "RFClassifier": STUMP_TREE | {"n_estimators": 15},
-    "SVMClassifier": {"kernel": "linear", "C": 1, "class_weight": "balanced", "max_iter": 200},
-    "LogRegClassifier": {"penalty": "l2", "C": 1e6, "class_weight": "balanced", "max_iter": 200},
-}
-_FAMILY_VALUES = "(VALUES " + ", ".join(f"('{m}')" for m in FAMILIES) + ") AS m(model_type)"
-
-
-@query("G1_grid_of_all_families", sql_with(
-    "facts", f"SELECT model_type, 1 AS model_idx, block_id, role, metric, value FROM stump_overall, {_FAMILY_VALUES}",
-    **{k: v for k, v in STUMP_EVALUATED.items() if k not in ("stump_members", "stump_groups")}))
-def g1_families(t):
-    """Trees, forests, support vectors and regressions on one two-valued column rank the chambers alike, each in its own scores."""
-    path = scratch_path(t.spark, "family-grid")
-    for family, params in FAMILIES.items():
-        results = GR.run_grid(t.facts, stump_settings(), family, [params], path)
-    return rounded(results.select("model_type", "model_idx", "block_id", "role", "metric", "value"), "value")
