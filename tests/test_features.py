@@ -227,3 +227,18 @@ def test_one_hot_frame(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x")], "p string, q string")
     got = {r.p: list(r.v) for r in one_hot_frame(df, ["p", "q"]).select("p", vector_to_array("one_hot").alias("v")).collect()}
     assert got == {"a": [1, 0, 0, 0, 1], "b": [0, 1, 0, 1, 0], "c": [0, 0, 1, 1, 0]}
+
+
+def test_history_of_all_rows_is_computed_once(spark):
+    """Fit and both slices read history that is kept; its window is in none of their plans."""
+    outcome = ["introduced_date", "status_new"]
+    spec = FeatureSpec({
+        "sponsors": {"sponsor_pass_rate": outcome, "impute_mean": []}, "sponsors::2": {"sponsor_total_bills": outcome, "impute_mean": []},
+    })
+    rows = [(i, 1 + 2 * (i % 2), f"{2000 + i}-01-01", "Passed" if i % 3 else "Failed", "7, 8" if i % 2 else "7") for i in range(8)]
+    facts = spark.createDataFrame(rows, "bill_id long, iter_1 int, introduced_date string, status_new string, sponsors string")
+    _, train, valid = block_features(facts.withColumn("introduced_date", F.to_date("introduced_date")), spec, 1, history="all")
+    for part in (train, valid):
+        assert "Window" not in part._jdf.queryExecution().executedPlan().toString()
+    got = {r.bill_id: list(r.features.toArray()) for r in train.unionByName(valid).collect()}
+    assert got[4] == pytest.approx([2 / 3, 3.0])  # sponsor 7 on bills 0 to 2; bill 3 is only 365 days older; 1 and 2 passed
