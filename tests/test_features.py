@@ -242,3 +242,18 @@ def test_history_of_all_rows_is_computed_once(spark):
         assert "Window" not in part._jdf.queryExecution().executedPlan().toString()
     got = {r.bill_id: list(r.features.toArray()) for r in train.unionByName(valid).collect()}
     assert got[4] == pytest.approx([2 / 3, 3.0])  # sponsor 7 on bills 0 to 2; bill 3 is only 365 days older; 1 and 2 passed
+
+
+def test_text_vectors_name_no_places_and_keep_their_order(spark):
+    """A text between scalar columns fills its own places, and nothing on the driver names each term."""
+    rows = [(1, 1.0, "b a b", 5.0, "Passed"), (2, 0.0, None, 6.0, "Failed"), (2, 0.0, None, 6.0, "Failed"), (3, 3.0, "zz", 0.0, "Failed")]
+    df = spark.createDataFrame(rows, "bill_id long, x double, text string, y double, status_new string")
+    table = spark.createDataFrame([("text", "aa", 3), ("text", "bb", 5), ("text", "zz", 9)], "column string, term string, idx long")
+    df = df.withColumn("text", F.regexp_replace("text", "([ab])", "$1$1"))
+    spec = FeatureSpec({"x": {"impute_fixed": 0}, "text": {"bow": []}, "y": {"impute_fixed": 0}})
+    fitted = fit_features(df, spec, vocab=TX.VectorVocabulary(table))
+    found = fitted.transform(df)
+    assert not found.schema["features"].metadata
+    got = sorted((r.bill_id, *r.features.toArray()) for r in found.collect())
+    assert got == [(1, 1.0, 1.0, 2.0, 0.0, 5.0), (2, 0.0, 0.0, 0.0, 0.0, 6.0), (2, 0.0, 0.0, 0.0, 0.0, 6.0), (3, 3.0, 0.0, 0.0, 1.0, 0.0)]
+    assert fitted.feature_names() == ["x", "text::aa", "text::bb", "text::zz", "y"]
