@@ -10,7 +10,7 @@ from foretell.models import classifiers as C
 from foretell.plans import grid as GR
 from foretell.plans.run import RunSettings, evaluation_series, model_report, model_scores, report_path, run
 from foretell.features.fit import fit_features
-from foretell.operators.metrics import base_rates
+from foretell.operators.metrics import base_rates, flag_top
 
 SPEC = FeatureSpec(
     {
@@ -261,3 +261,32 @@ def test_network_loss_does_not_depend_on_blocks(spark):
         scores[parts] = {r.bill_id % 2: r.score for r in C.predict_scores(model, rows).collect()}
     rates = {r.odd: r.rate for r in rows.groupBy((F.col("bill_id") % 2).alias("odd")).agg(F.avg("label").alias("rate")).collect()}
     assert all(abs(scores[p][k] - rates[k]) < 0.01 for p in scores for k in rates)
+
+
+def test_families_of_a_grid_share_facts_and_features(spark, facts, tmp_path, monkeypatch):
+    done = []
+    for name in ("written_facts", "block_features"):
+        def counted(*args, _name=name, _call=getattr(GR, name)):
+            done.append(_name)
+            return _call(*args)
+        monkeypatch.setattr(GR, name, counted)
+    light = settings(feature_sets={"s": FeatureSpec({"x": {"impute_mean": []}})}, num_temporal_blocks=1)
+    grids = {"DTClassifier": [{"max_depth": 1}], "LogRegClassifier": [{"C": 1}]}
+    both = GR.run_grids(facts, light, grids, str(tmp_path / "both"), members_of(facts))
+    assert done == ["written_facts", "block_features"]
+    shown = ("model_type", "model_idx", "role", "group", "metric", "value")
+    apart = []
+    for family, grid in grids.items():
+        apart = GR.run_grid(facts, light, family, grid, str(tmp_path / "apart"), members_of(facts))
+    rows = [sorted(map(str, df.select(*shown).collect())) for df in (both, apart)]
+    assert rows[0] == rows[1] and len(rows[0]) == 2 * (4 + 6)
+
+
+def test_few_groups_are_broadcast(spark):
+    scores = spark.range(1000).select("id", (F.col("id") % 7 / 7).alias("score"), F.lit(1).alias("y"), F.when(F.col("id") > 500, "a").alias("role"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = flag_top(scores, 0.3, ["role"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
