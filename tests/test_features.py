@@ -257,3 +257,18 @@ def test_text_vectors_name_no_places_and_keep_their_order(spark):
     got = sorted((r.bill_id, *r.features.toArray()) for r in found.collect())
     assert got == [(1, 1.0, 1.0, 2.0, 0.0, 5.0), (2, 0.0, 0.0, 0.0, 0.0, 6.0), (2, 0.0, 0.0, 0.0, 0.0, 6.0), (3, 3.0, 0.0, 0.0, 1.0, 0.0)]
     assert fitted.feature_names() == ["x", "text::aa", "text::bb", "text::zz", "y"]
+
+
+def test_terms_of_one_document_need_no_table(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "tax bill bill"), (2, "tax road"), (3, None), (None, "tax sea")], "doc_id long, text string")
+    tables = []
+    sized = TX._sized
+    monkeypatch.setattr(TX, "_sized", lambda table: tables.append(sorted(r.term for r in table.collect())) or sized(table))
+    got = {(r.doc_id, r.term): r.weight for r in TX.tfidf_long(docs, "doc_id", "text").collect()}
+    assert tables == [["tax"]]
+    one, three = math.log(5 / 2) + 1, math.log(5 / 4) + 1
+    length = math.hypot(2 * one, three)
+    assert got == pytest.approx({
+        (1, "bill"): 2 * one / length, (1, "tax"): three / length, (2, "tax"): three / math.hypot(one, three), (2, "road"): one / math.hypot(one, three),
+        (None, "tax"): three / math.hypot(one, three), (None, "sea"): one / math.hypot(one, three),
+    })
