@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from foretell.llm.archive import open_store
 from foretell.llm.common import WORDS, gram_hashes, mix, run_hashes, runs, spare_name, with_fields
 from foretell.llm.labels import labelled_sample
-from foretell.session import cut_lineage, shared_dir, ship_package
+from foretell.session import cut_lineage, shared_dir, ship_package, small_table
 
 #: ASCII that is no letter, digit or ``_``: where ``common.WORDS`` parts words.
 NO_WORD = "[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x5e\\x60\\x7b-\\x7f]+"
@@ -26,6 +26,8 @@ NO_WORD = "[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x5e\\x60\\x7b-\\x7f]+"
 BLOCK, DENSE_TERMS, QUERIES = 64, 256, 256
 #: Blocks a query opens first, and postings that are added at a time.
 SEED_BLOCKS, POSTINGS = 8, 1 << 21
+#: Vectors that are put into an index at a time, and that the driver is sent at once.
+FILLED, SENT = 512, 2048
 #: Room for rounding of single-precision bounds; decisions are in double precision.
 SLACK = 1e-4
 TIE = 1e-9
@@ -61,21 +63,36 @@ class BlockMaxIndex:
     def _fill(self, term, weight, offsets, terms):
         size = len(offsets) - 1
         blocks = -(-size // BLOCK)
-        often = np.bincount(term, minlength=terms)
+        steps = [slice(k, min(k + FILLED, size)) for k in range(0, size, FILLED)]  # some vectors at a time: copies stay small
+        often = np.zeros(terms, np.int64)
+        for part in steps:
+            often += np.bincount(term[offsets[part.start] : offsets[part.stop]], minlength=terms)
         frequent = np.sort(np.argsort(-often, kind="stable")[: min(DENSE_TERMS, terms)])
         column = np.full(terms, -1, np.int32)
         column[frequent] = np.arange(len(frequent))
-        row = np.repeat(np.arange(size, dtype=np.int32), np.diff(offsets))
-        at = column[term]
+        often[frequent] = 0
+        cuts = np.concatenate(([0], np.cumsum(often))).astype(np.int64)
+        free = cuts[:-1].copy()  # where a term's next posting goes
+        row, light = np.empty(cuts[-1], np.int32), np.empty(cuts[-1], np.float32)
         dense = np.zeros((blocks * BLOCK, len(frequent)), np.float32)
-        dense[row[at >= 0], at[at >= 0]] = weight[at >= 0]
+        for part in steps:
+            places = slice(offsets[part.start], offsets[part.stop])
+            t, w = term[places], weight[places]
+            of = np.repeat(np.arange(part.start, part.stop, dtype=np.int32), np.diff(offsets[part.start : part.stop + 1]))
+            at = column[t]
+            dense[of[at >= 0], at[at >= 0]] = w[at >= 0]
+            rare = np.flatnonzero(at < 0)
+            rare = rare[np.argsort(t[rare], kind="stable")]
+            t = t[rare]
+            first = np.flatnonzero(np.diff(t, prepend=-1))
+            sizes = np.diff(np.append(first, len(t)))
+            to = _expand(free[t[first]], sizes)
+            row[to], light[to] = of[rare], w[rare]
+            free[t[first]] += sizes
         top = dense.reshape(blocks, BLOCK, -1).max(axis=1) if size else np.zeros((0, len(frequent)), np.float32)
-        rare = np.flatnonzero(at < 0)
-        rare = rare[np.argsort(term[rare], kind="stable")]
         self._set({
             "term": term, "weight": weight, "offsets": offsets, "column": column, "dense": dense, "top": top,
-            "cuts": np.searchsorted(term[rare], np.arange(terms + 1)).astype(np.int64), "row": row[rare],
-            "light": weight[rare].astype(np.float32),
+            "cuts": cuts, "row": row, "light": light,
         })
 
     def _set(self, arrays: dict[str, np.ndarray]):
@@ -228,7 +245,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class ToxicityModel:
     """Where the labelled examples are, distinct by vector, and how their votes become a score."""
 
-    path: str  # file of the vectors, the votes of the texts that share one, and the vocabulary
+    path: str  # file of the vectors and the votes of the texts that share one; beside it those of the vocabulary
     terms: list[str]  # words that go with the label
     example: list  # least id of each vector
     k: int
@@ -245,10 +262,10 @@ class ToxicityModel:
 
 
 class Examples:
-    """The file of a model, in a worker."""
+    """The files of a model, in a worker."""
 
     def __init__(self, path: str):
-        arrays = read_arrays(path)
+        arrays = read_arrays(f"{path}-keys") | read_arrays(f"{path}-words") | read_arrays(path)
         self.index = BlockMaxIndex.of_arrays({c.removeprefix("index_"): x for c, x in arrays.items() if c.startswith("index_")})
         self.keys, self.idf, self.votes = (arrays[c] for c in ("keys", "idf", "votes"))
         self.is_marked = np.zeros(len(self.keys), bool)
@@ -321,8 +338,9 @@ def _sketch(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, *sketches], names=[*batch.schema.names, "sketch_0", "sketch_1"])
 
 
-def _document_counts(keys: np.ndarray):
+def _document_counts(path: str):
     def run(batches):
+        keys = read_arrays(f"{path}-keys")["keys"]
         total = np.zeros(len(keys) + 1, np.int64)  # at last: all documents
         for batch in batches:
             total[-1] += batch.num_rows
@@ -343,6 +361,52 @@ def _packed(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), hashes, times], names=["id", "label", "hashes", "times"])
 
 
+def _distinct(batches):
+    """The distinct word hashes of a task's texts."""
+    found = np.empty(0, np.uint64)
+    for batch in batches:
+        found = np.unique(np.concatenate([found, *[np.frombuffer(h.as_buffer(), np.uint64) for h in batch.column("hashes")]]))
+    yield pa.RecordBatch.from_pydict({"h": found.view(np.int64)})
+
+
+def _unpacked(batch, keys: np.ndarray):
+    """Places in the vocabulary and counts of each text's words."""
+    for h, t in zip(batch.column("hashes"), batch.column("times")):
+        yield term_counts((np.frombuffer(h.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.int32)), keys)
+
+
+def _places(path: str):
+    """A digest of each vector, its terms, and by what it is sorted: its heaviest term and that term's share."""
+
+    def run(batches):
+        keys, idf = read_arrays(f"{path}-keys")["keys"], read_arrays(f"{path}-words")["idf"]
+        for batch in batches:
+            made = []
+            for at, times in _unpacked(batch, keys):
+                w = (1 + np.log(times)) * idf[at]
+                heavy = (int(at[w.argmax()]), -float(w.max() / np.sqrt(w @ w))) if len(at) else (-1, 0.0)
+                made.append((blake2b(at.tobytes() + times.tobytes(), digest_size=16).digest(), len(at), *heavy))
+            kinds = pa.binary(), pa.int32(), pa.int32(), pa.float64()
+            fields = [pa.array([m[k] for m in made], t) for k, t in enumerate(kinds)]
+            kept = [batch.column(c) for c in ("row", "id", "label")]
+            yield pa.RecordBatch.from_arrays([*kept, *fields], names=["row", "id", "label", "digest", "size", "heavy", "share"])
+
+    return run
+
+
+def _vectors(path: str):
+    """Terms and weights of each unit vector, as bytes."""
+
+    def run(batches):
+        keys, idf = read_arrays(f"{path}-keys")["keys"], read_arrays(f"{path}-words")["idf"]
+        for batch in batches:
+            made = [unit_vector(counts, idf) for counts in _unpacked(batch, keys)]
+            fields = [pa.array([m[k].astype(t).tobytes() for m in made], pa.binary()) for k, t in ((0, np.int32), (1, np.float64))]
+            yield pa.RecordBatch.from_arrays([batch.column("place"), *fields], names=["place", "terms", "weights"])
+
+    return run
+
+
 def _raw_votes(path: str, k: int, base: float):
     def run(batches):
         for batch in batches:
@@ -367,7 +431,8 @@ def fit_toxicity(
     words taken by chance. For this count alone, copies and most near copies of one label (equal in one of two MinHashes of
     word 3-grams) are one example, or else the words of a much copied text would seem to go with its label.
 
-    The index is built on the driver, from what the sample bounds, and written as one file to the shared folder.
+    Vectors are made where the texts are. The driver decides on their places, then is sent them in order, some at a time,
+    straight into the arrays of the index, whose size the sample bounds, and writes these to the shared folder.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -394,54 +459,56 @@ def fit_toxicity(
     picked = seen.withColumn("gain", gain).where(F.col("gain") >= float(np.log(max(1, tested) / false_terms)))
     gains = {r.term: r.gain for r in picked.collect()}  # words of the sample, which bounds them
 
-    got = examples.mapInArrow(_packed, f"id {kind}, label int, hashes binary, times binary").toArrow()
+    path = f"{shared_dir(spark)}/toxicity-{uuid.uuid4().hex}"
+    got = examples.mapInArrow(_packed, f"id {kind}, label int, hashes binary, times binary")
+    got = cut_lineage(got.withColumn("row", F.monotonically_increasing_id()))
     # the vocabulary is all words of the examples, which the sample bounds
-    keys = np.empty(0, np.uint64)
-    for batch in got.select(["hashes"]).to_batches(max_chunksize=1000):
-        keys = np.unique(np.concatenate([keys, *[np.frombuffer(h.as_buffer(), np.uint64) for h in batch.column(0)]]))
+    keys = got.select("hashes").mapInArrow(_distinct, "h long").distinct().toArrow()
+    keys = np.sort(keys.column("h").to_numpy().view(np.uint64))
+    write_arrays({"keys": keys}, f"{path}-keys")
     gain = {int(run_hashes(t.encode(), np.array([0]), np.array([len(t.encode())]))[0]): (t, g) for t, g in gains.items()}
     strong = np.array(sorted(gain), np.uint64)
     marked = np.searchsorted(keys, strong)
     terms = [gain[h][0] for h in strong.tolist()]
 
     low = docs.select(F.lower(F.coalesce(text_col, F.lit(""))).alias("low"))
-    counted = low.mapInArrow(_document_counts(keys), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    counted = low.mapInArrow(_document_counts(path), "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(keys) + 1)
     counts[counted.column("t").to_numpy()] = counted.column("n").to_numpy()
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
     idf[marked] *= 1 + np.array([gain[h][1] for h in strong.tolist()])
 
-    shared: dict[bytes, list] = {}  # by a digest of the vector: votes, least id, terms, times
-    empty = []
-    for batch in got.to_batches(max_chunksize=1000):
-        for id_, label, h, t in zip(*(batch.column(c) for c in ("id", "label", "hashes", "times"))):
-            at, times = term_counts((np.frombuffer(h.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.int32)), keys)
-            id_, label = id_.as_py(), label.as_py() > 0
-            if not len(at):
-                empty.append(label)
-                continue
-            digest = blake2b(at.tobytes() + times.tobytes(), digest_size=16).digest()
-            entry = shared.setdefault(digest, [0, 0, id_, at.astype(np.int32), times.copy()])
-            entry[label] += 1
-            entry[2] = min(entry[2], id_)
-    del got
-
-    def heaviest(entry):
-        w = (1 + np.log(entry[4])) * idf[entry[3]]
-        return int(entry[3][w.argmax()]), -float(w.max() / np.sqrt(w @ w)), entry[2]
+    write_arrays({"idf": idf, "marked": marked}, f"{path}-words")
+    del counted, counts, idf
 
+    shared: dict[bytes, list] = {}  # by a digest of the vector: votes, least id and its row, terms, sort key
+    empty = []
+    kinds = f"row long, id {kind}, label int, digest binary, size int, heavy int, share double"
+    for r in got.mapInArrow(_places(path), kinds).toArrow().to_pylist():
+        label = r["label"] > 0
+        if not r["size"]:
+            empty.append(label)
+            continue
+        entry = shared.setdefault(r["digest"], [0, 0, (r["id"], r["row"]), r["size"], (r["heavy"], r["share"])])
+        entry[label] += 1
+        entry[2] = min(entry[2], (r["id"], r["row"]))
     # like vectors in the same blocks, so that the maxima are tight
-    made = sorted(shared.values(), key=heaviest)
+    made = sorted(shared.values(), key=lambda entry: (*entry[4], entry[2][0]))
     shared.clear()
-    votes, names = np.array([m[:2] for m in made], float).reshape(-1, 2), [m[2] for m in made]
-    offsets = np.concatenate(([0], np.cumsum([len(m[3]) for m in made]))).astype(np.int64)
-    term = np.concatenate([m[3] for m in made]) if made else np.empty(0, np.int32)
-    weight = np.concatenate([unit_vector((m[3], m[4]), idf)[1] for m in made]) if made else np.empty(0)
-    del made
-    path = f"{shared_dir(spark)}/toxicity-{uuid.uuid4().hex}"
+    votes, names = np.array([m[:2] for m in made], float).reshape(-1, 2), [m[2][0] for m in made]
+    offsets = np.concatenate(([0], np.cumsum([m[3] for m in made]))).astype(np.int64)
+    places = small_table(spark, [(m[2][1], k) for k, m in enumerate(made)], "row long, place int")
+    vectors = got.select("row", "hashes", "times").join(F.broadcast(places), "row").drop("row")
+    vectors = vectors.repartitionByRange(len(made) // SENT + 1, "place").sortWithinPartitions("place")
+    vectors = vectors.mapInArrow(_vectors(path), "place int, terms binary, weights binary")
+    term, weight = np.empty(offsets[-1], np.int32), np.empty(offsets[-1])
+    for r in vectors.toLocalIterator():  # a partition at a time
+        part = slice(offsets[r.place], offsets[r.place + 1])
+        term[part], weight[part] = np.frombuffer(r.terms, np.int32), np.frombuffer(r.weights, np.float64)
+    del made, places
     index = BlockMaxIndex.of_rows(term, weight, offsets, len(keys))
-    write_arrays({"keys": keys, "idf": idf, "marked": marked, "votes": votes, **{f"index_{c}": x for c, x in index.arrays.items()}}, path)
-    del index, term, weight
+    write_arrays({"votes": votes, **{f"index_{c}": x for c, x in index.arrays.items()}}, path)
+    del index, term, weight, keys
     model = ToxicityModel(path, terms, names, k, None, base, 0.0)
     rest = sample.where("not example").select("label", "low")
     held = [(r.raw, r.label > 0) for r in rest.mapInArrow(_raw_votes(path, k, base), "label int, raw double").collect()]

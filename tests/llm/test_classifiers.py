@@ -268,3 +268,18 @@ def test_arrays_of_a_file(tmp_path):
     toxicity.write_arrays(arrays, f"file://{tmp_path}/x")
     got = toxicity.read_arrays(f"{tmp_path}/x")
     assert list(got) == list(arrays) and all(got[n].dtype == x.dtype and np.array_equal(got[n], x) for n, x in arrays.items())
+
+
+def test_vectors_of_examples_reach_the_driver_in_parts(spark, text, monkeypatch):
+    some, words = random.Random(5), text(1, 600).split()
+    rows, labels = [(k, " ".join(some.sample(words, 300))) for k in range(300)], [(k, k % 2) for k in range(300)]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = toxicity.load(toxicity.fit_toxicity(docs, marks).path).index.arrays
+    sizes, kind = [], type(docs)
+    collect = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: sizes.append((t := collect(df)).nbytes) or t)
+    monkeypatch.setattr(toxicity, "SENT", 50)
+    monkeypatch.setattr(toxicity, "FILLED", 7)
+    parts = toxicity.load(toxicity.fit_toxicity(docs, marks).path).index.arrays
+    assert all(np.array_equal(parts[n], x) for n, x in whole.items())
+    assert sizes and max(sizes) < (whole["term"].nbytes + whole["weight"].nbytes) / 3
