@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 import xxhash
@@ -272,3 +273,17 @@ def test_terms_of_one_document_need_no_table(spark, monkeypatch):
         (1, "bill"): 2 * one / length, (1, "tax"): three / length, (2, "tax"): three / math.hypot(one, three), (2, "road"): one / math.hypot(one, three),
         (None, "tax"): three / math.hypot(one, three), (None, "sea"): one / math.hypot(one, three),
     })
+
+
+def test_a_long_text_is_scaled_in_one_pass(spark):
+    """The norm of a document is not computed again for each of its terms: the lambda that scales holds no aggregate."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k, k + 50))) for k in range(4)], "doc_id long, text string")
+    weights = spark.createDataFrame([(f"w{j}", j, 1.0 + j) for j in range(60)], "term string, idx long, weight double")
+    found = TX.TextVectors("text", 60, weights, True).entries(docs, "doc_id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
+    assert not re.search(r"/ sqrt\(aggregate\(", plan, re.IGNORECASE)
+    for row in found.collect():
+        assert [e.at for e in row.entries] == list(range(row.doc_id, row.doc_id + 50))
+        norm = sum((1.0 + e.at) ** 2 for e in row.entries) ** 0.5
+        assert all(e.value == pytest.approx((1.0 + e.at) / norm) for e in row.entries)
