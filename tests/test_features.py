@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.ml.functions import vector_to_array
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from foretell.features import columns as C
 from foretell.features import fit as fit_module
 from foretell.features import text as TX
+from foretell.features import topics as TP
 from foretell.features.fit import block_features, fit_features, one_hot_frame
 from foretell.features.spec import FEATURE_SETS, FeatureSpec
 
@@ -178,6 +180,43 @@ def test_same_text_column_twice_and_topics(corpus):
     assert fitted.transform(corpus).first().features.size == 4
 
 
+def test_topics_without_a_matrix_on_the_driver(spark, monkeypatch):
+    """Beyond the driver's limit no local model is fitted; two kinds of documents still get two topics."""
+    monkeypatch.setattr(TX, "MAX_DRIVER_WEIGHTS", 0)
+    monkeypatch.setattr(TX, "MAX_VECTOR_TERMS", 10)  # of vectors by term, not of topics
+    monkeypatch.setattr(TX.VectorVocabulary, "counter", None)
+    monkeypatch.setattr(TX, "LDA", None)
+    for name, value in (("STEPS", 6), ("BATCH_FRACTION", 0.5), ("LEARNING_OFFSET", 4)):  # so few documents need long steps
+        monkeypatch.setattr(TP, name, value)
+    rng = random.Random(5)
+    words = [[f"{side}word{k}" for k in range(40)] for side in "ab"]
+    rows = [(i, " ".join(rng.choice(words[i % 2]) for _ in range(30)), "Passed", 1.5) for i in range(600)]
+    rows += [(600, None, "Passed", 1.5), (601, "unknown", "Passed", 1.5), (601, rows[0][1], "Passed", 1.5)]
+    docs = spark.createDataFrame(rows, "bill_id long, text string, status_new string, x double")
+    spec = FeatureSpec({"x": {}, "text": {"lda": 2}})
+    fitted = fit_features(docs.where("bill_id < 601"), spec)
+    assert fitted.feature_names() == ["x", "text::topic_0", "text::topic_1"]
+    got = [(r.bill_id, list(r.features.toArray())) for r in fitted.transform(docs).collect()]
+    assert len(got) == 603 and all(v[0] == 1.5 for _, v in got)
+    assert [v[1:] for i, v in got if i == 600] == [[0.0, 0.0]]
+    assert sorted(sum(v[1:]) for i, v in got if i == 601) == pytest.approx([0.0, 1.0])
+    assert all(sum(v[1:]) == pytest.approx(1) for i, v in got if i < 600)
+    first = [v[1] for _, v in sorted(got) if v[1]]
+    sides = [sum(first[k:600:2]) / 300 for k in (0, 1)]
+    assert max(sides) > 0.9 and min(sides) < 0.1
+
+
+def test_gamma_functions_and_start():
+    x = np.array([0.01, 0.5, 1.0, 3.5, 200.0])
+    step = 1e-5
+    slope = [(math.lgamma(v * (1 + step)) - math.lgamma(v * (1 - step))) / (2 * v * step) for v in x]
+    assert TP.digamma(x) == pytest.approx(slope, rel=1e-6)
+    assert TP.trigamma(x) == pytest.approx((TP.digamma(x * (1 + step)) - TP.digamma(x * (1 - step))) / (2 * x * step), rel=1e-6)
+    draw = TP.start_draw(np.arange(100_000), 3, 17)
+    assert draw.mean(axis=0) == pytest.approx([1, 1, 1], abs=2e-3) and draw.std(axis=0) == pytest.approx([0.1] * 3, rel=0.02)
+    assert np.abs(np.corrcoef(draw.T) - np.eye(3)).max() < 0.02
+
+
 def test_oversized_vocabulary_is_loud(spark, corpus, monkeypatch):
     monkeypatch.setattr(TX, "MAX_VECTOR_TERMS", 1)
     with pytest.raises(ValueError, match="long form"):
