@@ -36,6 +36,8 @@ RANK_BITS = 512
 FILE_IDS, READ_IDS = 1 << 24, 1 << 20
 #: Characters of text that are encoded at a time, and parts of texts that a worker remembers.
 SLICE_CHARS, CACHE_PARTS = 1 << 23, 800_000
+#: How a byte-level vocabulary writes a blank.
+BLANK = "\u0120"
 MAGIC = b"idcodes1"
 _HEAD = struct.Struct("<8sQQQB")  # magic, ids, place and bytes of the documents' table, levels
 _LEVEL = struct.Struct("<BQQQQ")  # bits, chunks, places of chunks, bitmap and directory
@@ -161,7 +163,12 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}  # ids of parts, by what stands before them
-        self.line = self._learn(["\n"])[0]
+        self.line = self._each(["\n"])[0]
+        # a line break of several tokens is never found, so parts behind breaks are then encoded one by one
+        self.break_id = int.from_bytes(self.line, "little") if len(self.line) == 4 else 1 << 32
+        blank = [i for token, i in self.tokenizer.get_vocab().items() if token.startswith(BLANK)]
+        self.blank = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.blank[blank] = True
 
     def _learn(self, parts: list[str], before: str = "") -> list[bytes]:
         """Ids of each part with ``before`` in front, packed in 32 bits."""
@@ -180,13 +187,34 @@ class Encoder:
         whole = list(whole)
         for k in range(0, len(whole), 4096):
             some = whole[k : k + 4096]
-            encoded = self.tokenizer.encode_batch_fast([before + p for p in some] if before else some, add_special_tokens=False)
-            known.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
+            known.update(zip(some, self._joined(some, before) or self._each([before + p for p in some])))
         ends = {rest for _, _, rest in split}
-        ends = dict(zip(ends, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(list(ends), add_special_tokens=False)]))
+        ends = dict(zip(ends, self._each(list(ends))))
         known.update([(p, known[stem] + ends[rest]) for p, stem, rest in split])
         return [known[p] if ids is None else ids for p, ids in zip(parts, found)]
 
+    def _each(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _joined(self, parts: list[str], before: str) -> list[bytes] | None:
+        """As ``_each`` of parts with ``before`` in front, but of one text with a seam between any two; None if some part has a blank.
+
+        A token that begins with a blank begins a part, and line breaks are tokens of their own.
+        """
+        text = before + (before or "\n").join(parts)
+        if len(text.split()) != len(parts):
+            return None
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        if before:
+            stops = starts = np.append(np.flatnonzero(self.blank[ids]), len(ids)).tolist()
+        else:
+            stops = np.append(np.flatnonzero(ids == self.break_id), len(ids)).tolist()
+            starts = [0, *[k + 1 for k in stops]]
+        if len(starts) != len(parts) + 1:
+            return None
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(starts, stops[1:] if before else stops)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         column = pa.array(texts, pa.large_string())

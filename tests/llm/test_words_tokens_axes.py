@@ -261,3 +261,24 @@ def test_whitening_stays_exact_for_large_entries(spark):
 def test_squares_do_not_overflow():
     y = np.array([[(1 << 45) - 1, -(1 << 45)]] * whitening.BLOCK_ROWS)
     assert whitening._squares(y + y).tolist() == [len(y) * (2 * int(v)) ** 2 for v in y[0]]
+
+
+def test_new_parts_are_encoded_together():
+    """The library gets one text for many new parts, whatever stands in them; ids are those of each text by itself."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    given = []
+
+    class Spy:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder = token_store.Encoder("byte_bpe_50k.json")
+    encoder.tokenizer = Spy()
+    many = [" ".join(f"w{i}q{k}é" for k in range(100)) + f"\nline{i} it's Ġx (a),b" for i in range(20)]
+    got = encoder.encode(many)
+    assert len(given) < 40
+    odd = ["", "\n", "a\t", "b\t c", "x <|endoftext|> y<|endoftext|>z", "<|endoftext|>\nq", "Ġ Ġx\nĠ", "n b o　", "\x1cf \x85g", "e\n\nf  g ", "Ġ"]
+    got += encoder.encode(odd) + encoder.encode(odd[::-1])
+    for text, ids in zip([*many, *odd, *odd[::-1]], got, strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
