@@ -1,11 +1,13 @@
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from foretell.functions import scalar as X
+from foretell.functions import stemming
 from foretell.functions.stemming import stem_word
-from foretell.functions.text import clean_text, clean_tokens, drop_stopwords, keyword_flag, whitespace_tokens, word_tokens
+from foretell.functions.text import STOPWORDS, clean_text, clean_tokens, drop_stopwords, keyword_flag, whitespace_tokens, word_tokens
 from foretell.operators import textstats as TS
 from foretell.operators.preprocess import preprocess
 from foretell.sources import artifacts, files, tables
@@ -47,6 +49,24 @@ def test_clean_text(spark):
     assert [r[0] for r in df.select(clean_text("t")).collect()] == [None, "tax dont", "gon na", ""]
 
 
+def test_a_word_is_stemmed_once_for_a_batch(spark, monkeypatch):
+    seen, stem = [], stemming._lower_stem
+    monkeypatch.setattr(stemming, "_lower_stem", lambda w: seen.append(w) or stem(w))
+    texts = pa.array(["taxes bills taxes", None, "", " bills  taxes"])
+    assert stemming.stem_texts(texts).to_pylist() == ["tax bill tax", None, "", " bill  tax"]
+    assert stemming.stem_texts(texts.slice(1)).to_pylist() == [None, "", " bill  tax"]
+    assert sorted(seen[:3]) == ["", "bills", "taxes"] and len(seen) == 6
+    monkeypatch.undo()
+    stemming._remembered.cache_clear()
+    assert stemming.stem_word("b" * 50 + "ing") == "b" * 50 + "ing" and not stemming._remembered.cache_info().currsize
+    df = spark.createDataFrame([(" ".join(STEMS),), (None,), ("",)], "t string").selectExpr("t", "cast(x'7461786573ff20c3' as string) as bytes")
+    cleaned = df.select(clean_text("t").alias("t"), stemming.stem_words("bytes").alias("bytes"))
+    want = " ".join(stem for word, stem in STEMS.items() if word not in STOPWORDS)
+    assert [r.t for r in cleaned.collect()] == [want, None, ""] and cleaned.first().bytes == "taxes\ufffd \ufffd"
+    # not an expression that is interpreted for every token
+    assert "ArrowEvalPython" in cleaned._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_tokens_and_stopwords(spark):
     df = spark.createDataFrame([("The the tax-Bill a É2",)], "t string")
     assert df.select(drop_stopwords(whitespace_tokens("t"))).first()[0] == ["The", "tax-Bill", "É2"]
