@@ -1,8 +1,11 @@
+import itertools
 import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.ml.functions import vector_to_array
@@ -217,6 +220,102 @@ def test_gamma_functions_and_start():
     assert np.abs(np.corrcoef(draw.T) - np.eye(3)).max() < 0.02
 
 
+def test_log_gamma():
+    x = np.array([0.01, 0.5, 1.0, 3.5, 200.0, 1e6])
+    assert TP.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-9, abs=1e-9)
+
+
+def plain_updates(beta, counts, alpha, change=TP.INFERENCE_CHANGE / 100):
+    """Topic parameters of one document, and the number of updates."""
+    gamma = np.ones(len(alpha))
+    for number in itertools.count(1):
+        theta = np.exp(TP.digamma(gamma) - TP.digamma(gamma.sum(keepdims=True)))
+        new = theta * (beta * (counts / (beta @ theta))[:, None]).sum(axis=0) + alpha
+        if np.abs(new - gamma).mean() <= change:
+            return new, number
+        gamma = new
+
+
+def test_topics_of_documents_are_those_that_plain_updates_reach(monkeypatch):
+    """Also where documents leave and enter while others are at work."""
+    rng = np.random.default_rng(3)
+    beta = rng.gamma(2, 0.5, (300, 3)) * np.array([0.2, 1, 0.6]) / 100
+    sizes = rng.integers(1, 60, 40)
+    term = np.concatenate([rng.choice(300, n, replace=False) for n in sizes])
+    counts, alpha = rng.integers(1, 9, len(term)).astype(float), np.full(3, 0.4)
+    first = np.cumsum(sizes) - sizes
+    want = [plain_updates(beta[term[f : f + n]], counts[f : f + n], alpha)[0] for f, n in zip(first, sizes)]
+    for room in (1, 200, 1 << 15):
+        monkeypatch.setattr(TP, "PART_TERMS", room)
+        got = TP.infer(beta, term, counts, sizes, alpha)
+        assert got.sum(axis=1) == pytest.approx(alpha.sum() + np.add.reduceat(counts, first))
+        assert np.abs(got - want).max() < 0.2  # of sums of some 200
+    assert len(TP.infer(beta, term[:0], counts[:0], sizes[:0], alpha)) == 0
+    # topics that are much alike: an update moves little
+    monkeypatch.setattr(TP, "PART_TERMS", 1 << 15)
+    seen, expectation = [], TP._log_expectation
+    monkeypatch.setattr(TP, "_log_expectation", lambda g: seen.append(len(g)) or expectation(g))
+    alike, counts, alpha = rng.gamma(100, 0.01, (1000, 5)) / 1000, rng.integers(1, 4, 1000).astype(float), np.full(5, 0.2)
+    TP.infer(alike, np.arange(1000), counts, np.array([1000]), alpha)
+    assert len(seen) < plain_updates(alike, counts, alpha, TP.INFERENCE_CHANGE)[1] / 3
+
+
+def test_chunks_of_documents(monkeypatch):
+    """Each document and token is in one chunk, in order; only a document that is longer alone makes a chunk too long."""
+    monkeypatch.setattr(TP, "CHUNK_TOKENS", 7)
+    texts = [["a"] * 3, None, ["b"] * 4, [], ["c"] * 9, ["d"], ["e", "f"] * 3, [], ["a"], None]
+    schema = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("terms", pa.list_(pa.string()))])
+    batch = lambda lo, hi: pa.record_batch([[2] * (hi - lo), list(range(lo, hi)), texts[lo:hi]], schema=schema)
+    want = [t for text in texts for t in text or []]
+    for cuts in ([0, 10], [0, 1, 4, 4, 5, 10], list(range(11))):
+        found = list(TP._chunks([batch(lo, hi) for lo, hi in zip(cuts, cuts[1:])]))
+        assert [c[:2] for c in found] == [(2 << 32, k) for k in range(len(found))]
+        assert [k for c in found for k in c[2]] == list(range(10)) and [t for c in found for t in c[4].to_pylist()] == want
+        assert all(sum(c[3]) == len(c[4]) <= 7 or len(set(c[4].to_pylist())) == 1 for c in found)
+
+
+def test_documents_of_a_batch_and_terms_that_have_no_place():
+    times = TP.times_drawn(np.arange(200_000), 4, 0.05, 17)
+    assert times.mean(axis=0) == pytest.approx([0.05] * 4, rel=0.05) and times.var(axis=0) == pytest.approx([0.05] * 4, rel=0.05)
+    assert np.abs(np.corrcoef(times.T) - np.eye(4)).max() < 0.02
+    assert (TP.times_drawn(np.arange(500, 600), 4, 0.05, 17) == times[500:600]).all()  # by document, whatever is beside it
+    texts = [["x", "y", "x"], ["z"], [], ["y", "z", "z"]] * 50
+    rows = pa.record_batch([[0] * 200, list(range(200)), texts], names=["part", "key", "terms"])
+    found = pa.Table.from_batches(TP._batches_of([rows], 4, 0.5, 17))
+    drawn = TP.times_drawn(np.arange(200), 4, 0.5, 17)
+    assert pc.sum(found.column("documents")).as_py() == 200
+    terms = found.filter(pc.is_valid(found.column("term")))
+    assert terms.column("term").to_pylist() == ["x", "y", "z"] and terms.column("turns").to_pylist() == [15] * 3
+    weights = TP.Weights(2, 17, (0.5, 0.5), (100.0, 100.0))
+    for turn in range(4):
+        docs = found.filter(pc.equal(found.column("turn"), turn)).column("docs").to_pylist()
+        # "z" is not in the vocabulary, so documents with no other term are left out
+        table = pa.table({"code": [1, 0, None], "at": [7, 9, None], "added": pa.array([None, [1.0, 2.0], None], pa.list_(pa.float64())), "docs": [None, None, *docs]})
+        at, beta, marks, sizes, term, counts = TP._chunk(table, weights)
+        here = [(k, drawn[k, turn]) for k in range(200) if drawn[k, turn] and k % 4 in (0, 3)]
+        assert list(at) == [7, 9] and list(marks) == [n for _, n in here] and list(sizes) == [2 if k % 4 == 0 else 1 for k, _ in here]
+        assert sum(counts[term == 1]) == 2 * sum(k % 4 == 0 for k, _ in here) and sum(counts[term == 0]) == len(here)
+        stats = dict(zip(*TP._statistics(table, weights, 1.0).to_pydict().values()))
+        assert stats[TP.DOCUMENTS] == [sum(n for _, n in here)] * 2
+        # each token is shared out between the topics
+        assert sum(stats[7]) == pytest.approx(sum(n for _, n in here)) and sum(stats[9]) == pytest.approx(2 * sum(n for k, n in here if k % 4 == 0))
+        assert stats[TP.ADDED] == pytest.approx([stats[7][k] + stats[9][k] for k in (0, 1)])
+
+
+def test_topics_leave_counted_terms_where_they_are(spark, monkeypatch):
+    """Documents are not dealt out by term or id, nor written as texts, to be fitted."""
+    monkeypatch.setattr(TX, "MAX_DRIVER_WEIGHTS", 0)
+    vocab = TX.VectorVocabulary(spark.createDataFrame([("text", "tax", 0), ("text", "bill", 1)], "column string, term string, idx int"))
+    docs = spark.createDataFrame([(k, "tax bill unknown" if k % 3 else None) for k in range(90)], "bill_id long, text string")
+    for name in ("TextVectors", "cut_lineage"):
+        monkeypatch.setattr(TX, name, None)
+    model = TX.fit_text_op(docs, "text", "lda", 2, vocab)[0]
+    assert sorted((r.term, r.at) for r in model.terms.collect()) == [("bill", 1), ("tax", 0)]
+    got = {r.bill_id: r.entries for r in model.entries(docs, "bill_id", 5).collect()}
+    assert sorted(got) == [k for k in range(90) if k % 3]
+    assert all([e["at"] for e in v] == [5, 6] and sum(e["value"] for e in v) == pytest.approx(1) for v in got.values())
+
+
 def test_oversized_vocabulary_is_loud(spark, corpus, monkeypatch):
     monkeypatch.setattr(TX, "MAX_VECTOR_TERMS", 1)
     with pytest.raises(ValueError, match="long form"):
