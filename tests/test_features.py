@@ -290,12 +290,14 @@ def test_documents_of_a_batch_and_terms_that_have_no_place():
     for turn in range(4):
         docs = found.filter(pc.equal(found.column("turn"), turn)).column("docs").to_pylist()
         # "z" is not in the vocabulary, so documents with no other term are left out
-        table = pa.table({"code": [1, 0, None], "at": [7, 9, None], "added": pa.array([None, [1.0, 2.0], None], pa.list_(pa.float64())), "docs": [None, None, *docs]})
+        table = pa.table({"code": [1, 0, None], "at": [7, 9, None], "added": pa.array([None, [1.0, 2.0], None], pa.list_(pa.float64())), "docs": [None, None, *docs], "later": [True, False, None]})
         at, beta, marks, sizes, term, counts = TP._chunk(table, weights)
         here = [(k, drawn[k, turn]) for k in range(200) if drawn[k, turn] and k % 4 in (0, 3)]
         assert list(at) == [7, 9] and list(marks) == [n for _, n in here] and list(sizes) == [2 if k % 4 == 0 else 1 for k, _ in here]
         assert sum(counts[term == 1]) == 2 * sum(k % 4 == 0 for k, _ in here) and sum(counts[term == 0]) == len(here)
-        stats = dict(zip(*TP._statistics(table, weights, 1.0).to_pydict().values()))
+        found_at, added, later = TP._statistics(table, weights, 1.0).to_pydict().values()
+        stats = dict(zip(found_at, added))
+        assert dict(zip(found_at, later)) == {7: True, 9: False, TP.LOG_SHARES: False, TP.DOCUMENTS: False, TP.ADDED: False}
         assert stats[TP.DOCUMENTS] == [sum(n for _, n in here)] * 2
         # each token is shared out between the topics
         assert sum(stats[7]) == pytest.approx(sum(n for _, n in here)) and sum(stats[9]) == pytest.approx(2 * sum(n for k, n in here if k % 4 == 0))
@@ -310,7 +312,12 @@ def test_topics_leave_counted_terms_where_they_are(spark, monkeypatch):
     for name in ("TextVectors", "cut_lineage"):
         monkeypatch.setattr(TX, name, None)
     model = TX.fit_text_op(docs, "text", "lda", 2, vocab)[0]
-    assert sorted((r.term, r.at) for r in model.terms.collect()) == [("bill", 1), ("tax", 0)]
+    terms = {r.term: (r.at, r.added) for r in model.terms.collect()}
+    assert sorted(terms) == ["bill", "tax"] and [terms[t][0] for t in ("tax", "bill")] == [0, 1]
+    # a topic's total is that of its terms: what every batch added to them came to the end
+    start = TP.start_draw(np.arange(2), 2, 17).sum(axis=0)
+    total = model.weights.left * (start + np.add(terms["tax"][1], terms["bill"][1])) + (1 - model.weights.left) * 0.5 * 2
+    assert total == pytest.approx(model.weights.totals)
     got = {r.bill_id: r.entries for r in model.entries(docs, "bill_id", 5).collect()}
     assert sorted(got) == [k for k in range(90) if k % 3]
     assert all([e["at"] for e in v] == [5, 6] and sum(e["value"] for e in v) == pytest.approx(1) for v in got.values())
